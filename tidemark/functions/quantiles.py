@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.series import spread_join
+
 ACCURACY = 50_000
 
 
@@ -42,7 +44,10 @@ def exact_quantiles(
     )
     m = len(probabilities)
     if keys:
-        bracketed = rows.join(F.broadcast(sketch) if few_keys else sketch, list(keys))
+        if few_keys:
+            bracketed = rows.join(F.broadcast(sketch), list(keys))
+        else:
+            bracketed = spread_join(rows, sketch, keys, ["_v"])
     else:
         bracket = scalar_struct(sketch)
         bracketed = rows.withColumns({"n": bracket["n"], "_s": bracket["_s"]})

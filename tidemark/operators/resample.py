@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import angle_of, present
 from tidemark.functions.times import DAY, common_step, from_micros, is_zoneless, to_micros, width_micros
-from tidemark.operators.series import BLOCK_ROWS
+from tidemark.operators.series import BLOCK_ROWS, spread_join
 
 
 def _floor_to(micros: Column, step: int) -> Column:
@@ -102,8 +102,7 @@ def bin_means(
         spans = station_spans(df, station, timestamp, width).select(station, "_anchor")
         own_bin = F.col("_anchor") + _floor_to(F.col("_fine") - F.col("_anchor"), step)
         sums = (
-            sums.withColumnRenamed("_bin", "_fine")
-            .join(spans, station)
+            spread_join(sums.withColumnRenamed("_bin", "_fine"), spans, [station], ["_fine"])
             .groupBy(station, own_bin.alias("_bin"))
             .agg(*_sums(numeric, directional, False))
         )

@@ -128,3 +128,17 @@ def previous_values(
     return core_rows(
         frame.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns})
     ).drop(BLOCK)
+
+
+SALTS = 16
+
+
+def spread_join(rows: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Inner join of many ``rows`` to one ``small`` row per key, with a frequent key spread out.
+
+    Rows of one key are dealt over ``salts`` sub-keys by a hash of the ``by`` columns and the small
+    side is repeated once per sub-key, so a key with a large share of the rows is not one partition.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*keys, "_salt"]).drop("_salt")
