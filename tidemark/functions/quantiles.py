@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.series import spread_join
 
 ACCURACY = 50_000
+DRIFT = 1e-9
 
 
 def exact_quantiles(
@@ -52,20 +53,28 @@ def exact_quantiles(
         bracket = scalar_struct(sketch)
         bracketed = rows.withColumns({"n": bracket["n"], "_s": bracket["_s"]})
     v = F.col("_v")
+
+    def edge(index: int, sign: int) -> Column:
+        # Floating sums may differ in the last bits when upstream work is repeated; a bracket a hair
+        # wider than the sketch still holds the same values.
+        at = F.col("_s")[index]
+        return at + F.lit(sign * DRIFT) * F.abs(at)
+
+    nothing = F.lit(None).cast("double").alias("x")
     places = [
         F.struct(
             F.lit(j).alias("j"),
-            F.when(v < F.col("_s")[j], F.struct(F.lit(0).alias("side"), F.lit(None).cast("double").alias("x")))
-            .when(v <= F.col("_s")[m + j], F.struct(F.lit(1).alias("side"), v.alias("x")))
-            .otherwise(F.struct(F.lit(2).alias("side"), F.lit(None).cast("double").alias("x")))
+            F.when(v < edge(j, -1), F.struct(F.lit(0).alias("side"), nothing))
+            .when(v <= edge(m + j, 1), F.struct(F.lit(1).alias("side"), v.alias("x")))
+            .otherwise(F.struct(F.lit(2).alias("side"), nothing))
             .alias("place"),
         )
         for j in range(m)
     ]
     counted = (
-        bracketed.select(*keys, "n", F.explode(F.array(*places)).alias("_p"))
+        bracketed.select(*keys, "n", "_v", F.explode(F.array(*places)).alias("_p"))
         .groupBy(*keys, "n", F.col("_p.j").alias("j"), F.col("_p.place.side").alias("side"), F.col("_p.place.x").alias("x"))
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     )
     running = Window.partitionBy(*keys, "j").orderBy("side", "x").rowsBetween(Window.unboundedPreceding, 0)
     target = F.element_at(F.array(*[F.lit(float(p)) for p in probabilities]), F.col("j") + 1) * (F.col("n") - 1)
@@ -75,9 +84,19 @@ def exact_quantiles(
     def holds(rank: Column) -> Column:
         return (F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank)
 
+    # The sketch rounds ranks up, so the wanted one may be the last below the bracket (or the first above).
+    low_end, high_end = F.col("_upto") - F.col("_c"), F.col("_upto") - 1
+
+    def at(rank: Column) -> Column:
+        return (
+            F.when(holds(rank) & (F.col("side") == 1), F.col("x"))
+            .when((rank == high_end) & (F.col("side") == 0), F.col("_most"))
+            .when((rank == low_end) & (F.col("side") == 2), F.col("_least"))
+        )
+
     picked = ranked.groupBy(*keys, "n", "j").agg(
-        F.max(F.when(holds(below), F.col("x"))).alias("_lo"),
-        F.max(F.when(holds(above), F.col("x"))).alias("_hi"),
+        F.max(at(below)).alias("_lo"),
+        F.max(at(above)).alias("_hi"),
         F.first(F.col("_t") - below).alias("_w"),
     )
     exact = picked.withColumn(
