@@ -49,7 +49,8 @@ def severity_level(score: Column) -> Column:
 
 
 def two_decimals(column: Column) -> Column:
-    return F.format_string("%.2f", column)
+    """Text with two decimals, exact halves to the even digit as C and Python print them."""
+    return F.call_function("format_number", column.cast("double"), F.lit("0.00"))
 
 
 def explain_parts(*parts: Column) -> Column:

@@ -36,9 +36,9 @@ def nearest_centroid(df: DataFrame, vector: str, centers: DataFrame, name: str =
     """
     table = centers.agg(F.array_sort(F.collect_list(F.struct("label", "centroid")))).scalar()
     distances = F.transform(
-        table, lambda c: F.struct(squared_distance(F.col(vector), c["centroid"]).alias("d"), c["label"].alias("label"))
+        "_centers", lambda c: F.struct(squared_distance(F.col(vector), c["centroid"]).alias("d"), c["label"].alias("label"))
     )
-    return df.withColumn(name, F.array_min(distances)["label"])
+    return df.withColumn("_centers", table).withColumn(name, F.array_min(distances)["label"]).drop("_centers")
 
 
 def silhouette_exact(df: DataFrame, point: str, label: str, vector: str, tile_points: int = TILE_POINTS) -> DataFrame:
@@ -59,7 +59,9 @@ def silhouette_exact(df: DataFrame, point: str, label: str, vector: str, tile_po
     )
     every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
     left = rows.withColumnRenamed("tile", "mine").withColumn("other", every)
-    right = rows.withColumnRenamed("tile", "other").withColumn("mine", every)
+    right = rows.select(
+        *[F.col(c).alias(c) for c in ("point", "label", "v")], F.col("tile").alias("other"), every.alias("mine")
+    )
     kind = df.schema[point].dataType.simpleString()
 
     def tile_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -115,9 +117,8 @@ def davies_bouldin(df: DataFrame, label: str, vector: str) -> DataFrame:
     """One row ``davies_bouldin``; infinite with fewer than two labels."""
     centers = centroids(df, label, vector)
     table = centers.agg(F.map_from_entries(F.collect_list(F.struct("label", "centroid")))).scalar()
-    spread = df.groupBy(F.col(label).alias("label")).agg(
-        F.avg(F.sqrt(squared_distance(F.col(vector), table[F.col(label)]))).alias("s")
-    )
+    placed = df.select(F.col(label).alias("label"), F.col(vector).alias("_x"), table[F.col(label)].alias("_c"))
+    spread = placed.groupBy("label").agg(F.avg(F.sqrt(squared_distance(F.col("_x"), F.col("_c")))).alias("s"))
     clusters = spread.join(centers, "label").agg(F.collect_list(F.struct("label", "s", "centroid")).alias("c"))
     pairs = clusters.select(F.explode("c").alias("i"), "c").select("i", F.explode("c").alias("j")).where(
         F.col("i.label") != F.col("j.label")

@@ -80,7 +80,11 @@ def standardize_array(df: DataFrame, vector: str, name: str) -> DataFrame:
     table = moments.agg(
         F.array_sort(F.collect_list(F.struct("i", "m", F.when(F.col("s") == 0, 1.0).otherwise(F.col("s")).alias("s"))))
     ).scalar()
-    return df.withColumn(name, F.zip_with(F.col(vector), table, lambda x, t: (x - t["m"]) / t["s"]))
+    return (
+        df.withColumn("_moments", table)
+        .withColumn(name, F.zip_with(F.col(vector), "_moments", lambda x, t: (x - t["m"]) / t["s"]))
+        .drop("_moments")
+    )
 
 
 def latent_projection(df: DataFrame, latent: str) -> DataFrame:
@@ -98,16 +102,16 @@ def reconstruction_error(
     table = components.agg(F.array_sort(F.collect_list(F.struct("component", "weights")))).scalar()
     x = _centred(vector, mean) if mean is not None else F.col(vector).cast("array<double>")
     back = F.aggregate(
-        F.transform(table, lambda c: c["weights"]),
+        F.transform("_basis", lambda c: c["weights"]),
         F.transform(F.col("_x"), lambda v: F.lit(0.0)),
         lambda total, w: F.zip_with(total, w, lambda t, wi: t + _dot(F.col("_x"), w) * wi),
     )
     gap = F.zip_with(F.col("_x"), F.col("_back"), lambda a, b: (a - b) * (a - b))
     return (
-        df.withColumn("_x", x)
+        df.withColumns({"_x": x, "_basis": table})
         .withColumn("_back", back)
         .withColumn(name, F.aggregate(gap, F.lit(0.0), lambda t, g: t + g) / F.size("_x"))
-        .drop("_x", "_back")
+        .drop("_x", "_basis", "_back")
     )
 
 
