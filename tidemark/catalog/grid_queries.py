@@ -12,6 +12,7 @@ from tidemark.operators.quality import apply_clip, clip_bounds, final_quality_fl
 from tidemark.operators.resample import circular_mean, densify_grid, resample_mean
 from tidemark.operators.windows import feature_names, sliding_windows
 from tidemark.params import Quality
+from tidemark.session import stage
 
 ALL = [*NUMERIC, *DIRECTIONS]
 # Small blocks, so that the checks cover values carried across block borders.
@@ -139,7 +140,8 @@ def clip_query(spark, sf_dir):
        + ") m ON m.\"column\" = b.\"column\"")
 def quality_query(spark, sf_dir):
     _, report = quality_preprocess(
-        grid(spark, sf_dir), "STATION", "pos", NUMERIC, DIRECTIONS, Quality(small_gap=1, medium_gap=2), BLOCKS
+        stage(grid(spark, sf_dir), "grid"), "STATION", "pos", NUMERIC, DIRECTIONS, Quality(small_gap=1, medium_gap=2),
+        BLOCKS, between=lambda df: stage(df, "filled"),
     )
     return report
 

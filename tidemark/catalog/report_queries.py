@@ -16,6 +16,7 @@ from tidemark.operators import profiles, reports
 from tidemark.operators.labels import label_positions, transition_matrix
 from tidemark.operators.resample import resample_mean
 from tidemark.operators.windows import sliding_windows
+from tidemark.session import stage
 
 SENSORS = ["WIND_SPEED", "WAVE_HGT", "SEA_LVL_PRES"]
 MEANS = [f"{c}_s4_mean" for c in SENSORS]
@@ -44,8 +45,13 @@ def labelled(spark, sf_dir):
     )
 
 
+def held(spark, sf_dir):
+    """The labelled windows written once, for reports that read them several times."""
+    return stage(labelled(spark, sf_dir), "labelled")
+
+
 def scored(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = held(spark, sf_dir)
     return reports.name_macro_states(rows, reports.macro_names(rows))
 
 
@@ -98,19 +104,19 @@ titles AS (SELECT *, CASE r WHEN 1 THEN 'calm regime' WHEN 2 THEN 'rough sea reg
 
 @query("semantic_regime_names", chain(*VOYAGE, NAMED) + f"SELECT regime_id, {rounded('severity')}, regime_name FROM titles")
 def names_query(spark, sf_dir):
-    return profiles.semantic_regime_names(profiles.regime_frame(labelled(spark, sf_dir), "micro_state"))
+    return profiles.semantic_regime_names(profiles.regime_frame(held(spark, sf_dir), "micro_state"))
 
 
 @query("regime_summary_table", chain(*VOYAGE, NAMED) + "SELECT regime_id, regime_name, n_windows, "
        + rounded("hours AS avg_window_duration_hr", f"w AS mean_{WIND}") + " FROM titles")
 def summary_query(spark, sf_dir):
-    frame = profiles.regime_frame(labelled(spark, sf_dir), "micro_state")
+    frame = profiles.regime_frame(held(spark, sf_dir), "micro_state")
     return profiles.regime_summary_table(frame, profiles.semantic_regime_names(frame), [WIND, "absent"])
 
 
 @query("map_micro_to_macro", BASE + "SELECT station, end_idx, micro_state, macro_state FROM macros")
 def map_query(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = held(spark, sf_dir)
     mapping = rows.select("micro_state", "macro_state").distinct()
     return profiles.map_micro_to_macro(rows.select("station", "end_idx", "micro_state"), "micro_state", mapping)
 
@@ -148,7 +154,7 @@ def hierarchy_timeline_query(spark, sf_dir):
 @query("severity_map", BASE + "SELECT macro_state, " + rounded("wave AS wave_mean", "wind AS wind_mean", "severity_score")
        + ", severity_level FROM severity")
 def severity_map_query(spark, sf_dir):
-    return reports.severity_map(labelled(spark, sf_dir))
+    return reports.severity_map(held(spark, sf_dir))
 
 
 @query("last_n_windows", BASE + f"SELECT station, end_idx, end_time, {rounded(WIND)} FROM macros ORDER BY station DESC, end_idx DESC LIMIT 300")
@@ -196,7 +202,7 @@ def transitions(rows):
 
 @query("next_macro_probs", chain(*VOYAGE, TRANSITIONS) + f"SELECT micro_state, macro_state, {rounded('probability')} FROM probs WHERE micro_state = 2")
 def next_macro_query(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = held(spark, sf_dir)
     mapping = rows.select("micro_state", "macro_state").distinct()
     return reports.next_macro_probs(transitions(rows), mapping, 2)
 
@@ -211,7 +217,7 @@ SELECT station, end_time, macro_state, CASE WHEN risk_score >= 0.66 THEN 'High'
   'regime=' || macro_state || ' (' || coalesce(severity_level, 'Unknown') || ') | wave=' || printf('%.2f', {WAVE}) || ' | wind=' || printf('%.2f', {WIND})
   || ' | next-high-prob=' || printf('%.2f', prob_high_next) AS explanation FROM risk""")
 def warning_query(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
+    rows = held(spark, sf_dir)
     mapping = rows.select("micro_state", "macro_state").distinct()
     return reports.early_warning(rows, transitions(rows), mapping)
 
@@ -299,7 +305,7 @@ SELECT STATION, rows, round(missing_rate, 4) + 0.0 AS missing_rate, round(flatli
 
 @query("sensor_health", chain(*GRID_12H) + ", " + health_sql("SELECT * FROM aligned"))
 def health_query(spark, sf_dir):
-    return reports.sensor_health(grid(spark, sf_dir), "STATION", "DATE", "pos", NUMERIC, BLOCKS)
+    return reports.sensor_health(stage(grid(spark, sf_dir), "grid"), "STATION", "DATE", "pos", NUMERIC, BLOCKS)
 
 
 @query("anomaly_topk", BASE + f"SELECT station, end_idx, {rounded(WAVE)} FROM macros ORDER BY {WAVE} DESC, station, end_idx LIMIT 10")
@@ -310,4 +316,4 @@ def anomaly_query(spark, sf_dir):
 @query("error_summary", BASE + "SELECT " + rounded(f"avg({WAVE}) AS mean", f"quantile_cont({WAVE}, 0.5) AS median",
                                                   f"quantile_cont({WAVE}, 0.95) AS p95") + " FROM macros")
 def error_summary_query(spark, sf_dir):
-    return reports.error_summary(labelled(spark, sf_dir), WAVE)
+    return reports.error_summary(held(spark, sf_dir), WAVE)

@@ -15,6 +15,11 @@ MEDIUM_SCORE = 0.33
 HIGH_SCORE = 0.66
 
 
+def quoted(name: str) -> str:
+    """A column name for use inside SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
     have = set(df.columns)
     return [c for c in columns if c in have]

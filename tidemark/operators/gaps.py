@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import angle_of, present
+from tidemark.functions.scalars import angle_of, present, quoted
 from tidemark.operators.series import BLOCK, BLOCK_ROWS, CORE, block_carry, core_rows, in_block, with_halo
 
 
@@ -33,7 +33,7 @@ def interpolate_linear_limited(
     df: DataFrame, keys: Sequence[str], position: str, columns: Sequence[str], limit: int, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Linear by position, at most ``limit`` rows after a known value; a trailing gap stays flat."""
-    return _fill(df, keys, position, {c: F.col(c) for c in columns}, 0, limit, block_rows)
+    return _fill(df, keys, position, columns, 0, limit, block_rows)
 
 
 def gap_fill(
@@ -53,14 +53,16 @@ def gap_fill(
     """
     directional = present(df, directional)
     numeric = [c for c in present(df, numeric) if c not in set(directional)]
-    values = {c: F.col(c) for c in numeric}
+    circle = {}
     for c in directional:
-        values[f"{c}__sin"] = F.sin(F.radians(c))
-        values[f"{c}__cos"] = F.cos(F.radians(c))
-    filled = _fill(df.withColumns(values), keys, position, values, small, medium, block_rows)
-    filled = filled.withColumns(
-        {c: angle_of(F.col(f"{c}__sin"), F.col(f"{c}__cos")) for c in directional}
-    ).select(*df.columns)
+        circle[f"{c}__sin"] = F.sin(F.radians(c))
+        circle[f"{c}__cos"] = F.cos(F.radians(c))
+    filled = _fill(
+        df.withColumns(circle) if circle else df, keys, position, [*numeric, *circle], small, medium, block_rows
+    )
+    if circle:
+        angles = {c: angle_of(F.col(f"{c}__sin"), F.col(f"{c}__cos")) for c in directional}
+        filled = filled.withColumns(angles).select(*df.columns)
     if drop_large_gap_rows:
         filled = filled.na.drop("any", subset=[*numeric, *directional])
     return filled
@@ -82,7 +84,7 @@ def _fill(
     df: DataFrame,
     keys: Sequence[str],
     position: str,
-    values: dict[str, Column],
+    names: Sequence[str],
     small: int,
     medium: int,
     block_rows: int,
@@ -92,39 +94,48 @@ def _fill(
     Only known values within ``small + medium`` rows before a gap matter, a bounded look-back. The
     end of a gap may be any distance ahead, so the next known value is carried across blocks.
     """
-    names = list(values)
     if not names:
         return df
     reach = small + medium
-    known = {
-        f"{n}__k": F.when(F.col(n).isNotNull(), F.struct(F.col(position).alias("p"), F.col(n).cast("double").alias("v")))
-        for n in names
-    }
-    frame = with_halo(df.withColumns(known), position, block_rows, back=reach)
-    carry = block_carry(
-        frame.where(F.col(CORE)), keys, later={f"{n}__later": F.min(f"{n}__k") for n in names}
-    )
-    back = in_block(keys, position).rowsBetween(-reach, 0)
-    ahead = in_block(keys, F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
+    i = quoted(position)
+    columns = {n: quoted(n) for n in names}
+
+    def part(name: str, role: str) -> str:
+        return quoted(f"{name}__{role}")
+
+    known = [
+        f"CASE WHEN {c} IS NOT NULL THEN named_struct('p', {i}, 'v', CAST({c} AS DOUBLE)) END AS {part(n, 'k')}"
+        for n, c in columns.items()
+    ]
+    frame = with_halo(df.selectExpr("*", *known), position, block_rows, back=reach)
+    # Plain numbers, unlike structs, keep this a hash aggregate.
+    later = {}
+    for n, c in columns.items():
+        at = f"CASE WHEN {c} IS NOT NULL THEN {i} END"
+        later[f"{n}__later_p"] = F.expr(f"min({at})")
+        later[f"{n}__later_v"] = F.expr(f"min_by(CAST({c} AS DOUBLE), {at})")
+    carry = block_carry(frame.where(F.col(CORE)), keys, later=later)
+    series = ", ".join([*map(quoted, keys), quoted(BLOCK)])
+    back = f"(PARTITION BY {series} ORDER BY {i} ROWS BETWEEN {reach} PRECEDING AND CURRENT ROW)"
+    ahead = f"(PARTITION BY {series} ORDER BY {i} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     seen = core_rows(
-        frame.withColumns(
-            {f"{n}__p": F.last(f"{n}__k", ignorenulls=True).over(back) for n in names}
-        ).withColumns({f"{n}__n": F.last(f"{n}__k", ignorenulls=True).over(ahead) for n in names})
-    ).join(carry, [*keys, BLOCK], "left")
-    i = F.col(position)
-
-    def filled(name: str) -> Column:
-        before = F.col(f"{name}__p")
-        after = F.coalesce(F.col(f"{name}__n"), F.col(f"{name}__later"))
-        start, stop = before["p"] + F.lit(small), after["p"] - F.lit(small)
-        slope = (after["v"] - before["v"]) / (stop - start)
-        return (
-            F.when(F.col(name).isNotNull(), F.col(name).cast("double"))
-            .when(i - before["p"] <= small, before["v"])
-            .when(after["p"] - i <= small, after["v"])
-            .when(before.isNull(), F.lit(None).cast("double"))
-            .when(after.isNull(), before["v"])
-            .otherwise(before["v"] + slope * (i - start))
+        frame.selectExpr(
+            "*",
+            *[f"last({part(n, 'k')}, true) OVER {back} AS {part(n, 'p')}" for n in names],
+            *[f"last({part(n, 'k')}, true) OVER {ahead} AS {part(n, 'n')}" for n in names],
         )
+    ).join(carry, [*keys, BLOCK], "left")
 
-    return seen.withColumns({n: filled(n) for n in names}).select(*df.columns)
+    def filled(name: str) -> str:
+        x, before = columns[name], part(name, "p")
+        after_p = f"coalesce({part(name, 'n')}.p, {part(name, 'later_p')})"
+        after_v = f"coalesce({part(name, 'n')}.v, {part(name, 'later_v')})"
+        start, stop = f"({before}.p + {small})", f"({after_p} - {small})"
+        return f"""CASE WHEN {x} IS NOT NULL THEN CAST({x} AS DOUBLE)
+            WHEN {i} - {before}.p <= {small} THEN {before}.v
+            WHEN {after_p} - {i} <= {small} THEN {after_v}
+            WHEN {before} IS NULL THEN CAST(NULL AS DOUBLE)
+            WHEN {after_p} IS NULL THEN {before}.v
+            ELSE {before}.v + ({after_v} - {before}.v) / ({stop} - {start}) * ({i} - {start}) END AS {x}"""
+
+    return seen.selectExpr(*[filled(c) if c in columns else quoted(c) for c in df.columns])

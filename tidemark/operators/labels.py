@@ -53,34 +53,32 @@ def with_runs(
 
     ``run_end`` is exclusive; ``next_label`` is the label of the following run, null for the last.
     """
-    frame = previous_values(df, keys, position, [label], block_rows)
+    frame = previous_values(df, keys, position, [label], block_rows, keep_block=True)
     started = F.col(f"prev_{label}").isNull() | (F.col(f"prev_{label}") != F.col(label))
-    mark = F.when(F.col("is_start"), F.struct(F.col(position).alias("p"), F.col(label).alias("l")))
-    frame = with_block(
-        frame.withColumn("is_start", started).drop(f"prev_{label}").withColumn("_mark", mark), position, block_rows
-    )
+    frame = frame.withColumn("is_start", started).drop(f"prev_{label}")
+    at = F.when(F.col("is_start"), F.col(position))
     carry = block_carry(
         frame,
         keys,
-        earlier={"_mark_before": F.max("_mark")},
-        later={"_mark_after": F.min("_mark")},
+        earlier={"_start_before": F.max(at)},
+        later={"_start_after": F.min(at), "_label_after": F.min_by(label, at)},
         total={"_last_pos": F.max(position)},
     )
     up = in_block(keys, position).rowsBetween(Window.unboundedPreceding, 0)
     down = in_block(keys, F.desc(position)).rowsBetween(Window.unboundedPreceding, -1)
     local = frame.withColumns(
         {
-            "_own": F.last("_mark", ignorenulls=True).over(up),
-            "_following": F.last("_mark", ignorenulls=True).over(down),
+            "_start": F.last(at, ignorenulls=True).over(up),
+            "_next": F.last(at, ignorenulls=True).over(down),
+            "_next_label": F.last(F.when(F.col("is_start"), F.col(label)), ignorenulls=True).over(down),
         }
     ).join(carry, [*keys, BLOCK])
-    following = F.coalesce(F.col("_following"), F.col("_mark_after"))
     return local.select(
         *df.columns,
         "is_start",
-        F.coalesce(F.col("_own.p"), F.col("_mark_before.p")).alias("run_start"),
-        F.coalesce(following["p"], F.col("_last_pos") + 1).alias("run_end"),
-        following["l"].alias("next_label"),
+        F.coalesce("_start", "_start_before").alias("run_start"),
+        F.coalesce("_next", "_start_after", F.col("_last_pos") + 1).alias("run_end"),
+        F.coalesce("_next_label", "_label_after").alias("next_label"),
         BLOCK,
     )
 
@@ -104,13 +102,13 @@ def smooth_labels(
         F.col("run_start") == 0, F.coalesce(F.col("next_label"), F.col(label))
     )
     marked = runs.withColumn("_kept", kept)
-    placed = F.when(F.col("_kept").isNotNull(), F.struct(F.col(position).alias("p"), F.col("_kept").alias("l")))
-    carry = block_carry(marked, keys, earlier={"_kept_before": F.max(placed)})
+    at = F.when(F.col("_kept").isNotNull(), F.col(position))
+    carry = block_carry(marked, keys, earlier={"_kept_before": F.max_by("_kept", at)})
     up = in_block(keys, position).rowsBetween(Window.unboundedPreceding, 0)
     return (
         marked.withColumn("_kept", F.last("_kept", ignorenulls=True).over(up))
         .join(carry, [*keys, BLOCK])
-        .select(*df.columns, F.coalesce(F.col("_kept"), F.col("_kept_before.l")).alias(name))
+        .select(*df.columns, F.coalesce("_kept", "_kept_before").alias(name))
     )
 
 
@@ -219,17 +217,16 @@ def backfill_head_labels(
     df: DataFrame, keys: Sequence[str], position: str, label: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Rows before the first known label of their series take that label."""
-    known = F.when(F.col(label).isNotNull(), F.struct(F.col(position).alias("p"), F.col(label).alias("l")))
-    frame = with_block(df, position, block_rows).withColumn("_known", known)
-    carry = block_carry(frame, keys, earlier={"_seen": F.max("_known")}, later={"_later": F.min("_known")})
-    w = in_block(keys, position)
-    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    at = F.when(F.col(label).isNotNull(), F.col(position))
+    frame = with_block(df, position, block_rows)
+    carry = block_carry(frame, keys, earlier={"_seen": F.max(at)}, later={"_later": F.min_by(label, at)})
+    up = in_block(keys, position).rowsBetween(Window.unboundedPreceding, 0)
     down = in_block(keys, F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
     frame = frame.withColumns(
-        {"_up": F.last("_known", ignorenulls=True).over(up), "_down": F.last("_known", ignorenulls=True).over(down)}
+        {"_up": F.max(at).over(up), "_down": F.last(label, ignorenulls=True).over(down)}
     ).join(carry, [*keys, BLOCK])
     at_head = F.col("_up").isNull() & F.col("_seen").isNull()
-    first = F.coalesce(F.col("_down.l"), F.col("_later.l"))
+    first = F.coalesce("_down", "_later")
     return frame.withColumn(label, F.when(at_head, first).otherwise(F.col(label))).select(*df.columns)
 
 

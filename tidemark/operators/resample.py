@@ -7,30 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import angle_of, present
+from tidemark.functions.scalars import present, quoted
 from tidemark.functions.times import DAY, common_step, from_micros, is_zoneless, to_micros, width_micros
 from tidemark.operators.series import BLOCK_ROWS, spread_join
+from tidemark.session import stage
+
+# About 40 bytes per station, so the broadcast stays near 8 MB.
+BROADCAST_STATIONS = 200_000
 
 
 def _floor_to(micros: Column, step: int) -> Column:
     return micros - F.pmod(micros, F.lit(step))
 
 
-def _sums(columns: Sequence[str], directional: Sequence[str], first_pass: bool) -> list[Column]:
-    """Sum and count per output column; the second pass adds up the first one's results."""
-    parts = {f"{c}__x": F.col(c) for c in columns}
+def _parts(numeric: Sequence[str], directional: Sequence[str]) -> dict[str, str]:
+    """Averaged quantities: a numeric column is one, a direction is the two sides of its angle."""
+    parts = {f"{c}__x": quoted(c) for c in numeric}
     for c in directional:
-        parts[f"{c}__sin"] = F.sin(F.radians(c))
-        parts[f"{c}__cos"] = F.cos(F.radians(c))
-    out = []
-    for name, source in parts.items():
-        out.append((F.sum(source) if first_pass else F.sum(f"{name}_sum")).alias(f"{name}_sum"))
-        out.append((F.count(source) if first_pass else F.sum(f"{name}_n")).alias(f"{name}_n"))
-    return out
+        parts[f"{c}__sin"] = f"sin(radians({quoted(c)}))"
+        parts[f"{c}__cos"] = f"cos(radians({quoted(c)}))"
+    return parts
 
 
-def _mean(name: str) -> Column:
-    return F.when(F.col(f"{name}_n") > 0, F.col(f"{name}_sum") / F.col(f"{name}_n"))
+def _mean(name: str) -> str:
+    total, n = quoted(f"{name}_sum"), quoted(f"{name}_n")
+    return f"CASE WHEN {n} > 0 THEN {total} / {n} END"
 
 
 def station_spans(df: DataFrame, station: str, timestamp: str, width: str) -> DataFrame:
@@ -89,29 +90,43 @@ def bin_means(
 ) -> DataFrame:
     """Mean per (station, bin) for bins that hold readings; key column ``_bin`` in microseconds.
 
-    Aggregation starts on a step that divides both the bin width and a day, which needs no
-    knowledge of the station's first day and combines before the shuffle. Only widths that do not
-    divide a day need a second, much smaller, pass to the station's own bin borders.
+    A width that divides a day needs no knowledge of the station's first day. Other widths need it:
+    with few enough stations their first days are broadcast, otherwise readings are first combined
+    on a step that divides both the width and a day and only then meet their station's first day.
     """
     step = width_micros(width)
     fine = common_step(step, DAY)
     micros = to_micros(F.col(timestamp), is_zoneless(df, timestamp))
     rows = df.where(F.col(station).isNotNull() & F.col(timestamp).isNotNull())
-    sums = rows.groupBy(station, _floor_to(micros, fine).alias("_bin")).agg(*_sums(numeric, directional, True))
-    if fine != step:
-        spans = station_spans(df, station, timestamp, width).select(station, "_anchor")
-        own_bin = F.col("_anchor") + _floor_to(F.col("_fine") - F.col("_anchor"), step)
-        sums = (
-            spread_join(sums.withColumnRenamed("_bin", "_fine"), spans, [station], ["_fine"])
-            .groupBy(station, own_bin.alias("_bin"))
-            .agg(*_sums(numeric, directional, False))
+    parts = _parts(numeric, directional)
+
+    def totals(source: DataFrame, bins: Column) -> DataFrame:
+        return source.groupBy(station, bins.alias("_bin")).agg(
+            *[F.expr(f"sum({e}) AS {quoted(n + '_sum')}") for n, e in parts.items()],
+            *[F.expr(f"count({e}) AS {quoted(n + '_n')}") for n, e in parts.items()],
         )
-    return sums.select(
-        station,
-        "_bin",
-        *[_mean(f"{c}__x").alias(c) for c in numeric],
-        *[angle_of(_mean(f"{c}__sin"), _mean(f"{c}__cos")).alias(c) for c in directional],
-    )
+
+    if fine == step:
+        sums = totals(rows, _floor_to(micros, step))
+    else:
+        spans = stage(station_spans(df, station, timestamp, width).select(station, "_anchor"), "spans")
+        if spans.count() <= BROADCAST_STATIONS:
+            own_bin = F.col("_anchor") + _floor_to(micros - F.col("_anchor"), step)
+            sums = totals(rows.join(F.broadcast(spans), station), own_bin)
+        else:
+            own_bin = F.col("_anchor") + _floor_to(F.col("_fine") - F.col("_anchor"), step)
+            names = [quoted(f"{n}_{kind}") for n in parts for kind in ("sum", "n")]
+            fine_sums = totals(rows, _floor_to(micros, fine)).withColumnRenamed("_bin", "_fine")
+            sums = (
+                spread_join(fine_sums, spans, [station], ["_fine"])
+                .groupBy(station, own_bin.alias("_bin"))
+                .agg(*[F.expr(f"sum({t}) AS {t}") for t in names])
+            )
+    means = [f"{_mean(c + '__x')} AS {quoted(c)}" for c in numeric]
+    for c in directional:
+        angle = f"degrees(atan2({_mean(c + '__sin')}, {_mean(c + '__cos')})) + 360.0D"
+        means.append(f"pmod({angle}, 360.0D) AS {quoted(c)}")
+    return sums.selectExpr(quoted(station), "_bin", *means)
 
 
 def resample_mean(

@@ -120,14 +120,21 @@ def number_rows(
 
 
 def previous_values(
-    df: DataFrame, keys: Sequence[str], position: str, columns: Sequence[str], block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    position: str,
+    columns: Sequence[str],
+    block_rows: int = BLOCK_ROWS,
+    keep_block: bool = False,
 ) -> DataFrame:
-    """Adds ``prev_<c>``: the value one position earlier in the series."""
+    """Adds ``prev_<c>``: the value one position earlier in the series.
+
+    ``keep_block`` leaves the block column in place, so that further work per block needs no shuffle.
+    """
     frame = with_halo(df, position, block_rows, back=1)
     w = in_block(keys, position)
-    return core_rows(
-        frame.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns})
-    ).drop(BLOCK)
+    found = core_rows(frame.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns}))
+    return found if keep_block else found.drop(BLOCK)
 
 
 SALTS = 16

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import BLOCK, BLOCK_ROWS, core_rows, in_block, with_halo
+from tidemark.functions.scalars import quoted
+from tidemark.operators.series import BLOCK, BLOCK_ROWS, CORE, core_rows, in_block, with_halo
 
 # Statistics in the order in which feature columns are laid out.
 STATS = ("mean", "std", "trend", "energy", "max", "min")
@@ -95,92 +96,91 @@ def sliding_windows(
     )
 
 
-def _settle(complete: Column, value: Column, null_policy: str) -> Column:
+def _settle(complete: str, value: str, null_policy: str) -> str:
     if null_policy == "zero":
-        return F.coalesce(F.when(complete, value), F.lit(0.0))
+        return f"coalesce(CASE WHEN {complete} THEN {value} END, 0.0D)"
     return value
 
 
+def _doubles(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    return df.selectExpr(*map(quoted, keep), *[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in columns])
+
+
 def _frames(df, station, timestamp, position, columns, scales, stride, stats, null_policy, block_rows):
     largest = scales[-1]
-    order = in_block([station], position)
-    p = F.col(position)
-    frame = with_halo(
-        df.select(station, position, timestamp, *[F.col(c).cast("double").alias(c) for c in columns]),
-        position, block_rows, back=largest - 1,
-    )
-    features: dict[str, Column] = {}
+    p, ts = quoted(position), quoted(timestamp)
+    frame = with_halo(_doubles(df, [station, position, timestamp], columns), position, block_rows, back=largest - 1)
+    order = f"PARTITION BY {quoted(station)}, {quoted(BLOCK)} ORDER BY {p}"
+    features = []
     for scale in scales:
-        w = order.rowsBetween(-(scale - 1), 0)
+        w = f"({order} ROWS BETWEEN {scale - 1} PRECEDING AND CURRENT ROW)"
         for c in columns:
-            x = F.col(c)
-            complete = F.count(x).over(w) == scale
+            x = quoted(c)
             forms = {
-                "mean": F.avg(x).over(w),
-                "std": F.stddev_pop(x).over(w),
-                "energy": F.avg(x * x).over(w),
-                "max": F.max(x).over(w),
-                "min": F.min(x).over(w),
+                "mean": f"avg({x}) OVER {w}",
+                "std": f"stddev_pop({x}) OVER {w}",
+                "energy": f"avg({x} * {x}) OVER {w}",
+                "max": f"max({x}) OVER {w}",
+                "min": f"min({x}) OVER {w}",
+                "trend": f"{x} - lag({x}, {scale - 1}) OVER ({order})",
             }
             for stat in stats:
-                if stat == "trend":
-                    value = _settle(F.lit(True), x - F.lag(x, scale - 1).over(order), null_policy)
-                else:
-                    value = _settle(complete, forms[stat], null_policy)
-                features[f"{c}_s{scale}_{stat}"] = value
-    features["start_time"] = F.lag(timestamp, largest - 1).over(order)
-    ends = frame.withColumns(features)
-    return core_rows(
-        ends.where((p >= largest - 1) & (F.pmod(p - (largest - 1), F.lit(stride)) == 0))
-    ).select(station, p.alias("end_idx"), "start_time", F.col(timestamp).alias("end_time"), *[n for n in features if n != "start_time"])
+                complete = "true" if stat == "trend" else f"count({x}) OVER {w} = {scale}"
+                features.append(f"{_settle(complete, forms[stat], null_policy)} AS {quoted(f'{c}_s{scale}_{stat}')}")
+    ends = frame.selectExpr(
+        quoted(station), quoted(CORE), f"{p} AS end_idx", f"lag({ts}, {largest - 1}) OVER ({order}) AS start_time",
+        f"{ts} AS end_time", *features,
+    )
+    return core_rows(ends.where(f"end_idx >= {largest - 1} AND pmod(end_idx - {largest - 1}, {stride}) = 0"))
 
 
-def _window_ends(first_end: Column, stride: int) -> Column:
-    """End positions of windows ``_low`` .. ``_high``."""
-    step = F.lit(stride).cast("long")
-    return F.explode(F.sequence(F.col("_low") * step + first_end, F.col("_high") * step + first_end, step))
+def _hop_copies(df: DataFrame, position: str, size: int, stride: int) -> DataFrame:
+    """Each row once per window that holds it, with the window's ``end_idx``.
+
+    Window j ends at ``size - 1 + j * stride`` and holds the ``size`` positions up to there.
+    """
+    p = quoted(position)
+    spans = df.selectExpr(
+        "*",
+        f"greatest(CAST(ceil(({p} - {size - 1}) / {stride}) AS BIGINT), 0L) AS _low",
+        f"CAST(floor({p} / {stride}) AS BIGINT) AS _high",
+    ).where("_low <= _high")
+    ends = f"explode(sequence(_low * {stride} + {size - 1}, _high * {stride} + {size - 1}, CAST({stride} AS BIGINT))) AS end_idx"
+    return spans.selectExpr("*", ends).drop("_low", "_high")
 
 
 def _hops(df, station, timestamp, position, columns, scales, stride, stats, null_policy, block_rows):
     largest = scales[-1]
-    p, end = F.col(position), F.col("end_idx")
-    first_end = F.lit(largest - 1).cast("long")
-    # Window j ends at first_end + j * stride and holds the positions end - largest + 1 .. end.
-    low = F.greatest(F.ceil((p - first_end) / F.lit(stride)).cast("long"), F.lit(0).cast("long"))
-    high = F.floor((p + F.lit(largest - 1) - first_end) / F.lit(stride)).cast("long")
-    copies = (
-        df.select(station, position, timestamp, *[F.col(c).cast("double").alias(c) for c in columns])
-        .withColumn("_low", low)
-        .withColumn("_high", high)
-        .where(F.col("_low") <= F.col("_high"))
-        .withColumn("end_idx", _window_ends(first_end, stride))
-    )
-    aggregates: dict[str, Column] = {
-        "start_time": F.min(timestamp),
-        "end_time": F.max(timestamp),
-        "_rows": F.count(F.lit(1)),
-    }
+    p = quoted(position)
+    copies = _hop_copies(_doubles(df, [station, position, timestamp], columns), position, largest, stride)
+    features = []
     for scale in scales:
         for c in columns:
-            x = F.when(p > end - scale, F.col(c)) if scale != largest else F.col(c)
-            complete = F.count(x) == scale
+            x = quoted(c) if scale == largest else f"CASE WHEN {p} > end_idx - {scale} THEN {quoted(c)} END"
+            last = f"max(CASE WHEN {p} = end_idx THEN {quoted(c)} END)"
+            first = f"max(CASE WHEN {p} = end_idx - {scale - 1} THEN {quoted(c)} END)"
             forms = {
-                "mean": F.avg(x),
-                "std": F.stddev_pop(x),
-                "energy": F.avg(x * x),
-                "max": F.max(x),
-                "min": F.min(x),
+                "mean": f"avg({x})",
+                "std": f"stddev_pop({x})",
+                "energy": f"avg(({x}) * ({x}))",
+                "max": f"max({x})",
+                "min": f"min({x})",
+                "trend": f"{last} - {first}",
             }
             for stat in stats:
-                if stat == "trend":
-                    last = F.max(F.when(p == end, F.col(c)))
-                    first = F.max(F.when(p == end - (scale - 1), F.col(c)))
-                    value = _settle(F.lit(True), last - first, null_policy)
-                else:
-                    value = _settle(complete, forms[stat], null_policy)
-                aggregates[f"{c}_s{scale}_{stat}"] = value
-    grouped = copies.groupBy(station, "end_idx").agg(*[e.alias(n) for n, e in aggregates.items()])
-    return grouped.where(F.col("_rows") == largest).drop("_rows")
+                complete = "true" if stat == "trend" else f"count({x}) = {scale}"
+                features.append(f"{_settle(complete, forms[stat], null_policy)} AS {quoted(f'{c}_s{scale}_{stat}')}")
+    return (
+        copies.groupBy(station, "end_idx")
+        .agg(
+            F.min(timestamp).alias("start_time"),
+            F.max(timestamp).alias("end_time"),
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.expr(f) for f in features],
+        )
+        .where(F.col("_rows") == largest)
+        .drop("_rows")
+    )
 
 
 def window_median_raw_energy(
@@ -190,14 +190,7 @@ def window_median_raw_energy(
 
     Null readings are skipped; a window without any reading has a null median.
     """
-    first_end = size - 1
-    p = F.col(position)
-    low = F.greatest(F.ceil((p - first_end) / F.lit(stride)).cast("long"), F.lit(0).cast("long"))
-    high = F.floor(p / F.lit(stride)).cast("long")
-    copies = (
-        df.withColumn("_low", low).withColumn("_high", high).where(F.col("_low") <= F.col("_high"))
-        .withColumn("end_idx", _window_ends(F.lit(first_end).cast("long"), stride))
-    )
+    copies = _hop_copies(df, position, size, stride)
     # A group holds at most ``size`` rows, so ordering its values in memory is bounded.
     return (
         copies.groupBy(F.col(station).alias("station"), "end_idx")
