@@ -98,10 +98,10 @@ def silhouette_exact(df: DataFrame, point: str, label: str, vector: str, tile_po
             F.max(F.when(own, F.col("total"))).alias("inside"),
             F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
         )
-        .withColumn("a", F.col("inside") / (F.col("n") - 1))
+        .withColumn("a", F.try_divide("inside", F.col("n") - 1))
     )
     widest = F.greatest("a", "b")
-    score = F.when((F.col("n") == 1) | (widest == 0), 0.0).otherwise((F.col("b") - F.col("a")) / widest)
+    score = F.when(F.col("n") == 1, 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), widest), F.lit(0.0)))
     return per_point.agg(F.coalesce(F.avg(F.when(F.col("b").isNotNull(), score)), F.lit(-1.0)).alias("silhouette"))
 
 

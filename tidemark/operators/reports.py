@@ -335,7 +335,7 @@ def sensor_health(
         .agg(
             F.first("_known").alias("_known"),
             F.first("_mad").alias("_mad"),
-            F.sum((F.col("_off") / (MAD_SCALE * F.col("_mad")) > SPIKE_Z).cast("int")).alias("_spikes"),
+            F.sum((F.try_divide("_off", MAD_SCALE * F.col("_mad")) > SPIKE_Z).cast("int")).alias("_spikes"),
         )
     )
     shape = stepped.groupBy(station).agg(
