@@ -67,15 +67,19 @@ def centroids_query(spark, sf_dir):
     return centers.select("label", F.posexplode("centroid").alias("i", "m")).withColumn("i", F.col("i").cast("long"))
 
 
-@query("silhouette_exact", chain(POINTS) + f"""SELECT {rounded("avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette")} FROM
+def silhouette_sql(distance: str, name: str) -> str:
+    return chain(POINTS) + f"""SELECT {rounded(f"avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS {name}")} FROM
 (SELECT id, max(n) FILTER (WHERE own) AS n, max(total / (n - 1)) FILTER (WHERE own AND n > 1) AS a, min(total / n) FILTER (WHERE NOT own) AS b FROM
-  (SELECT p.vec_id AS id, q.label = p.label AS own, q.label AS l, count(*) AS n, sum(list_distance(p.x, q.x)) AS total
-   FROM points p, points q GROUP BY 1, 2, 3) GROUP BY 1)""")
+  (SELECT p.vec_id AS id, q.label = p.label AS own, q.label AS l, count(*) AS n, sum({distance}) AS total
+   FROM points p, points q GROUP BY 1, 2, 3) GROUP BY 1)"""
+
+
+@query("silhouette_exact", silhouette_sql("list_distance(p.x, q.x)", "silhouette"))
 def silhouette_query(spark, sf_dir):
     return agreement.silhouette_exact(points(spark, sf_dir), "vec_id", "label", "embedding", 128)
 
 
-@query("silhouette_fast")
+@query("silhouette_fast", silhouette_sql("list_distance(p.x, q.x) * list_distance(p.x, q.x)", "silhouette_squared"))
 def silhouette_fast_query(spark, sf_dir):
     value = agreement.silhouette_fast(points(spark, sf_dir), "label", "embedding")
     return spark.createDataFrame([(value,)], "silhouette_squared double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from tidemark.catalog.label_queries import sequences_sql
 from tidemark.catalog.registry import (
     BY_TYPE, DIRECTIONS, NUMERIC, aligned_sql, chain, clean_sql, query, rounded, scratch, table, telemetry, telemetry_sql,
 )
-from tidemark.catalog.window_queries import regime_features
+from tidemark.catalog.window_queries import REGIME_FEATURES_SQL, regime_features
 from tidemark.functions.times import to_micros
 from tidemark.operators import clusters, hierarchy, hmm, latent
 from tidemark.operators.agreement import centroids
@@ -22,7 +22,7 @@ from tidemark.operators.windows import META
 from tidemark.params import Columns, Models, Params, Windows
 from tidemark.plans.discovery import discover
 from tidemark.plans.scoring import score_telemetry, score_windows
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, stage
 from tidemark.sources.model_store import StoredModels, load_models, save_models
 from tidemark.sources.writers import write_reports_json, write_window_features, write_window_regimes
 from tidemark.streaming.live import stream_resample, stream_score
@@ -224,7 +224,7 @@ def changepoints_query(spark, sf_dir):
 # ---- sinks, stored models, streams ----------------------------------------------------------
 
 
-@query("write_window_features")
+@query("write_window_features", REGIME_FEATURES_SQL)
 def write_features_query(spark, sf_dir):
     path = scratch(spark, "features")
     write_window_features(regime_features(spark, sf_dir), path)
@@ -280,28 +280,23 @@ def score_query(spark, sf_dir):
 SMALL = Params(
     columns=Columns(numeric=tuple(NUMERIC), directional=tuple(DIRECTIONS), width="1h"),
     windows=Windows(multiscale=False, size=12, step=12, stats=("mean", "std")),
-    models=Models(candidates=(2, 3), restarts=1, hmm_iterations=3, latent_dim=4, super_regimes=2),
+    models=Models(candidates=(2,), restarts=1, hmm_iterations=3, super_regimes=2),
 )
 
 
-def found(spark, sf_dir):
-    return discover(telemetry(spark, sf_dir, "event_type").drop("event_id"), SMALL, stability=False, latent=True)
-
-
 @query("discover_regimes")
 def discover_query(spark, sf_dir):
-    return found(spark, sf_dir).labelled
+    return discover(telemetry(spark, sf_dir, "event_type").drop("event_id"), SMALL, stability=False).labelled
 
 
 @query("score_telemetry")
 def score_telemetry_query(spark, sf_dir):
-    raw = telemetry(spark, sf_dir, "event_type").drop("event_id")
-    result = found(spark, sf_dir)
+    windows = cut_lineage(regime_features(spark, sf_dir))
     path = scratch(spark, "models")
-    save_models(spark, result.models, path)
-    models = load_models(spark, path)
-    assert json.loads(json.dumps(models.settings)) == models.settings
-    return score_telemetry(raw, SMALL, models)
+    save_models(spark, stored(spark, sf_dir, windows), path)
+    raw = telemetry(spark, sf_dir, "event_type").drop("event_id")
+    plain = replace(SMALL, columns=replace(SMALL.columns, directional=()))
+    return score_telemetry(raw, plain, load_models(spark, path), keep=stage)
 
 
 LATENESS_HOURS = 2

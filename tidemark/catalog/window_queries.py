@@ -179,5 +179,7 @@ def regime_features(spark, sf_dir):
     return sliding_windows(full, "STATION", "DATE", "pos", NUMERIC, 12, 12, ("mean", "std"))
 
 
-query("regime_features", chain(telemetry_sql(BY_TYPE), clean_sql(), aligned_sql(1), fill_sql({c: c for c in NUMERIC}, 2, 6))
-      + windows_sql(NUMERIC, [12], 12, ("mean", "std")))(regime_features)
+REGIME_FEATURES_SQL = chain(
+    telemetry_sql(BY_TYPE), clean_sql(), aligned_sql(1), fill_sql({c: c for c in NUMERIC}, 2, 6)
+) + windows_sql(NUMERIC, [12], 12, ("mean", "std"))
+query("regime_features", REGIME_FEATURES_SQL)(regime_features)
