@@ -192,22 +192,27 @@ def plain_counts(x):
     return start / total, pairs / total, held / total
 
 
-@pytest.mark.parametrize("block", [1, 6, 8192])
-def test_decode_and_likelihood_for_any_block(spark, block):
+@pytest.mark.parametrize("block,chained", [(1, 8192), (6, 8192), (8192, 8192), (1, 7), (6, 2)])
+def test_decode_and_likelihood_for_any_block(spark, monkeypatch, block, chained):
+    monkeypatch.setattr(hmm, "CHAIN_TABLES", chained)
     df, data = sequences(spark)
     paths = {}
     for r in hmm.hmm_decode(df, KEYS, "seq", "x", MODEL, block_rows=block).orderBy("seq").collect():
         paths.setdefault(r.station, []).append(r.state)
     assert paths == {s: plain_viterbi(x) for s, x in data.items()}
     blocks = hmm.arrange_blocks(df, KEYS, "seq", "x", block)
-    assert hmm.log_likelihood(blocks, MODEL) == pytest.approx(sum(plain_likelihood(x) for x in data.values()))
+    assert hmm._is_long(blocks) == (chained < 50 / block)
+    wanted = sum(plain_likelihood(x) for x in data.values())
+    assert hmm.log_likelihood(blocks, MODEL, hmm._is_long(blocks)) == pytest.approx(wanted)
 
 
-def test_expected_counts_for_any_block(spark):
+def test_expected_counts_for_any_block(spark, monkeypatch):
     df, data = sequences(spark, (8, 5))
     wanted = [plain_counts(x) for x in data.values()]
+    monkeypatch.setattr(hmm, "CHAIN_TABLES", 3)
     for block in (1, 3, 100):
-        stats = hmm._expectation(hmm.arrange_blocks(df, KEYS, "seq", "x", block), MODEL)
+        blocks = hmm.arrange_blocks(df, KEYS, "seq", "x", block)
+        stats = hmm._expectation(blocks, MODEL, hmm._is_long(blocks))
         assert stats[1:3] == pytest.approx(sum(w[0] for w in wanted))
         assert stats[3:7].reshape(2, 2) == pytest.approx(sum(w[1] for w in wanted))
         assert stats[7:9] == pytest.approx(sum(w[2] for w in wanted))

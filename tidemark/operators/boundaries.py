@@ -10,25 +10,16 @@ result is exact for series of any length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.series import BLOCK, block_of
 
-BLOCK_SPAN = 65_536
-
-_TABLE = T.StructType(
-    [
-        T.StructField("exit", T.ArrayType(T.LongType())),
-        T.StructField("matched", T.ArrayType(T.LongType())),
-    ]
-)
-
+BLOCK_SPAN = 262_144
 
 def _block_table(predicted: np.ndarray, truth: np.ndarray, start: int, span: int, tolerance: int):
     entry = np.arange(start - tolerance, start + tolerance + 1)
@@ -45,19 +36,6 @@ def _block_table(predicted: np.ndarray, truth: np.ndarray, start: int, span: int
     return np.maximum(free, stop - tolerance) - (stop - tolerance), matched
 
 
-def _tables(span: int, tolerance: int):
-    @F.pandas_udf(_TABLE)
-    def tables(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for predicted, truth, block in batches:
-            rows = [
-                _block_table(np.sort(np.asarray(p, dtype=np.int64)), np.sort(np.asarray(t, dtype=np.int64)), int(b) * span, span, tolerance)
-                for p, t, b in zip(predicted, truth, block)
-            ]
-            yield pd.DataFrame({"exit": [list(e) for e, _ in rows], "matched": [list(m) for _, m in rows]})
-
-    return tables
-
-
 def match_boundaries(
     truth: DataFrame,
     predicted: DataFrame,
@@ -79,18 +57,30 @@ def match_boundaries(
         F.explode(F.sequence(block_of(F.greatest(p - tolerance, F.lit(0)), block_span), block_of(p + tolerance, block_span))).alias(BLOCK),
         home.alias("_own"),
     ).select(*keys, "_p", "_is_true", (F.col(BLOCK) == F.col("_own")).alias("_home"), BLOCK)
-    # At most block_span + 2 * tolerance distinct positions per group.
-    blocks = pred.unionByName(true).groupBy(*keys, BLOCK).agg(
-        F.collect_list(F.when(~F.col("_is_true"), F.col("_p"))).alias("_pred"),
-        F.collect_list(F.when(F.col("_is_true"), F.col("_p"))).alias("_true"),
-        F.sum(F.when(F.col("_is_true") & F.col("_home"), 1).otherwise(0)).alias("_n_true"),
-    )
-    tabled = blocks.select(
-        *keys,
-        BLOCK,
-        F.size("_pred").cast("long").alias("_n_pred"),
-        "_n_true",
-        _tables(block_span, tolerance)("_pred", "_true", BLOCK).alias("_t"),
+    def table(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = int(pdf[BLOCK].iloc[0])
+        is_true = pdf["_is_true"].to_numpy()
+        positions = pdf["_p"].to_numpy()
+        found, real = np.sort(positions[~is_true]), np.sort(positions[is_true])
+        leave, matched = _block_table(found, real, block * block_span, block_span, tolerance)
+        return pd.DataFrame(
+            {
+                **{k: [pdf[k].iloc[0]] for k in keys},
+                BLOCK: [block],
+                "_n_true": [int((is_true & pdf["_home"].to_numpy()).sum())],
+                "_n_pred": [len(found)],
+                "_exit": [leave],
+                "_matched": [matched],
+            }
+        )
+
+    kinds = "".join(f"`{k}` {pred.schema[k].dataType.simpleString()}, " for k in keys)
+    # A group holds the positions of one block: at most 2 * block_span + 2 * tolerance rows.
+    tabled = (
+        pred.unionByName(true)
+        .groupBy(*keys, BLOCK)
+        .applyInPandas(table, f"{kinds}{BLOCK} long, _n_true long, _n_pred long, _exit array<long>, _matched array<long>")
+        .select(*keys, BLOCK, "_n_true", "_n_pred", F.struct(F.col("_exit").alias("exit"), F.col("_matched").alias("matched")).alias("_t"))
     )
 
     def step(state, block):

@@ -2,8 +2,12 @@
 
 A forward or Viterbi recursion is a chain of small matrix products, and a chain may be bracketed at
 will. A series is cut into blocks; each block is reduced to one k x k table (stage 1), the tables of
-a series are chained (stage 2, one row per block), and with what enters and leaves every block known
-the blocks finish independently (stage 3). The result equals the plain recursion over the series.
+a series are chained (stage 2), and with what enters and leaves every block known the blocks finish
+independently (stage 3). The result equals the plain recursion over the series.
+
+The chain of a series with more than ``CHAIN_TABLES`` blocks is itself cut: runs of tables are
+multiplied first, the products are chained, and each run is then resolved from both its ends. No
+task handles more than ``CHAIN_TABLES`` tables until a series has ``CHAIN_TABLES`` squared blocks.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from tidemark.operators.clusters import candidate_states, kmeans_fit
 from tidemark.operators.series import BLOCK, block_of
 
 HMM_BLOCK_ROWS = 8_192
+CHAIN_TABLES = 8_192
 # The variance prior of the maximisation step and the floor of its denominator.
 VARIANCE_PRIOR = 1e-2
 DENOMINATOR_FLOOR = 1e-5
@@ -260,42 +265,96 @@ def _block_tables(blocks: DataFrame, parameters: HmmParameters, reduce_block) ->
     return blocks.groupBy("_series", BLOCK).applyInPandas(table, f"_series string, {BLOCK} long, _table array<double>")
 
 
-def _evidence(blocks: DataFrame, parameters: HmmParameters) -> DataFrame:
+def _sum_product(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return _logsumexp(first[:, :, None] + second[None], axis=1)
+
+
+def _best_product(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (first[:, :, None] + second[None]).max(axis=1)
+
+
+def _ordered_tables(pdf: pd.DataFrame, k: int) -> tuple[pd.DataFrame, list[np.ndarray]]:
+    ordered = pdf.sort_values(BLOCK)
+    return ordered, [np.asarray(t).reshape(k, k) for t in ordered["_table"]]
+
+
+def _is_long(df: DataFrame, position: str = "_p", block_rows: int | None = None) -> bool:
+    """Whether some series has too many blocks for one chain."""
+    block = F.col(BLOCK) if block_rows is None else block_of(F.col(position), block_rows)
+    top = df.agg(F.max(block)).first()[0]
+    return top is not None and top >= CHAIN_TABLES
+
+
+def _resolve(tables: DataFrame, k: int, product, walk, edge_schema: str, long_series: bool) -> DataFrame:
+    """What enters and leaves every block: ``_series, _block`` and the columns of ``edge_schema``.
+
+    ``walk(tables, starts_series, edge)`` goes through consecutive tables; ``edge`` is None for a
+    whole series, else the columns found for the run of tables as one.
+    """
+    names = [part.split()[0] for part in edge_schema.split(", ")]
+    schema = f"_series string, {BLOCK} long, {edge_schema}"
+
+    def through(pdf: pd.DataFrame, edge: dict | None) -> pd.DataFrame:
+        ordered, parts = _ordered_tables(pdf, k)
+        found = walk(parts, int(ordered[BLOCK].iloc[0]) == 0, edge)
+        return pd.DataFrame({"_series": ordered["_series"].to_numpy(), BLOCK: ordered[BLOCK].to_numpy(), **found})
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return through(pdf, None)
+
+    if not long_series:
+        return tables.groupBy("_series").applyInPandas(whole, schema)
+
+    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
+        ordered, parts = _ordered_tables(pdf, k)
+        total = parts[0]
+        for part in parts[1:]:
+            total = product(total, part)
+        run = int(ordered["_run"].iloc[0])
+        return pd.DataFrame({"_series": [ordered["_series"].iloc[0]], BLOCK: [run], "_table": [total.ravel()]})
+
+    def inside(pdf: pd.DataFrame, edge: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or edge.empty:
+            return pd.DataFrame({c: [] for c in ("_series", BLOCK, *names)})
+        return through(pdf, {n: edge[n].iloc[0] for n in names})
+
+    runs = tables.withColumn("_run", block_of(F.col(BLOCK), CHAIN_TABLES))
+    products = runs.groupBy("_series", "_run").applyInPandas(
+        multiply, f"_series string, {BLOCK} long, _table array<double>"
+    )
+    edges = products.groupBy("_series").applyInPandas(whole, schema).withColumnRenamed(BLOCK, "_run")
+    return runs.groupBy("_series", "_run").cogroup(edges.groupBy("_series", "_run")).applyInPandas(inside, schema)
+
+
+def _evidence(blocks: DataFrame, parameters: HmmParameters, long_series: bool = False) -> DataFrame:
     """Per block: log weight of each state before it and after it, and the log-likelihood of its series."""
     k = parameters.states
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values(BLOCK)
-        tables = [np.asarray(t).reshape(k, k) for t in ordered["_table"]]
-        before, after = [np.zeros(k)], [np.zeros(k)]
+    def walk(tables, starts_series, edge):
+        before = [np.zeros(k) if edge is None else np.asarray(edge["_before"])]
+        after = [np.zeros(k) if edge is None else np.asarray(edge["_after"])]
         for n, t in enumerate(tables):
             # Before the first block there is no state; all rows of its table are alike.
-            before.append(t[0] if n == 0 else _logsumexp(before[-1][:, None] + t, axis=0))
+            starting = starts_series and n == 0
+            before.append(t[0] if starting else _logsumexp(before[-1][:, None] + t, axis=0))
         for t in reversed(tables[1:]):
             after.append(_logsumexp(t + after[-1][None], axis=1))
-        total = float(_logsumexp(before[-1], axis=0))
-        return pd.DataFrame(
-            {
-                "_series": ordered["_series"],
-                BLOCK: ordered[BLOCK],
-                "_before": before[:-1],
-                "_after": after[::-1],
-                "_evidence": total,
-            }
-        )
+        total = float(_logsumexp(before[-1], axis=0)) if edge is None else float(edge["_evidence"])
+        return {"_before": before[:-1], "_after": after[::-1], "_evidence": total}
 
-    return _block_tables(blocks, parameters, _likelihood_table).groupBy("_series").applyInPandas(
-        chain, f"_series string, {BLOCK} long, _before array<double>, _after array<double>, _evidence double"
+    tables = _block_tables(blocks, parameters, _likelihood_table)
+    return _resolve(
+        tables, k, _sum_product, walk, "_before array<double>, _after array<double>, _evidence double", long_series
     )
 
 
-def log_likelihood(blocks: DataFrame, parameters: HmmParameters) -> float:
+def log_likelihood(blocks: DataFrame, parameters: HmmParameters, long_series: bool = False) -> float:
     return float(
-        _evidence(blocks, parameters).where(F.col(BLOCK) == 0).agg(F.coalesce(F.sum("_evidence"), F.lit(0.0))).first()[0]
+        _evidence(blocks, parameters, long_series).where(F.col(BLOCK) == 0).agg(F.coalesce(F.sum("_evidence"), F.lit(0.0))).first()[0]
     )
 
 
-def _expectation(blocks: DataFrame, parameters: HmmParameters) -> np.ndarray:
+def _expectation(blocks: DataFrame, parameters: HmmParameters, long_series: bool = False) -> np.ndarray:
     def finish(rows: pd.DataFrame, edge: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or edge.empty:
             return pd.DataFrame({"_stats": []})
@@ -313,7 +372,7 @@ def _expectation(blocks: DataFrame, parameters: HmmParameters) -> np.ndarray:
 
     per_block = (
         blocks.groupBy("_series", BLOCK)
-        .cogroup(_evidence(blocks, parameters).groupBy("_series", BLOCK))
+        .cogroup(_evidence(blocks, parameters, long_series).groupBy("_series", BLOCK))
         .applyInPandas(finish, "_stats array<double>")
     )
     # A fixed number of sums: 1 + k + k*k + k + 2*k*d.
@@ -354,14 +413,15 @@ def initial_parameters(df: DataFrame, vector: str, states: int, seed: int) -> Hm
 def _fit_arranged(blocks: DataFrame, states: int, seed: int, iterations: int, tolerance: float) -> HmmFit:
     parameters = initial_parameters(blocks, "_x", states, seed)
     dimensions = parameters.means.shape[1]
+    long_series = _is_long(blocks)
     previous = -math.inf
     done = 0
     for done in range(1, iterations + 1):
-        parameters, evidence = _maximise(_expectation(blocks, parameters), states, dimensions)
+        parameters, evidence = _maximise(_expectation(blocks, parameters, long_series), states, dimensions)
         if evidence - previous < tolerance:
             break
         previous = evidence
-    return HmmFit(parameters, log_likelihood(blocks, parameters), iterations=done)
+    return HmmFit(parameters, log_likelihood(blocks, parameters, long_series), iterations=done)
 
 
 def hmm_fit(
@@ -422,22 +482,21 @@ def hmm_decode(
     blocks = arrange_blocks(df, keys, position, vector, block_rows)
     k = parameters.states
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values(BLOCK)
-        tables = [np.asarray(t).reshape(k, k) for t in ordered["_table"]]
-        scores = [np.zeros(k)]
+    def walk(tables, starts_series, edge):
+        scores = [np.zeros(k) if edge is None else np.asarray(edge["_scores"])]
         for n, t in enumerate(tables):
-            scores.append(t[0] if n == 0 else (scores[-1][:, None] + t).max(axis=0))
-        leave = [int(scores[-1].argmax())]
+            starting = starts_series and n == 0
+            scores.append(t[0] if starting else (scores[-1][:, None] + t).max(axis=0))
+        leave = [int(scores[-1].argmax()) if edge is None else int(edge["_leave"])]
         for n in range(len(tables) - 1, 0, -1):
             leave.append(int((scores[n] + tables[n][:, leave[-1]]).argmax()))
         leave = leave[::-1]
-        return pd.DataFrame(
-            {"_series": ordered["_series"], BLOCK: ordered[BLOCK], "_entry": [0, *leave[:-1]], "_leave": leave}
-        )
+        entry = 0 if edge is None else int(edge["_entry"])
+        return {"_scores": scores[:-1], "_entry": [entry, *leave[:-1]], "_leave": leave}
 
-    edges = _block_tables(blocks, parameters, _best_table).groupBy("_series").applyInPandas(
-        chain, f"_series string, {BLOCK} long, _entry int, _leave int"
+    edges = _resolve(
+        _block_tables(blocks, parameters, _best_table), k, _best_product, walk,
+        "_scores array<double>, _entry int, _leave int", _is_long(df, position, block_rows),
     )
 
     def finish(rows: pd.DataFrame, edge: pd.DataFrame) -> pd.DataFrame:
