@@ -9,6 +9,7 @@ from tidemark.operators.resample import resample_mean
 from tidemark.operators.windows import META
 from tidemark.params import Columns, Models, Params, Windows
 from tidemark.plans.discovery import discover
+from tidemark.plans.experiment import compare_experiments, run_experiment
 from tidemark.plans.scoring import score_telemetry, score_windows
 from tidemark.session import cut_lineage, shared_dir, stage
 from tidemark.sources.model_store import load_models, save_models
@@ -62,8 +63,17 @@ def test_discovery_stores_models_that_score(spark, tmp_path):
     assert again.exceptAll(scored.select("station", "end_idx", "micro_state")).count() == 0
 
 
-def test_whole_table_scope(spark):
-    result = discover(telemetry(spark, 2, 48), PARAMS, keys=(), latent=False, stability=False)
+def test_experiment_with_whole_table_scope(spark, tmp_path):
+    root = str(tmp_path)
+    result = run_experiment(telemetry(spark, 2, 48), PARAMS, "first", root, "a note", keys=(), stability=False)
+    rows, means = compare_experiments(spark, root)
+    compared = {r.model: r for r in rows.collect()}
+    assert set(compared) == {"kmeans", "gmm", "hmm", "hierarchy_super", "changepoint"}
+    assert compared["hmm"].bic is not None and compared["kmeans"].transition_entropy is not None
+    assert means.count() == 5
+    assert spark.read.json(f"{root}/first/experiment").first().notes == "a note"
+    assert spark.read.parquet(f"{root}/first/artifacts/window_features").count() == result.windows.count()
+    assert load_models(spark, f"{root}/first/artifacts/models").mode == "hmm_only"
     pairs = result.diagnostics["transition_matrix_kmeans"].agg(F.sum("n")).first()[0]
     assert pairs == result.windows.count() - 1
     assert result.models.mode == "hmm_only"
