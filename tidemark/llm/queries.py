@@ -1,6 +1,6 @@
 """All queries of the subpackage and their SQL."""
 
-from tidemark.llm import mixing  # noqa: F401
+from tidemark.llm import fingerprints, mixing, secret_scan, sharding, token_counts  # noqa: F401
 from tidemark.llm.common import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
