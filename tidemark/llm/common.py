@@ -106,6 +106,14 @@ def _inside(atoms: DataFrame, found: DataFrame, shift: int) -> DataFrame:
     return atoms.withColumn("_parent", F.shiftright("u", shift)).join(found.select("g", "_parent").distinct(), ["g", "_parent"])
 
 
-def named(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The columns of ``df`` of these names, and no others; a name may hold dots."""
-    return df.select(*(F.col(f"`{c}`") for c in columns))
+def shield(docs: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``needed`` renamed, and a function that gives the own columns back.
+
+    What an operator adds in between cannot clash with columns of the caller.
+    """
+    names = {c: c if c in needed else f"own{i}__" for i, c in enumerate(docs.columns)}
+
+    def restore(df: DataFrame) -> DataFrame:
+        return df.select(*(F.col(name).alias(c) for c, name in names.items()))
+
+    return docs.select(*(F.col(f"`{c}`").alias(name) for c, name in names.items())), restore

@@ -1,8 +1,8 @@
-"""Document fingerprints by closed syncmers over words.
+"""Document fingerprints by closed syncmers.
 
-A run of ``K`` words is an anchor if the least hash among its inner pieces, here single words, stands at either edge. Whether a
-run is an anchor depends on the run alone, so a passage keeps its anchors wherever it is moved. Every step is a
-DataFrame expression.
+A run of ``K`` pieces is an anchor if the least hash among its pieces stands at either edge. Whether a run is an anchor
+depends on the run alone, so a passage keeps its anchors wherever it is moved. The pieces are words; short texts,
+which have few words, add the anchors over their three-character pieces. Every step is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from tidemark.llm.common import query, table
 
 K = 4  # words of an anchor
 KEPT = 64  # least anchor values that make a fingerprint
+SHORT_WORDS, SHORT_CHARS = 32, 512  # texts of fewer words and at most so many characters are short
+GRAM = 3
 CHUNK_ROWS = 500
 MOST_CHUNKS = 2**16  # borders of chunks are held by the plan
 STEP = 256
@@ -50,29 +52,33 @@ def anchors(hashes: Column, k: int = K) -> Column:
     return F.filter(placed, lambda a: a["value"].isNotNull())
 
 
-def sketch(hashes: Column, k: int = K, kept: int = KEPT) -> Column:
-    """The ``kept`` least distinct anchor values of a text in ascending order."""
-    return F.slice(F.sort_array(F.array_distinct(F.array_compact(anchor_values(hashes, k)))), 1, kept)
+def gram_hashes(text: Column, n_words: Column) -> Column:
+    """Hashes of the overlapping three-character pieces of a short text; empty for others."""
+    n = F.length(text)
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - (GRAM - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(text, i, F.lit(GRAM))))
+    return F.when((n_words < SHORT_WORDS) & n.between(1, SHORT_CHARS), grams).otherwise(F.array().cast("array<bigint>"))
 
 
 def likeness(a: Column, b: Column, kept: int = KEPT) -> Column:
-    """Estimated share of common anchors of two sketches, 0 to 1; 1 if both are empty."""
+    """Twice the common anchors of two sketches over the anchors of both, estimated, 0 to 1; 1 if both are empty."""
     least = F.slice(F.sort_array(F.array_union(a, b)), 1, kept)
-    common = F.size(F.array_intersect(F.array_intersect(a, b), least))
-    return F.when(F.size(least) == 0, 1.0).otherwise(common / F.size(least))
+    share = F.size(F.array_intersect(F.array_intersect(a, b), least)) / F.size(least)
+    return F.when(F.size(least) == 0, 1.0).otherwise(2 * share / (1 + share))
 
 
 def as_text(values: Column) -> Column:
     return F.array_join(F.transform(values, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), ",")
 
 
-def with_sketch(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame:
-    hashed = df.withColumn("_h", word_hashes(F.col(text)))
-    return hashed.withColumn(name, sketch(F.col("_h"), k)).drop("_h")
+def with_sketch(df: DataFrame, text: str, name: str, k: int = K, kept: int = KEPT) -> DataFrame:
+    """``df`` with the ``kept`` least distinct anchor values of a text, in ascending order."""
+    hashed = df.withColumn("_w", word_hashes(F.col(text))).withColumn("_g", gram_hashes(F.col(text), F.size("_w")))
+    values = F.concat(anchor_values(F.col("_w"), k), anchor_values(F.col("_g"), k))
+    return hashed.withColumn(name, F.slice(F.sort_array(F.array_distinct(F.array_compact(values))), 1, kept)).drop("_w", "_g")
 
 
 def fingerprint(docs: DataFrame, k: int = K) -> DataFrame:
-    """``doc_id, fingerprint`` of every row; a null or blank text has the empty fingerprint."""
+    """``doc_id, fingerprint`` of every row; a null or empty text has the empty fingerprint."""
     return with_sketch(docs.select("doc_id", "text"), "text", "_f", k).select("doc_id", as_text(F.col("_f")).alias("fingerprint"))
 
 
@@ -125,7 +131,7 @@ def fingerprint_edits(docs: DataFrame, *, k: int = K, chunk_rows: int = CHUNK_RO
 
     Per row of ``docs`` (``doc_id, text``; other columns are ignored): ``doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next``. The edited text has the last half of its code points replaced by the first as many of
-    the next document by id. A null text is empty; texts without words have the empty fingerprint, and two of them
+    the next document by id. A null text is empty; empty texts have the empty fingerprint, and two of them
     are alike by 1. Rows of equal id are neighbours in the order of their texts' hashes. A table of one row follows
     itself; without rows the result is empty. Ids are numbers.
     """

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_points, n_words, query, ranked, table
+from tidemark.llm.common import cut_points, n_words, query, ranked, shield, table
 from tidemark.session import stage
 
 MAX_EPOCHS = 3.0
@@ -122,10 +122,10 @@ def mix_sources(docs: DataFrame, weigh, *, share: float = 1.0, max_epochs: float
 
 def take_mix(docs: DataFrame, weigh, *, share: float = 1.0, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The rows of the mix itself: every row of ``docs`` as often as it is taken, with its own columns."""
-    columns = docs.columns
-    plan = plan_mix(docs.select("doc_id", "text", "source"), weigh, share=share, max_epochs=max_epochs, seed=seed)
-    mixed = apply_mix(docs, plan, seed).where(F.col("_repeats") > 0)
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats")))).select(*(F.col(f"`{c}`") for c in columns))
+    rows, restore = shield(docs, ("doc_id", "text", "source"))
+    plan = plan_mix(rows.select("doc_id", "text", "source"), weigh, share=share, max_epochs=max_epochs, seed=seed)
+    mixed = apply_mix(rows, plan, seed).where(F.col("_repeats") > 0)
+    return restore(mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats")))))
 
 
 @query("op1_mix_sources")

@@ -1,6 +1,17 @@
 """All queries of the subpackage and their SQL."""
 
-from tidemark.llm import fingerprints, mixing, secret_scan, sharding, token_counts  # noqa: F401
+from tidemark.llm import (  # noqa: F401
+    decontaminate,
+    fingerprints,
+    line_dedup,
+    mixing,
+    near_dedup,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from tidemark.llm.common import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -23,6 +23,9 @@ SEED = 29
 MOST_SHARDS = 1_024  # sums per pair of shards reach the driver
 SLOT_ROWS = 2_000  # rows numbered by one task at a time
 GRAIN = 1_000_000
+TOGETHER = 0.02  # of a shard's capacity: groups that are moved as one
+SLACK = 0.1  # by which propagation may overfill a shard; the last cut moves borders for that
+LITTLE = 0.5  # a shard that grants less of what it is asked for counts as full
 SIZE_BITS = 24  # of sizes, in the order in which borders move
 
 
@@ -63,15 +66,18 @@ def propagate(members: DataFrame, shards: int, capacity: float, rounds: int = RO
     """
     start = members.groupBy("rid").agg(F.min("size").alias("size"), F.min("place").alias("place"), F.min("hub").alias("hub"))
     placed = stage(start.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int")), "shard-start")
+    full: list[int] = []  # shards that granted little of what they were asked for
     for turn in range(rounds):
         at = members.select("rid", "hub").join(placed.select("rid", "size", "shard"), "rid")
         tally = at.groupBy("hub", "shard").agg(F.sum("size").alias("held"))
         spread = tally.groupBy("hub").agg(F.map_from_entries(F.collect_list(F.struct("shard", "held"))).alias("held")).where(F.size("held") > 1)
         spread = stage(spread, "shard-hubs")  # a map of at most all shards per hub; hubs that are whole ask for nothing
-        asks = at.join(spread, "hub").select("rid", "hub", F.explode("held").alias("to", "held"))
+        asks = at.join(spread, "hub").select("rid", "hub", "shard", F.explode("held").alias("to", "held"))
+        asks = asks.where((F.col("to") == F.col("shard")) | ~F.col("to").isin(full))
         asks = asks.groupBy("rid", "to").agg(F.sum("held").alias("held"), F.max(F.xxhash64("hub", "to")).alias("tie"))
-        best = asks.groupBy("rid").agg(F.max(F.struct("held", "tie", "to"))["to"].alias("to"))
-        wishes = stage(placed.join(best, "rid").where("to != shard").select("rid", "size", "place", "shard", "to"), "shard-wishes")
+        best = asks.groupBy("rid").agg(F.max(F.struct("held", "tie", "to")).alias("best")).select("rid", "best.to", "best.held")
+        wishes = placed.join(best, "rid").where("to != shard").select("rid", "size", "place", "hub", "held", "shard", "to")
+        wishes = stage(wishes, "shard-wishes")
         flows = {(r["shard"], r["to"]): r["size"] for r in wishes.groupBy("shard", "to").agg(F.sum("size").alias("size")).collect()}
         if not flows:
             break
@@ -80,7 +86,10 @@ def propagate(members: DataFrame, shards: int, capacity: float, rounds: int = RO
         limit = F.lit(0)
         for to, part in share.items():
             limit = F.when(F.col("to") == to, int(part * GRAIN)).otherwise(limit)
-        moves = wishes.where(F.pmod(F.xxhash64(F.lit(seed + turn), F.col("place")), F.lit(GRAIN)) < limit).select("rid", "to")
+        # Members of a small group are granted or refused together.
+        by = F.when(F.col("held") <= capacity * TOGETHER, F.col("hub")).otherwise(F.col("place"))
+        moves = wishes.where(F.pmod(F.xxhash64(F.lit(seed + turn), by), F.lit(GRAIN)) < limit).select("rid", "to")
+        full = sorted({*full, *(to for to, part in share.items() if part < LITTLE)})
         placed = placed.join(moves, "rid", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
         placed = stage(placed, "shard-round")
     return placed
@@ -123,7 +132,7 @@ def shard_documents(docs: DataFrame, links: DataFrame | None = None, *, shards:
     else:
         hubs = links.select("doc_id", F.xxhash64("hub").alias("hub")).distinct()
         members = rows.select("doc_id", "rid", "size", "place").join(hubs, "doc_id").select("rid", "hub", "size", "place")
-    linked = propagate(stage(members, "shard-members"), shards, capacity, rounds, seed)
+    linked = propagate(stage(members, "shard-members"), shards, capacity * (1 + SLACK), rounds, seed)
     load = {r["shard"]: r["size"] for r in linked.groupBy("shard").agg(F.sum("size").alias("size")).collect()}
     ours = linked.select("rid", F.col("shard").alias("linked_shard"), F.col("hub").alias("link"))
     placed = stage(rows.join(ours, "rid", "left").drop("hub"), "shard-linked")
