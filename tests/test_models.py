@@ -154,7 +154,7 @@ def sequences(spark, lengths=(50, 9, 1), seed=4):
 
 
 def plain_viterbi(x):
-    b, a = hmm._emissions(x, MODEL), np.log(MODEL.transitions)
+    b, a = hmm.emissions(x, MODEL), np.log(MODEL.transitions)
     best = None
     score, back = np.log(MODEL.start) + b[0], []
     for t in range(1, len(x)):
@@ -168,7 +168,7 @@ def plain_viterbi(x):
 
 
 def plain_likelihood(x):
-    b, a = hmm._emissions(x, MODEL), np.log(MODEL.transitions)
+    b, a = hmm.emissions(x, MODEL), np.log(MODEL.transitions)
     alpha = np.log(MODEL.start) + b[0]
     for t in range(1, len(x)):
         alpha = np.logaddexp.reduce(alpha[:, None] + a, axis=0) + b[t]
@@ -177,7 +177,7 @@ def plain_likelihood(x):
 
 def plain_counts(x):
     """Expected statistics by summing over all state paths of a short series."""
-    b, k = hmm._emissions(x, MODEL), 2
+    b, k = hmm.emissions(x, MODEL), 2
     total, start, pairs, held = 0.0, np.zeros(k), np.zeros((k, k)), np.zeros(k)
     for path in itertools.product(range(k), repeat=len(x)):
         p = MODEL.start[path[0]] * np.exp(b[0, path[0]])
@@ -265,7 +265,28 @@ def test_changepoints_in_segments(spark):
     rng = np.random.default_rng(0)
     rows = [(s, i, [float((i >= cut) * 5 + rng.normal() * 0.1)]) for s, cut in (("a", 50), ("b", 40)) for i in range(120)]
     df = spark.createDataFrame(rows, "station string, seq long, x array<double>")
-    for size in (1024, 40):
+    for size in (1000, 40, None):
         found = changepoints(df, KEYS, "seq", "x", 3.0, size, 20).collect()
         assert {(r.station, r.boundary) for r in found} == {("a", 50), ("b", 40)}
     assert [r.boundary for r in changepoints(df.where("station = 'a'"), [], "seq", "x", 3.0).collect()] == [50]
+
+
+def test_changepoints_of_long_series(spark):
+    rng = np.random.default_rng(3)
+    cuts = [400, 900, 1500, 2200]
+    level = np.searchsorted(cuts, np.arange(2_500), side="right")
+    rows = [("a", i, [float(5 * (level[i] % 2) + rng.normal() * 0.3)]) for i in range(2_500)]
+    df = spark.createDataFrame(rows, "station string, seq long, x array<double>")
+    for size in (None, 500, 1_000):
+        assert sorted(r.boundary for r in changepoints(df, KEYS, "seq", "x", 3.0, size).collect()) == cuts
+    with pytest.raises(ValueError):
+        changepoints(df, KEYS, "seq", "x", 3.0, 501)
+
+
+def test_selection_silhouette_is_a_setting(spark):
+    four = spark.createDataFrame([(i, i // 2, [float(10 * (i // 2) + i % 2)]) for i in range(4)], "id int, label int, v array<double>")
+    exact, squared = (clusters.silhouette_for_selection(four, "id", "label", "v", kind) for kind in ("exact", "squared"))
+    assert exact == pytest.approx(agreement.silhouette_exact(four, "id", "label", "v").first()[0])
+    assert squared == pytest.approx(agreement.silhouette_fast(four, "label", "v")) and squared != pytest.approx(exact)
+    with pytest.raises(ValueError):
+        clusters.silhouette_for_selection(four, "id", "label", "v", "fast")

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from helpers import START
 from tidemark.operators import experiments, profiles, reports
 
 
@@ -148,3 +149,12 @@ def test_comparison_tables(spark, tmp_path):
     experiments.append_record(record, str(tmp_path / "records"))
     saved = spark.read.json(str(tmp_path / "records"))
     assert saved.count() == 2 and saved.first().selected_model == "hmm"
+
+
+def test_shares_and_counts_keep_unlisted_regimes(spark):
+    rows = spark.createDataFrame([(START, n, m, 0) for n, m in (("A", 0), ("B", 1), ("C", 2))], "end_time timestamp, macro_state_name string, macro int, micro int")
+    month = reports.monthly_share_pivot(rows, ["A", "B"]).first()
+    assert (month["A"], month["B"]) == (33.33, 33.33)
+    assert profiles.crosstab_micro_macro(rows, "micro", "macro", range(3)).first()["macro_2"] == 1
+    with pytest.raises(Exception, match="without a column"):
+        profiles.crosstab_micro_macro(rows, "micro", "macro", range(2)).collect()

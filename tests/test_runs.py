@@ -1,10 +1,12 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import START
+from tidemark.operators.hmm import HmmParameters
 from tidemark.operators.resample import resample_mean
 from tidemark.operators.windows import META
 from tidemark.params import Columns, Models, Params, Windows
@@ -12,7 +14,7 @@ from tidemark.plans.discovery import discover
 from tidemark.plans.experiment import compare_experiments, run_experiment
 from tidemark.plans.scoring import score_telemetry, score_windows
 from tidemark.session import cut_lineage, shared_dir, stage
-from tidemark.sources.model_store import load_models, save_models
+from tidemark.sources.model_store import StoredModels, load_models, save_models
 from tidemark.streaming.live import stream_resample, stream_score
 
 NUMERIC = ("WIND_SPEED", "SEA_LVL_PRES", "AIR_TEMP", "WAVE_HGT")
@@ -99,17 +101,25 @@ def test_stream_equals_batch_for_closed_bins(spark, tmp_path):
         stream_resample(raw, "STATION", "DATE", ["WIND_SPEED"], [], "7h", "1 hour")
 
 
-def test_stream_scoring_writes_each_batch_once(spark, tmp_path):
-    windows = spark.createDataFrame([("A", 12, 0, i, START, START, float(i)) for i in range(4)], list(META) + ["x"])
-    windows.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(windows.schema).parquet(str(tmp_path / "in"))
-
-    def double(batch, models):
-        return batch.select("end_idx", (F.col("x") * models).alias("y"))
-
-    for _ in range(2):
-        stream_score(stream, 2, str(tmp_path / "out"), str(tmp_path / "state"), double).start().awaitTermination()
-    assert sorted(r.y for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0.0, 2.0, 4.0, 6.0]
+def test_stream_scoring_does_not_depend_on_batches(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(s, 12, i, i + 12, START, START, rng.gauss(0, 1) + 1.2 * ((i // 3) % 2)) for s in "AB" for i in range(60)]
+    windows = spark.createDataFrame(rows, [*META, "x_mean"])
+    hmm = HmmParameters(np.array([0.5, 0.5]), np.array([[0.8, 0.2], [0.2, 0.8]]), np.array([[-0.5], [0.7]]), np.array([[1.0], [1.0]]))
+    scaler = spark.createDataFrame([("x_mean", 0.5, 1.0)], "column string, mean double, scale double")
+    models = StoredModels(scaler, hmm, {"window_features": ["x_mean"], "numeric": [], "directional": []})
+    wanted = {(r.station, r.end_idx): r.micro_state for r in score_windows(windows, models, causal=True).collect()}
+    assert len(wanted) == 120 and len(set(wanted.values())) == 2
+    for n in (1, 2, 5):
+        source = str(tmp_path / f"in{n}")
+        for part in range(n):  # one file and one micro-batch per part
+            low, high = 60 * part // n, 60 * (part + 1) // n
+            windows.where(F.col("start_idx").between(low, high - 1)).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(windows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        for _ in range(2):  # a restart adds nothing
+            stream_score(stream, models, str(tmp_path / f"out{n}"), str(tmp_path / f"state{n}")).start().awaitTermination()
+        got = spark.read.parquet(str(tmp_path / f"out{n}")).collect()
+        assert len(got) == 120 and {(r.station, r.end_idx): r.micro_state for r in got} == wanted
 
 
 def test_shared_folder(spark):

@@ -36,11 +36,11 @@ def standardize_query(spark, sf_dir):
 
 
 @query("apply_scaler", chain(LINES_SQL, "stored AS (SELECT * FROM lines WHERE l_returnflag = 'R')") + "SELECT l_orderkey, l_linenumber, l_partkey, "
-       + rounded(*z_sql("stored").replace(", (l.", ",, (l.").split(",, ")) + " FROM lines l WHERE l_returnflag <> 'R'")
+       + rounded(*z_sql("stored").replace(", (l.", ",, (l.").split(",, ")) + " FROM lines l")
 def apply_scaler_query(spark, sf_dir):
     rows = lines(spark, sf_dir)
     stored = scaler_params(rows.where(F.col("l_returnflag") == "R"), LINE[:-1])
-    return apply_scaler(rows.where(F.col("l_returnflag") != "R"), LINE[:-1], stored).drop("l_returnflag", "flat")
+    return apply_scaler(rows, LINE[:-1], stored).drop("l_returnflag", "flat")
 
 
 def points(spark, sf_dir):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog.registry import chain, query, rounded, scratch, settle, table
 from tidemark.operators import experiments
+from tidemark.session import stage
 
 # The metric each order status lacks, so that fallbacks and outer joins are exercised.
 METRICS = ["silhouette_post", "silhouette", "silhouette_embed", "bic", "mean_regime_duration"]
@@ -26,18 +27,23 @@ def metrics(spark, sf_dir):
 
 
 def entropies(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
+    orders = table(spark, sf_dir, "orders")
     other = F.when(F.col("o_orderstatus") == "O", "hmm").otherwise(F.col("o_orderstatus"))
     return orders.groupBy(F.col("o_orderpriority").alias("experiment_id"), other.alias("model")).agg(
         F.avg(F.col("o_custkey") / 100).alias("transition_entropy")
     )
 
 
+def names_of(rows) -> list[str]:
+    """The experiments of a comparison, one row each."""
+    return [r["experiment_id"] for r in rows.select("experiment_id").distinct().orderBy("experiment_id").collect()]
+
+
 BASE = (
     """means AS (SELECT o_orderpriority AS experiment_id, o_orderstatus AS model, avg(o_totalprice / 1000) AS price, avg(o_custkey) AS customer,
   count(*) AS n FROM orders GROUP BY 1, 2)""",
     """entropies AS (SELECT o_orderpriority AS experiment_id, CASE o_orderstatus WHEN 'O' THEN 'hmm' ELSE o_orderstatus END AS model,
-  avg(o_custkey / 100) AS transition_entropy FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2)""",
+  avg(o_custkey / 100) AS transition_entropy FROM orders GROUP BY 1, 2)""",
     """comparative AS (SELECT experiment_id, model, price AS silhouette, customer AS bic, CAST(n AS DOUBLE) AS avg_duration, transition_entropy
   FROM means FULL JOIN entropies USING (experiment_id, model))""",
 )
@@ -71,8 +77,8 @@ def metrics_query(spark, sf_dir):
 @query("union_experiments", chain(*BASE) + f"SELECT experiment_id, model, {VALUES} FROM comparative")
 def union_query(spark, sf_dir):
     root = scratch(spark, "experiments")
-    rows = settle(comparative_query(spark, sf_dir))
-    for number, name in enumerate(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]):
+    rows = stage(settle(comparative_query(spark, sf_dir)), "comparative")
+    for number, name in enumerate(names_of(rows)):
         mine = rows.where(F.col("experiment_id") == name)
         mine.write.option("header", True).csv(f"{root}/{number}/comparative_rows.csv")
     return experiments.union_experiments(spark, root)
@@ -80,13 +86,11 @@ def union_query(spark, sf_dir):
 
 @query("experiment_record", chain(*BASE) + """SELECT experiment_id, model AS selected_model, 'check' AS notes, '{"width": "1d"}' AS config FROM
 (SELECT *, row_number() OVER (PARTITION BY experiment_id ORDER BY price DESC, model) AS r FROM means)
-WHERE r = 1 AND experiment_id IN ('1-URGENT', '5-LOW')""")
+WHERE r = 1""")
 def record_query(spark, sf_dir):
     path = scratch(spark, "records")
-    rows = metrics(spark, sf_dir)
-    for name in ("1-URGENT", "5-LOW"):
-        record = experiments.experiment_record(
-            rows, name, {"width": "1d"}, "check", {"comparison": comparative_query(spark, sf_dir)}
-        )
+    rows, compared = stage(metrics(spark, sf_dir), "metrics"), stage(comparative_query(spark, sf_dir), "comparative")
+    for name in names_of(rows):
+        record = experiments.experiment_record(rows, name, {"width": "1d"}, "check", {"comparison": compared})
         experiments.append_record(record, path)
     return spark.read.json(path).select("experiment_id", "selected_model", "notes", "config")

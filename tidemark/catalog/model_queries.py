@@ -48,22 +48,44 @@ def points(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
 
 
-@query("kmeans_fit")
+# Groups planted so far apart that every fit must find them, which SQL knows from the labels.
+FAR = 1000.0
+GROUPS = "SELECT min(vec_id) AS first_id, count(*) AS n{more} FROM embeddings GROUP BY {by}"
+
+
+def planted(spark, sf_dir, group="label"):
+    """``points`` moved ``FAR`` along the axis of their group."""
+    x = F.transform("x", lambda v, i: v + F.when(i == F.expr(group), FAR).otherwise(0.0))
+    return cut_lineage(points(spark, sf_dir).withColumn("x", x))
+
+
+def found_groups(labels, name="regime"):
+    return labels.groupBy(name).agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("n")).drop(name)
+
+
+def chosen(fit):
+    return found_groups(fit.labels).withColumn("k", F.lit(fit.k).cast("long"))
+
+
+@query("kmeans_fit", GROUPS.format(more="", by="label"))
 def kmeans_query(spark, sf_dir):
-    fit = clusters.kmeans_fit(points(spark, sf_dir), "x", 8, restarts=3)
-    return fit.labels.groupBy("regime").agg(F.count(F.lit(1)).alias("n"))
+    return found_groups(clusters.kmeans_fit(planted(spark, sf_dir), "x", 10, restarts=3).labels)
 
 
-@query("kmeans_select_k")
+@query("kmeans_select_k", GROUPS.format(more=", (SELECT count(DISTINCT label) FROM embeddings) AS k", by="label"))
 def kmeans_select_query(spark, sf_dir):
-    fit = clusters.kmeans_select_k(vectors(spark, sf_dir), "point", "x", [2, 3, 4], restarts=2)
-    return clusters.score_table(fit.labels, "kmeans", fit.scores)
+    return chosen(clusters.kmeans_select_k(planted(spark, sf_dir), "vec_id", "x", [5, 10, 12], restarts=2, silhouette="squared"))
+
+
+def two_groups(spark, sf_dir):
+    """Two far groups in two dimensions, for mixtures."""
+    x = F.array(F.col("x")[0] + F.when(F.col("label") < 5, 0.0).otherwise(FAR), F.col("x")[1])
+    return cut_lineage(points(spark, sf_dir).withColumn("x", x))
 
 
-@query("gmm_fit")
+@query("gmm_fit", GROUPS.format(more="", by="label < 5"))
 def gmm_query(spark, sf_dir):
-    fit = clusters.gmm_fit(vectors(spark, sf_dir), "x", 3, max_iter=20)
-    return fit.labels.select("station", "end_idx", "regime")
+    return found_groups(clusters.gmm_fit(two_groups(spark, sf_dir), "x", 2).labels)
 
 
 @query("gmm_select_k")
@@ -72,22 +94,31 @@ def gmm_select_query(spark, sf_dir):
     return clusters.score_table(fit.labels, "gmm", fit.scores)
 
 
-@query("embedding_select_k")
+@query("embedding_select_k", GROUPS.format(more=", (SELECT count(DISTINCT label) FROM embeddings) AS k", by="label"))
 def embedding_select_query(spark, sf_dir):
-    embedded, _ = latent.latent_embedding(vectors(spark, sf_dir), "x", 3)
-    fit = clusters.embedding_select_k(embedded, "point", "latent", [3, 2], restarts=2)
-    return clusters.score_table(embedded, "latent", fit.scores)
+    embedded, _ = latent.latent_embedding(planted(spark, sf_dir), "x", 9)
+    embedded = cut_lineage(embedded)
+    return chosen(clusters.embedding_select_k(embedded, "vec_id", "latent", [12, 10, 5], restarts=2, silhouette="squared"))
+
+
+def line(spark, sf_dir):
+    """Points on one line through three dimensions."""
+    t = F.col("vec_id") / 100
+    return points(spark, sf_dir).select("vec_id", F.array(t, 2 * t, 2 * t).alias("x"))
 
 
-@query("pca_projection")
+PLACE = "abs(3 * (vec_id / 100 - (SELECT avg(vec_id / 100) FROM embeddings)))"
+
+
+@query("pca_projection", f"SELECT vec_id, {rounded(PLACE + ' AS pc1', '0.0 AS pc2')} FROM embeddings")
 def pca_query(spark, sf_dir):
-    return latent.pca_projection(vectors(spark, sf_dir), "x").select("station", "end_idx", "pc1", "pc2")
+    return latent.pca_projection(line(spark, sf_dir), "x").select("vec_id", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2"))
 
 
-@query("latent_embedding")
+@query("latent_embedding", f"SELECT vec_id, {rounded(PLACE + ' AS z')} FROM embeddings")
 def embedding_query(spark, sf_dir):
-    embedded, _ = latent.latent_embedding(points(spark, sf_dir), "x", 8)
-    return embedded.select("vec_id", F.size("latent").alias("dimensions"))
+    embedded, _ = latent.latent_embedding(line(spark, sf_dir), "x", 1)
+    return embedded.select("vec_id", F.abs(F.col("latent")[0]).alias("z"))
 
 
 @query("latent_projection")
@@ -96,11 +127,10 @@ def projection_query(spark, sf_dir):
     return latent.latent_projection(embedded, "latent").select("station", "end_idx", "latent_pc1", "latent_pc2")
 
 
-@query("latent_kmeans")
+@query("latent_kmeans", GROUPS.format(more="", by="label"))
 def latent_kmeans_query(spark, sf_dir):
-    embedded, _ = latent.latent_embedding(points(spark, sf_dir), "x", 8)
-    fit = clusters.kmeans_fit(embedded, "latent", 5, restarts=2)
-    return fit.labels.select("vec_id", "regime")
+    embedded, _ = latent.latent_embedding(planted(spark, sf_dir), "x", 9)
+    return found_groups(clusters.kmeans_fit(cut_lineage(embedded), "latent", 10, restarts=3).labels)
 
 
 @query("latent_hmm")
@@ -110,25 +140,23 @@ def latent_hmm_query(spark, sf_dir):
     return hmm.hmm_decode(embedded, STATION, "seq", "latent", fit.parameters).select("station", "end_idx", "state")
 
 
-@query("super_regimes")
+@query("super_regimes", "SELECT label, label % 3 AS super_regime, count(*) AS n FROM embeddings GROUP BY 1, 2")
 def super_query(spark, sf_dir):
-    merged, _ = hierarchy.super_regimes(points(spark, sf_dir), "label", "x", 3)
+    merged, _ = hierarchy.super_regimes(planted(spark, sf_dir, "label % 3"), "label", "x", 3)
     return merged.groupBy("label", "super_regime").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("macro_from_state_means")
+@query("macro_from_state_means", """SELECT a, b, count(*) AS n FROM
+(SELECT label % 3 AS a, lead(label % 3) OVER (ORDER BY vec_id) AS b FROM embeddings) WHERE b IS NOT NULL GROUP BY 1, 2""")
 def macro_query(spark, sf_dir):
-    rows = points(spark, sf_dir).withColumn("station", F.lit("one"))
+    rows = planted(spark, sf_dir, "label % 3").withColumn("station", F.lit("one"))
     ordered = label_positions(rows, STATION, index="vec_id")
     means = centroids(rows, "label", "x").select(F.col("label").alias("state"), F.col("centroid").alias("mean"))
-    _, _, matrix = hierarchy.macro_from_state_means(ordered, means, STATION, "seq", "label", 3, restarts=2)
-    return matrix
-
-
-@query("hmm_fit")
-def hmm_query(spark, sf_dir):
-    fit = hmm.hmm_fit(vectors(spark, sf_dir), STATION, "seq", "x", 3, iterations=ROUNDS)
-    return fit.parameters.transition_table(spark)
+    _, mapping, matrix = hierarchy.macro_from_state_means(ordered, cut_lineage(means), STATION, "seq", "label", 3, restarts=2)
+    # Macro states are numbered by the fit; the least state of each names it.
+    names = cut_lineage(mapping.groupBy("macro_state").agg(F.min("micro_state").alias("name")))
+    a, b = (names.select(F.col("macro_state").alias(c), F.col("name").alias(n)) for c, n in (("from_state", "a"), ("to_state", "b")))
+    return matrix.where("n > 0").join(a, "from_state").join(b, "to_state").select("a", "b", F.col("n").cast("long").alias("n"))
 
 
 @query("hmm_select_states")
@@ -182,6 +210,26 @@ def density_sql(value: str, state: int) -> str:
 VALUES = f"""vals AS (SELECT event_type AS station, epoch_us(ts) // {HOUR} AS hour, avg(value) AS v FROM events GROUP BY 1, 2)"""
 
 
+def two_levels(spark, sf_dir):
+    """``hourly_values`` moved ``FAR`` on every other day."""
+    level = F.when(F.floor(F.col("hour") / 24) % 2 == 1, FAR).otherwise(0.0)
+    return cut_lineage(hourly_values(spark, sf_dir).withColumn("x", F.transform("x", lambda v: v + level)))
+
+
+LEVELS = f"""levels AS (SELECT station, hour, (hour // 24) % 2 AS level, v + {FAR} * ((hour // 24) % 2) AS x FROM vals)"""
+
+
+@query("hmm_fit", chain(VALUES, LEVELS, """steps AS (
+  SELECT level, lead(level) OVER (PARTITION BY station ORDER BY hour) AS after FROM levels)""") + f"""SELECT CAST(level AS INTEGER) AS state,
+  {rounded("m AS mean", "p AS stays")} FROM (SELECT level, avg(x) AS m FROM levels GROUP BY 1)
+  JOIN (SELECT level, avg(CASE WHEN level = after THEN 1.0 ELSE 0.0 END) AS p FROM steps WHERE after IS NOT NULL GROUP BY 1) USING (level)""")
+def hmm_query(spark, sf_dir):
+    found = hmm.hmm_fit(two_levels(spark, sf_dir), STATION, "seq", "x", 2, iterations=40, tolerance=1e-9).parameters
+    order = found.means[:, 0].argsort()
+    rows = [(n, float(found.means[s, 0]), float(found.transitions[s, s])) for n, s in enumerate(order)]
+    return spark.createDataFrame(rows, "state int, mean double, stays double")
+
+
 @query("hmm_emission", chain(VALUES) + " UNION ALL ".join(
     f"SELECT station, hour, {s} AS state, {rounded(density_sql('v', s) + ' AS log_density')} FROM vals" for s in range(3)))
 def emission_query(spark, sf_dir):
@@ -216,9 +264,13 @@ def decode_query(spark, sf_dir):
     return hmm.hmm_decode(rows, STATION, "seq", "x", fixed_model(), block_rows=100).select("station", "hour", "state")
 
 
-@query("changepoints")
+@query("changepoints", chain(VALUES) + """SELECT station, seq AS boundary FROM (
+  SELECT station, row_number() OVER (PARTITION BY station ORDER BY hour) - 1 AS seq, count(*) OVER (PARTITION BY station) AS n FROM vals)
+WHERE seq % 20 = 0 AND seq > 0 AND n - seq >= 2""")
 def changepoints_query(spark, sf_dir):
-    return changepoints(hourly_values(spark, sf_dir), STATION, "seq", "x", penalty=2.0, segment_rows=256, overlap=32)
+    level = F.when(F.floor(F.col("seq") / 20) % 2 == 1, FAR).otherwise(0.0)
+    rows = cut_lineage(hourly_values(spark, sf_dir).withColumn("x", F.transform("x", lambda v: v + level)))
+    return changepoints(rows, STATION, "seq", "x", penalty=2.0, segment_rows=250, overlap=30)
 
 
 # ---- sinks, stored models, streams ----------------------------------------------------------

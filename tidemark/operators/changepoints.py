@@ -11,20 +11,29 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.series import BLOCK, block_of
 
-SEGMENT_ROWS = 1_024
 OVERLAP_ROWS = 128
+BANDWIDTH_ROWS = 512  # evenly spaced rows that set the bandwidth of a series that is searched in segments
 # Candidate breaks lie on multiples of this step and segments have at least this many rows.
 STEP, SHORTEST = 5, 2
 # Limits of the scaled squared distance inside the kernel.
 NEAREST, FARTHEST = 1e-2, 1e2
 
 
-def _kernel(x: np.ndarray) -> np.ndarray:
-    """exp(-d) of squared distances scaled by their median."""
+def _distances(x: np.ndarray) -> np.ndarray:
     norms = (x * x).sum(axis=1)
-    d = np.maximum(norms[:, None] + norms[None] - 2 * x @ x.T, 0.0)
-    upper = d[np.triu_indices(len(x), 1)]
-    middle = float(np.median(upper)) if len(upper) else 0.0
+    return np.maximum(norms[:, None] + norms[None] - 2 * x @ x.T, 0.0)
+
+
+def bandwidth(x: np.ndarray) -> float:
+    """The median squared distance of two rows."""
+    upper = _distances(x)[np.triu_indices(len(x), 1)]
+    return float(np.median(upper)) if len(upper) else 0.0
+
+
+def _kernel(x: np.ndarray, middle: float | None = None) -> np.ndarray:
+    """exp(-d) of squared distances scaled by ``middle``, by default their median."""
+    d = _distances(x)
+    middle = bandwidth(x) if middle is None else middle
     if middle != 0:
         d = d / middle
     kernel = np.exp(-np.clip(d, NEAREST, FARTHEST))
@@ -32,12 +41,12 @@ def _kernel(x: np.ndarray) -> np.ndarray:
     return kernel
 
 
-def find_breaks(x: np.ndarray, penalty: float) -> list[int]:
-    """Optimal break positions of one segment, by pruned dynamic programming."""
+def find_breaks(x: np.ndarray, penalty: float, middle: float | None = None) -> list[int]:
+    """Optimal break positions of the rows given, by pruned dynamic programming."""
     n = len(x)
     if n < 2 * SHORTEST:
         return []
-    kernel = _kernel(x)
+    kernel = _kernel(x, middle)
     area = np.zeros((n + 1, n + 1))
     area[1:, 1:] = kernel.cumsum(axis=0).cumsum(axis=1)
     trace = np.concatenate([[0.0], np.diag(kernel).cumsum()])
@@ -72,31 +81,60 @@ def changepoints(
     position: str,
     vector: str,
     penalty: float = 8.0,
-    segment_rows: int = SEGMENT_ROWS,
+    segment_rows: int | None = None,
     overlap: int = OVERLAP_ROWS,
 ) -> DataFrame:
-    """``keys, boundary``: change points per series.
+    """``keys, boundary``: change points per series. ``position`` counts from 0 without gaps.
 
-    The kernel cost compares every two rows, so the search works on segments of ``segment_rows``
-    with ``overlap`` rows of context on both sides; a break is reported by the segment it lies in.
-    A series that fits in one segment gets the exact optimum of the whole series; a longer one gets
-    the optimum of each segment.
+    The kernel cost compares every two rows that are searched together, so memory and work of a search are quadratic. The
+    caller says what is searched together, and it does not depend on the data:
+
+    * ``segment_rows=None``: whole series, each in one task; the exact optimum.
+    * ``segment_rows=n``: every ``n`` rows, a multiple of ``STEP``, with ``overlap`` rows of context (rounded up to a multiple of
+      ``STEP``) on both sides; a segment reports the breaks in its own rows. Candidates lie on the same lattice of the series
+      as in a whole search, and all segments of a series share one bandwidth, the median over ``BANDWIDTH_ROWS`` evenly spaced rows.
     """
     p = F.col(position)
-    first = block_of(F.greatest(p - overlap, F.lit(0)), segment_rows)
-    last = block_of(p + overlap, segment_rows)
-    top = df.groupBy(*keys).agg(F.max(position).alias("_top")) if keys else df.agg(F.max(position).alias("_top"))
-    rows = df.select(*keys, p.alias("_p"), F.col(vector).cast("array<double>").alias("_x"), F.explode(F.sequence(first, last)).alias(BLOCK))
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{kinds + ', ' if kinds else ''}boundary long"
+    rows = df.select(*keys, p.cast("long").alias("_p"), F.col(vector).cast("array<double>").alias("_x"))
+
+    def table(ordered: pd.DataFrame, found: list[int]) -> pd.DataFrame:
+        return pd.DataFrame({**{k: ordered[k].iloc[0] for k in keys}, "boundary": found}, index=range(len(found)))
+
+    if segment_rows is None:
+
+        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+            ordered = pdf.sort_values("_p")
+            base = int(ordered["_p"].iloc[0])
+            return table(ordered, [base + b for b in find_breaks(np.stack(ordered["_x"].to_numpy()), penalty)])
+
+        return rows.groupBy(*keys).applyInPandas(whole, schema)
+    if segment_rows <= 0 or segment_rows % STEP:
+        raise ValueError(f"segment_rows must be a multiple of {STEP}")
+    overlap = -(-overlap // STEP) * STEP
+    last_position = F.max("_p").alias("_top")
+    top = rows.groupBy(*keys).agg(last_position) if keys else rows.agg(last_position)
+    # Evenly spaced rows of each series, at most BANDWIDTH_ROWS of them, set its bandwidth.
+    every = F.ceil((F.col("_top") + 1) / BANDWIDTH_ROWS)
+    sample = (rows.join(top, keys) if keys else rows.crossJoin(F.broadcast(top))).where(F.col("_p") % every == 0)
+
+    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "_middle": [bandwidth(np.stack(pdf["_x"].to_numpy()))]})
+
+    middles = sample.groupBy(*keys).applyInPandas(measure, f"{kinds + ', ' if kinds else ''}_middle double")
+    first = block_of(F.greatest(F.col("_p") - overlap, F.lit(0)), segment_rows)
+    last = block_of(F.col("_p") + overlap, segment_rows)
+    copies = rows.withColumn(BLOCK, F.explode(F.sequence(first, last)))
     # A copy ahead of the end of a series opens no segment of its own.
     real = top.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), block_of(F.col("_top"), segment_rows))).alias(BLOCK))
-    rows = rows.join(real, [*keys, BLOCK], "left_semi")
-    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    real = real.join(middles, keys) if keys else real.crossJoin(middles)
+    copies = copies.join(real, [*keys, BLOCK])
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("_p")
         block, base = int(ordered[BLOCK].iloc[0]), int(ordered["_p"].iloc[0])
-        found = [base + b for b in find_breaks(np.stack(ordered["_x"].to_numpy()), penalty)]
-        own = [b for b in found if b // segment_rows == block]
-        return pd.DataFrame({**{k: ordered[k].iloc[0] for k in keys}, "boundary": own}, index=range(len(own)))
+        found = find_breaks(np.stack(ordered["_x"].to_numpy()), penalty, float(ordered["_middle"].iloc[0]))
+        return table(ordered, [base + b for b in found if (base + b) // segment_rows == block])
 
-    return rows.groupBy(*keys, BLOCK).applyInPandas(search, f"{kinds + ', ' if kinds else ''}boundary long")
+    return copies.groupBy(*keys, BLOCK).applyInPandas(search, schema)

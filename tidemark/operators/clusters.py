@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.agreement import silhouette_exact, silhouette_fast
 
-# Above this many rows the quadratic silhouette gives way to the linear one during selection.
-EXACT_SILHOUETTE_ROWS = 20_000
+# The two silhouettes of a selection and how their metrics are named. They are different numbers: the exact one
+# compares every two points, the squared one needs work in proportion to the rows.
+SILHOUETTE_NAMES = {"exact": "silhouette", "squared": "silhouette_squared"}
 
 
 @dataclass
@@ -73,8 +74,11 @@ def kmeans_fit(
     return ClusterFit(_labelled(best, _vectors(df, vector), name), k, best, float(best.summary.trainingCost))
 
 
-def silhouette_for_selection(df: DataFrame, point: str, label: str, vector: str, rows: int) -> float:
-    if rows > EXACT_SILHOUETTE_ROWS:
+def silhouette_for_selection(df: DataFrame, point: str, label: str, vector: str, kind: str = "exact") -> float:
+    """The silhouette that the caller asks for, whatever the number of rows."""
+    if kind not in SILHOUETTE_NAMES:
+        raise ValueError(f"silhouette must be one of {sorted(SILHOUETTE_NAMES)}")
+    if kind == "squared":
         return silhouette_fast(df, label, vector)
     return float(silhouette_exact(df, point, label, vector).first()["silhouette"])
 
@@ -87,9 +91,10 @@ def kmeans_select_k(
     seed: int = 42,
     restarts: int = 20,
     name: str = "regime",
+    silhouette: str = "exact",
 ) -> ClusterFit:
     """The candidate with the largest silhouette, the smallest k on ties. ``point`` identifies rows."""
-    return _select(df, point, vector, candidate_states(candidates), seed, restarts, name)
+    return _select(df, point, vector, candidate_states(candidates), seed, restarts, name, silhouette)
 
 
 def embedding_select_k(
@@ -100,23 +105,23 @@ def embedding_select_k(
     seed: int = 42,
     restarts: int = 20,
     name: str = "regime",
+    silhouette: str = "exact",
 ) -> ClusterFit | None:
     """As ``kmeans_select_k`` on an embedding, trying candidates in the order given.
 
     None when no candidate yields at least two clusters.
     """
-    fit = _select(df, point, vector, [int(k) for k in candidates], seed, restarts, name)
+    fit = _select(df, point, vector, [int(k) for k in candidates], seed, restarts, name, silhouette)
     return fit if fit.score is not None and fit.score > -1.0 else None
 
 
-def _select(df, point, vector, ks, seed, restarts, name) -> ClusterFit:
+def _select(df, point, vector, ks, seed, restarts, name, silhouette) -> ClusterFit:
     best = None
     scores = {}
     with kept(df.select(point, vector)) as rows:
-        total = rows.count()
         for k in ks:
             fit = kmeans_fit(rows, vector, k, seed, restarts, name="_label")
-            scores[k] = silhouette_for_selection(fit.labels, point, "_label", vector, total)
+            scores[k] = silhouette_for_selection(fit.labels, point, "_label", vector, silhouette)
             if best is None or scores[k] > scores[best.k]:
                 best = fit
     labels = _labelled(best.model, _vectors(df, vector), name)

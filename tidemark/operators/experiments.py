@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Silhouette metrics in order of preference, and the compared columns.
-SILHOUETTES = ("silhouette_post", "silhouette", "silhouette_embed")
+# Metrics of each silhouette in order of preference, and the compared columns.
+SILHOUETTES = {
+    "exact": ("silhouette_post", "silhouette", "silhouette_embed"),
+    "squared": ("silhouette_squared_post", "silhouette_squared", "silhouette_squared_embed"),
+}
 COMPARED = ("silhouette", "bic", "avg_duration", "transition_entropy")
 COMPARATIVE_SCHEMA = T.StructType(
     [T.StructField("experiment_id", T.StringType()), T.StructField("model", T.StringType())]
@@ -26,13 +29,14 @@ def _metric(name: str) -> Column:
     return F.max(F.when(F.col("metric") == name, F.col("value")))
 
 
-def comparative_rows(metrics: DataFrame, entropies: DataFrame) -> DataFrame:
+def comparative_rows(metrics: DataFrame, entropies: DataFrame, silhouette: str = "exact") -> DataFrame:
     """One row per experiment and model known to either input.
 
-    ``entropies`` is ``experiment_id, model, transition_entropy``.
+    ``entropies`` is ``experiment_id, model, transition_entropy``. Only metrics of the one kind of ``silhouette`` are
+    compared; runs that measured the other kind have none.
     """
     wide = metrics.groupBy("experiment_id", "model").agg(
-        F.coalesce(*[_metric(m) for m in SILHOUETTES]).alias("silhouette"),
+        F.coalesce(*[_metric(m) for m in SILHOUETTES[silhouette]]).alias("silhouette"),
         _metric("bic").alias("bic"),
         _metric("mean_regime_duration").alias("avg_duration"),
     )
@@ -45,21 +49,21 @@ def comparative_mean_by_model(rows: DataFrame) -> DataFrame:
     return rows.groupBy("model").agg(*[F.avg(c).alias(c) for c in COMPARED])
 
 
-def best_model(metrics: DataFrame, order: str = "model") -> DataFrame:
-    """``experiment_id, model``: the highest preferred silhouette, the first by ``order`` on ties.
+def best_model(metrics: DataFrame, order: str = "model", silhouette: str = "exact") -> DataFrame:
+    """``experiment_id, model``: the highest preferred silhouette of one kind, the first by ``order`` on ties.
 
-    An experiment without any silhouette names its first model.
+    An experiment without a silhouette of this kind names its first model.
     """
     scored = metrics.groupBy("experiment_id", "model", *([order] if order != "model" else [])).agg(
-        F.coalesce(*[_metric(m) for m in SILHOUETTES]).alias("score")
+        F.coalesce(*[_metric(m) for m in SILHOUETTES[silhouette]]).alias("score")
     )
     rank = F.struct(F.col("score").isNull().alias("unscored"), (-F.col("score")).alias("score"), F.col(order).alias("at"), F.col("model").alias("model"))
     return scored.groupBy("experiment_id").agg(F.min(rank).alias("_r")).select("experiment_id", F.col("_r.model").alias("model"))
 
 
 def metrics_table(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per experiment and model, one column per metric name."""
-    return metrics.groupBy("experiment_id", "model").pivot("metric", list(names)).agg(F.first("value"))
+    """One row per experiment and model, one column per metric name; of repeated entries the largest."""
+    return metrics.groupBy("experiment_id", "model").pivot("metric", list(names)).agg(F.max("value"))
 
 
 def union_experiments(spark: SparkSession, root: str) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.agreement import adjusted_rand
 from tidemark.operators.clusters import candidate_states, kmeans_fit
 from tidemark.operators.series import BLOCK, block_of
+from tidemark.session import stage
 
 HMM_BLOCK_ROWS = 8_192
 CHAIN_TABLES = 8_192
@@ -124,7 +125,7 @@ def _log(p: np.ndarray) -> np.ndarray:
         return np.log(p)
 
 
-def _emissions(x: np.ndarray, parameters: HmmParameters) -> np.ndarray:
+def emissions(x: np.ndarray, parameters: HmmParameters) -> np.ndarray:
     gap = (x[:, None, :] - parameters.means[None]) ** 2 / parameters.variances[None]
     norm = np.log(2 * np.pi * parameters.variances).sum(axis=1)
     return -0.5 * (gap.sum(axis=2) + norm[None])
@@ -221,6 +222,21 @@ def _best_path(log_b, first, entry, leave, parameters) -> np.ndarray:
     return path
 
 
+def causal_path(log_b, scores: np.ndarray | None, parameters) -> tuple[np.ndarray, np.ndarray]:
+    """At each row the last state of the best path up to it, and the scores after the last row.
+
+    ``scores`` are those after the row before the first, None at the start of a series. They are kept relative to
+    their largest, which no comparison notices.
+    """
+    log_a = _log(parameters.transitions)
+    path = np.empty(len(log_b), dtype=np.int64)
+    for t, b in enumerate(log_b):
+        scores = (_log(parameters.start) if scores is None else (scores[:, None] + log_a).max(axis=0)) + b
+        path[t] = scores.argmax()
+        scores = scores - scores[path[t]]
+    return path, scores
+
+
 # ---- the three stages -----------------------------------------------------------------------
 
 
@@ -259,7 +275,7 @@ def _block_tables(blocks: DataFrame, parameters: HmmParameters, reduce_block) ->
     def table(pdf: pd.DataFrame) -> pd.DataFrame:
         _, x = _matrix(pdf)
         block = int(pdf[BLOCK].iloc[0])
-        values = reduce_block(_emissions(x, parameters), block == 0, parameters)
+        values = reduce_block(emissions(x, parameters), block == 0, parameters)
         return pd.DataFrame({"_series": [pdf["_series"].iloc[0]], BLOCK: [block], "_table": [values.ravel()]})
 
     return blocks.groupBy("_series", BLOCK).applyInPandas(table, f"_series string, {BLOCK} long, _table array<double>")
@@ -361,7 +377,7 @@ def _expectation(blocks: DataFrame, parameters: HmmParameters, long_series: bool
         _, x = _matrix(rows)
         stats = _expected_counts(
             x,
-            _emissions(x, parameters),
+            emissions(x, parameters),
             int(edge[BLOCK].iloc[0]) == 0,
             np.asarray(edge["_before"].iloc[0]),
             np.asarray(edge["_after"].iloc[0]),
@@ -477,8 +493,13 @@ def hmm_decode(
     parameters: HmmParameters,
     name: str = "state",
     block_rows: int = HMM_BLOCK_ROWS,
+    causal: bool = False,
 ) -> DataFrame:
-    """Adds the most likely state path of each series."""
+    """Adds the most likely state path of each series.
+
+    With ``causal`` each row gets the state in which the best path up to it ends, which later rows do not change; this is
+    what a stream can promise.
+    """
     blocks = arrange_blocks(df, keys, position, vector, block_rows)
     k = parameters.states
 
@@ -503,13 +524,11 @@ def hmm_decode(
         if rows.empty or edge.empty:
             return pd.DataFrame({"_series": [], "_p": [], name: []})
         ordered, x = _matrix(rows)
-        path = _best_path(
-            _emissions(x, parameters),
-            int(edge[BLOCK].iloc[0]) == 0,
-            int(edge["_entry"].iloc[0]),
-            int(edge["_leave"].iloc[0]),
-            parameters,
-        )
+        log_b, first = emissions(x, parameters), int(edge[BLOCK].iloc[0]) == 0
+        if causal:
+            path, _ = causal_path(log_b, None if first else np.asarray(edge["_scores"].iloc[0]), parameters)
+        else:
+            path = _best_path(log_b, first, int(edge["_entry"].iloc[0]), int(edge["_leave"].iloc[0]), parameters)
         return pd.DataFrame({"_series": ordered["_series"], "_p": ordered["_p"], name: path})
 
     paths = (
@@ -543,9 +562,13 @@ def hmm_seed_stability(
                 continue
     if len(fits) < 2:
         return None
-    labelled = df
+    # Every seed is decoded from the base rows and written, so the work grows with the number of seeds.
+    base, labelled = df.select(*keys, position, vector), None
     for seed, parameters in fits.items():
-        labelled = hmm_decode(labelled, keys, position, vector, parameters, f"seed_{seed}", block_rows)
+        one = hmm_decode(base, keys, position, vector, parameters, f"seed_{seed}", block_rows)
+        one = stage(one.select(*keys, position, f"seed_{seed}"), "seed")
+        labelled = one if labelled is None else labelled.join(one, [*keys, position])
+    labelled = stage(labelled.select(*[f"seed_{s}" for s in fits]), "seeds")
     used = {s: labelled.agg(F.count_distinct(f"seed_{s}").alias("n")) for s in fits}
     pairs = None
     for a, b in combinations(sorted(fits), 2):

@@ -71,16 +71,18 @@ def regime_distribution(df: DataFrame, label: str) -> DataFrame:
 
 
 def crosstab_micro_macro(df: DataFrame, micro: str, macro: str, macro_values: Sequence[int]) -> DataFrame:
-    """One row per micro state, one count column ``macro_<id>`` per macro state."""
-    counts = [F.count(F.when(F.col(macro) == v, 1)).alias(f"macro_{v}") for v in macro_values]
-    return df.groupBy(F.col(micro).alias("micro")).agg(*counts).orderBy("micro")
+    """One row per micro state, one count column ``macro_<id>`` per macro state; a state that is not listed is refused."""
+    listed = F.col(macro).isNull() | F.col(macro).isin(list(macro_values))
+    refused = F.raise_error(F.concat(F.lit("macro state without a column: "), F.col(macro).cast("string")))
+    rows = df.select(F.col(micro).alias("micro"), F.when(listed, F.col(macro)).otherwise(refused).alias("_macro"))
+    return rows.groupBy("micro").agg(*[F.count(F.when(F.col("_macro") == v, 1)).alias(f"macro_{v}") for v in macro_values])
 
 
 def regime_timeline_frame(windows: DataFrame, label: str) -> DataFrame:
     """Interval rows for a timeline chart."""
     return windows.select(
         "station", "start_time", "end_time", "start_idx", "end_idx", F.col(label).cast("string").alias("regime")
-    ).orderBy("station", "end_idx")
+    )
 
 
 def sensor_series_frame(windows: DataFrame, prefix: str, label: str) -> DataFrame:
@@ -90,7 +92,7 @@ def sensor_series_frame(windows: DataFrame, prefix: str, label: str) -> DataFram
         raise ValueError(f"no {prefix}_*_mean column")
     return windows.select(
         "station", "start_time", "end_time", F.col(column).alias("value"), F.col(label).cast("string").alias("regime")
-    ).orderBy("start_time", "station")
+    )
 
 
 def hierarchy_timeline_frame(windows: DataFrame, macro: str, micro: str) -> DataFrame:

@@ -212,17 +212,13 @@ def monthly_regime_shares(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def monthly_share_pivot(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per month, one percent column per regime name, 0 where a regime is absent."""
-    counts = (
-        df.withColumn("month", month_key(F.col("end_time")))
-        .where(F.col("month").isNotNull())
-        .groupBy("month")
-        .pivot("macro_state_name", list(names))
-        .agg(F.count(F.lit(1)))
-        .na.fill(0)
-    )
-    total = sum((F.col(f"`{n}`") for n in names), F.lit(0))
-    return counts.select("month", *[F.round(F.col(f"`{n}`") / total * 100.0, 2).alias(n) for n in names]).orderBy("month")
+    """One row per month, one percent column per regime name, 0 where a regime is absent.
+
+    Shares are of all windows of the month, those of regimes that are not in ``names`` included.
+    """
+    rows = df.withColumn("month", month_key(F.col("end_time"))).where(F.col("month").isNotNull())
+    part = [F.count(F.when(F.col("macro_state_name") == n, 1)) / F.count(F.lit(1)) * 100.0 for n in names]
+    return rows.groupBy("month").agg(*[F.round(p, 2).alias(n) for n, p in zip(names, part, strict=True)])
 
 
 def dominant_regime_month(df: DataFrame) -> DataFrame:
@@ -235,14 +231,14 @@ def dominant_regime_month(df: DataFrame) -> DataFrame:
         .groupBy("month")
         .agg(*[F.avg(c).alias(f"avg_{k}") for k, c in measures.items()])
     )
-    return best.withColumnRenamed("share", "dominant_share").join(means, "month").orderBy("month")
+    return best.withColumnRenamed("share", "dominant_share").join(means, "month")
 
 
 def dominant_regime_station_month(df: DataFrame, station: str = "station") -> DataFrame:
     best = argmax_per_group(
         monthly_regime_shares(df, [station]), [station, "month"], "share", ["macro_state_name"]
     )
-    return best.withColumnRenamed("share", "dominant_share").orderBy(station, "month")
+    return best.withColumnRenamed("share", "dominant_share")
 
 
 def _planning_rows(df: DataFrame) -> DataFrame:

@@ -49,6 +49,8 @@ class Models:
     latent_dim: int = 32
     boundary_tolerance: int = 2
     changepoint_penalty: float = 8.0
+    changepoint_segment: int | None = None  # rows searched together; None: whole series
+    silhouette: str = "exact"  # or "squared", which compares no pairs of windows
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.agreement import davies_bouldin
 from tidemark.operators.boundaries import boundary_precision_recall
 from tidemark.operators.changepoints import changepoints
-from tidemark.operators.clusters import gmm_select_k, kmeans_select_k, silhouette_for_selection
+from tidemark.operators.clusters import SILHOUETTE_NAMES, gmm_select_k, kmeans_select_k, silhouette_for_selection
 from tidemark.operators.hierarchy import hierarchy_source, macro_from_state_means, super_regimes
 from tidemark.operators.hmm import HmmFit, hmm_decode, hmm_seed_stability, hmm_select_states
 from tidemark.operators.labels import (
@@ -93,14 +93,14 @@ def discover(
     )
     run = _Run(base, windows, keys, m, keep)
 
-    kmeans = kmeans_select_k(base, "point", "x", m.candidates, m.seed, m.restarts, "label")
-    run.add("kmeans", kmeans.labels, "x", {"silhouette": kmeans.score, "n_states": kmeans.k}, kmeans.k)
+    kmeans = kmeans_select_k(base, "point", "x", m.candidates, m.seed, m.restarts, "label", m.silhouette)
+    run.add("kmeans", kmeans.labels, "x", {SILHOUETTE_NAMES[m.silhouette]: kmeans.score, "n_states": kmeans.k}, kmeans.k)
     gmm = gmm_select_k(base, "x", m.candidates, m.seed, name="label")
     run.add("gmm", gmm.labels, "x", {"bic": gmm.score, "aic": gmm.aic[gmm.k], "n_states": gmm.k}, gmm.k)
     hmm = run.add_hmm("hmm", base, "x")
     fits: dict[str, object] = {"kmeans": kmeans, "gmm": gmm, "hmm": hmm}
 
-    breaks = keep(changepoints(base, keys, "seq", "x", m.changepoint_penalty), "changepoints")
+    breaks = keep(changepoints(base, keys, "seq", "x", m.changepoint_penalty, m.changepoint_segment), "changepoints")
     run.metrics.append(("changepoint", "n_breaks", float(breaks.count())))
     run.diagnostics["changepoints"] = breaks
     seeds = {*STABILITY_SEEDS, m.seed}
@@ -159,7 +159,6 @@ class _Run:
         self.labels: dict[str, DataFrame] = {}
         self.metrics: list[tuple[str, str, float]] = []
         self.diagnostics: dict[str, DataFrame] = {}
-        self.rows = base.count()
 
     def joined(self, name: str) -> DataFrame:
         return self.base.join(self.labels[name].select("station", "end_idx", "label"), ["station", "end_idx"])
@@ -179,7 +178,9 @@ class _Run:
             matrix = transition_matrix(kept, self.keys, "seq", "label", states)
         measured = {
             **scores,
-            "silhouette_post": silhouette_for_selection(judged, "point", "label", vector, self.rows),
+            f"{SILHOUETTE_NAMES[self.settings.silhouette]}_post": silhouette_for_selection(
+                judged, "point", "label", vector, self.settings.silhouette
+            ),
             "davies_bouldin": davies_bouldin(judged, "label", vector).first()[0],
             "mean_regime_duration": durations.first()["mean_duration"],
             "transition_entropy": transition_entropy(matrix).first()[0],
@@ -220,8 +221,8 @@ def _latent_branch(run: _Run, base, columns, windows, stability, seeds):
         embedded, "x", basis.as_table(base.sparkSession), F.array(*[F.lit(v) for v in basis.mean])
     )
     run.diagnostics["reconstruction_error"] = error_summary(errors, "reconstruction_error")
-    kmeans = kmeans_select_k(embedded, "point", "z", m.candidates, m.seed, m.restarts, "label")
-    run.add("dense_ae_kmeans", kmeans.labels, "z", {"silhouette_embed": kmeans.score, "n_states": kmeans.k}, kmeans.k)
+    kmeans = kmeans_select_k(embedded, "point", "z", m.candidates, m.seed, m.restarts, "label", m.silhouette)
+    run.add("dense_ae_kmeans", kmeans.labels, "z", {f"{SILHOUETTE_NAMES[m.silhouette]}_embed": kmeans.score, "n_states": kmeans.k}, kmeans.k)
     fit = run.add_hmm("dense_ae_hmm", embedded, "z")
     if fit is None:
         return None, None, None

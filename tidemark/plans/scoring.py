@@ -67,29 +67,43 @@ def clean_grid(
     return cleaned, report
 
 
-def score_windows(windows: DataFrame, models: StoredModels, keys: Sequence[str] = ("station",)) -> DataFrame:
-    """Window table to ``micro_state, macro_state, macro_state_name`` and, if embedded, the error."""
+def score_vectors(windows: DataFrame, models: StoredModels) -> tuple[DataFrame, str]:
+    """Windows with the vector that the sequence model reads, and its name; ``_x`` is the scaled features."""
     columns = models.settings["window_features"]
-    scaled = feature_array(apply_scaler(windows, columns, models.scaler), columns, "_x").select(
-        "station", "end_idx", "_x"
-    )
-    vector = "_x"
+    # Features are scaled under other names, so that the windows keep theirs.
+    own = {c: f"_scaled_{i}" for i, c in enumerate(columns)}
+    copied = windows.withColumns({name: F.col(c) for c, name in own.items()})
+    parameters = models.scaler.replace(own, subset=["column"])
+    scaled = feature_array(apply_scaler(copied, list(own.values()), parameters), list(own.values()), "_x").drop(*own.values())
     if models.mode == LATENT_MODE:
-        scaled = project(scaled, "_x", models.basis, "_z")
-        vector = "_z"
-    ordered = label_positions(scaled, list(keys), name="_seq")
-    decoded = hmm_decode(ordered, list(keys), "_seq", vector, models.hmm, "micro_state")
+        return project(scaled, "_x", models.basis, "_z"), "_z"
+    return scaled, "_x"
+
+
+def score_states(decoded: DataFrame, models: StoredModels) -> tuple[DataFrame, list[str]]:
+    """Adds the macro state of ``micro_state`` and, if embedded, the error; and the names of what scoring adds."""
     added = ["micro_state", "macro_state"]
     if models.mode == LATENT_MODE:
         pairs = {int(r["micro_state"]): int(r["macro_state"]) for r in models.mapping.collect()}
         decoded = reconstruction_error(
-            decoded, "_x", models.basis.as_table(windows.sparkSession),
+            decoded, "_x", models.basis.as_table(decoded.sparkSession),
             F.array(*[F.lit(float(m)) for m in models.basis.mean]),
         )
-        decoded = decoded.withColumn("macro_state", lookup_default(F.col("micro_state"), pairs))
-        added.append("reconstruction_error")
-    else:
-        decoded = decoded.withColumn("macro_state", F.col("micro_state"))
+        return decoded.withColumn("macro_state", lookup_default(F.col("micro_state"), pairs)), [*added, "reconstruction_error"]
+    return decoded.withColumn("macro_state", F.col("micro_state")), added
+
+
+def score_windows(
+    windows: DataFrame, models: StoredModels, keys: Sequence[str] = ("station",), causal: bool = False
+) -> DataFrame:
+    """Window table to ``micro_state, macro_state, macro_state_name`` and, if embedded, the error.
+
+    ``causal`` gives each window the state that is known when it ends, as a stream does.
+    """
+    scaled, vector = score_vectors(windows, models)
+    ordered = label_positions(scaled.select("station", "end_idx", *dict.fromkeys(("_x", vector))), list(keys), name="_seq")
+    decoded = hmm_decode(ordered, list(keys), "_seq", vector, models.hmm, "micro_state", causal=causal)
+    decoded, added = score_states(decoded, models)
     means = [n for n in windows.columns if n.endswith("_mean")]
     return windows.join(decoded.select("station", "end_idx", *added), ["station", "end_idx"]).select(
         *META, *added, *means, duration_hours(F.col("start_time"), F.col("end_time")).alias("duration_hours")

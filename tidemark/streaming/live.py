@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.scalars import angle_of
 from tidemark.functions.times import DAY, width_micros
-from tidemark.plans.scoring import score_windows
+from tidemark.operators.hmm import causal_path, emissions
+from tidemark.plans.scoring import score_states, score_vectors
 from tidemark.sources.model_store import StoredModels
 
 
@@ -48,24 +53,34 @@ def stream_resample(
     )
 
 
-def stream_score(
-    windows: DataFrame,
-    models: StoredModels,
-    output: str,
-    checkpoint: str,
-    score: Callable[[DataFrame, StoredModels], DataFrame] = score_windows,
-) -> DataStreamWriter:
-    """Score micro-batches of window rows into ``output``, one folder per batch.
+def stream_score(windows: DataFrame, models: StoredModels, output: str, checkpoint: str) -> DataStreamWriter:
+    """Score a stream of window rows into ``output``: its columns, the states and, if embedded, the error.
 
-    A repeated batch overwrites its own folder, so a restart neither loses nor repeats rows.
+    Each window gets the state in which the best path up to it ends (``score_windows(causal=True)`` gives the same), so
+    the borders of micro-batches do not matter: the decoder's scores of every station are kept from batch to batch. Windows of a station must
+    arrive by ascending ``end_idx``, in any number of batches; one that comes after a later one has no state.
     """
+    scaled, vector = score_vectors(windows, models)
+    parameters, kept = models.hmm, scaled.columns
+    schema = T.StructType([*scaled.schema.fields, T.StructField("micro_state", T.IntegerType())])
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # The window rows of a batch are read by several stages.
-        held = batch.persist()
-        try:
-            score(held, models).write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-        finally:
-            held.unpersist()
+    def decode(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, scores = state.get if state.exists else (None, None)
+        rows = pd.concat(list(parts)).sort_values("end_idx", ignore_index=True)
+        late = rows["end_idx"] <= last if last is not None else rows["end_idx"].isna()
+        found = pd.array([None] * len(rows), dtype="Int32")
+        if (~late).any():
+            x = np.stack(rows.loc[~late, vector].to_numpy())
+            path, scores = causal_path(emissions(x, parameters), None if scores is None else np.asarray(scores), parameters)
+            found[(~late).to_numpy()] = path
+            state.update((int(rows["end_idx"].max()), [float(v) for v in scores]))
+        yield rows[kept].assign(micro_state=found)
 
-    return windows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    decoded = scaled.groupBy("station").applyInPandasWithState(
+        decode, schema, "last long, scores array<double>", "append", GroupStateTimeout.NoTimeout
+    )
+    scored, added = score_states(decoded, models)
+    return (
+        scored.select(*windows.columns, *added).writeStream.format("parquet").outputMode("append")
+        .option("path", output).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    )
