@@ -49,7 +49,8 @@ def remove_boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     spread = stage(spread_lines(lines.select("line", "site"), sites), "line-spread")
     # Hits per document: at most its own lines. Rows equal in all three columns share a rid and their hits.
     hits = lines.select("rid", "line").distinct().join(spread, "line").groupBy("rid").agg(F.collect_list("line").alias("hits"))
-    joined = rows.select("doc_id", "rid", "text").join(stage(hits, "line-hits"), "rid", "left")
+    # Hits grow with the documents, so both sides are dealt by row at every size.
+    joined = rows.select("doc_id", "rid", "text").join(stage(hits, "line-hits").hint("merge"), "rid", "left")
     split = F.split("text", BREAK)
     kept = F.when(F.col("hits").isNull(), split).otherwise(F.filter(split, lambda x: ~F.array_contains("hits", F.xxhash64(x)) | (F.trim(x) == "")))
     joined = joined.select("doc_id", F.size(split).cast("long").alias("n_lines"), kept.alias("kept"))
