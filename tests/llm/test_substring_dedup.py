@@ -61,7 +61,7 @@ def test_sketch_never_too_low(spark, monkeypatch):
     values = r.integers(0, 4_000, 6_000).astype(np.int64)
     rows = spark.createDataFrame([(int(v),) for v in values], "v long").repartition(6)
     monkeypatch.setattr(sketches, "FAN_IN", 2)
-    merged = sketches.sketch_repeats(rows, lambda b: iter([b.column("v").to_numpy().view(np.uint64)]), 20).value
+    merged = sketches.sketch_repeats(rows, lambda b: iter([b.column("v").to_numpy().view(np.uint64)]), 20, 6_000).value
     found = sketches.may_repeat(np.arange(4_000, dtype=np.uint64), merged, 20)
     counts = np.bincount(values, minlength=4_000)
     assert found[counts > 1].all() and found[counts == 1].mean() < 0.05 and found[counts == 0].mean() < 0.05

@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import mix
-from tidemark.session import stage
 
 ROWS = 2
 SEGMENT_BITS = 20  # cells of a segment, as a power of two
 MOST_BITS = 29  # cells of a row, as a power of two: 64 MiB a row at most
-FLUSH = 4_000_000  # values a task gathers before it sends their cells
+FLUSH = 2_000_000  # values a task gathers before it sends their cells
 FAN_IN = 256  # partial sketches of a segment that one task merges at a time
 _SCHEMA = "segment int, part int, met binary, again binary"
 _TYPES = pa.schema([("segment", pa.int32()), ("part", pa.int32()), ("met", pa.binary()), ("again", pa.binary())])
@@ -37,18 +36,27 @@ def cells(values: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(values + np.uint64(row + 1)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def _pack(sorted_cells: np.ndarray) -> bytes:
+def pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte by byte of all of them, since the upper bytes of small numbers are zero."""
     import zstandard
 
-    steps = np.diff(sorted_cells, prepend=np.uint32(0)).astype("<u4")
-    return zstandard.ZstdCompressor(level=1).compress(steps.tobytes())
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), numbers.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpack(packed: bytes) -> np.ndarray:
+def unpack(packed: bytes, kind) -> np.ndarray:
     import zstandard
 
-    steps = np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(packed), "<u4")
-    return np.cumsum(steps, dtype=np.int64)
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(packed), np.uint8)
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _pack(sorted_cells: np.ndarray) -> bytes:
+    return pack(np.diff(sorted_cells, prepend=np.uint32(0)).astype("<u4"))
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, "<u4"), dtype=np.int64)
 
 
 def _send(gathered: list[np.ndarray], bits: int, part: int) -> Iterator[pa.RecordBatch]:
@@ -90,8 +98,11 @@ def _merge(batches: Iterator[pa.RecordBatch], finish: bool) -> Iterator[pa.Recor
         yield result()
 
 
-def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> Broadcast:
-    """The merged sketch of all values (uint64) that ``values_of`` finds in batches of ``rows``, as a broadcast array of bits."""
+def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, values: int) -> Broadcast:
+    """The merged sketch of all values (uint64) that ``values_of`` finds in batches of ``rows``, as a broadcast array of bits.
+
+    ``values``, about how many there are, sets in how many steps partial sketches are merged.
+    """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -99,17 +110,18 @@ def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterat
         part = TaskContext.get().partitionId()
         gathered, n = [], 0
         for batch in batches:
-            for values in values_of(batch):
-                gathered.append(values)
-                n += len(values)
+            for found in values_of(batch):
+                gathered.append(found)
+                n += len(found)
                 if n >= FLUSH:
                     yield from _send(gathered, bits, part)
                     gathered, n = [], 0
         if n:
             yield from _send(gathered, bits, part)
 
-    parts = stage(rows.mapInArrow(partial, _SCHEMA), "sketch")
-    most = parts.groupBy("segment").count().agg(F.max("count")).first()[0] or 0
+    # A segment gets a partial sketch from every task and flush; more than a task should merge are merged in groups first.
+    parts = rows.mapInArrow(partial, _SCHEMA)
+    most = rows.rdd.getNumPartitions() + values // FLUSH
     while True:
         groups = max(1, math.ceil(most / FAN_IN))
         last = groups == 1
@@ -118,7 +130,7 @@ def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterat
         parts = dealt.mapInArrow(lambda batches, finish=last: _merge(batches, finish), _SCHEMA)
         if last:
             break
-        parts, most = stage(parts, "sketch"), groups
+        most = groups
     step = (1 << SEGMENT_BITS) // 8
     merged = np.zeros((ROWS, (1 << bits) // 8), np.uint8)
     flat = merged.reshape(-1)
@@ -127,6 +139,16 @@ def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterat
     return rows.sparkSession.sparkContext.broadcast(merged)
 
 
+def sketch_members(ids: DataFrame, bits: int, values: int) -> Broadcast:
+    """A sketch for which ``may_repeat`` tells the ids (one integer column) that may be among these from those that are not."""
+
+    def twice(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        found = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        yield np.concatenate([found, found])
+
+    return sketch_repeats(ids, twice, bits, 2 * values)
+
+
 def may_repeat(values: np.ndarray, merged: np.ndarray, bits: int) -> np.ndarray:
     """Whether the estimated count is two or more."""
     out = np.ones(len(values), bool)

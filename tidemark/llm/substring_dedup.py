@@ -1,7 +1,7 @@
 """Removing repeated passages: windows of words, a count-min prefilter, an exact second pass.
 
 Pass one sketches how often windows occur. Pass two sends the windows that may be repeated, and only those, to be grouped by their
-128-bit hashes; each group answers with its first occurrence. A last pass deals texts and answers by document and
+96-bit hashes; each group answers with its first occurrence. A last pass deals texts and answers by document and
 removes every word that lies in a repeated window which is not the first of its group. Windows estimated to be single are
 single, so none is lost; windows wrongly estimated to be repeated are firsts of their own group.
 """
@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, table
-from tidemark.llm.sketches import cell_bits, may_repeat, sketch_repeats
+from tidemark.llm.sketches import cell_bits, may_repeat, pack, sketch_repeats, unpack
 from tidemark.llm.words import pieces, run_starts, runs, text_bytes, words
 
 WINDOW = 20
 BYTES_A_WORD = 6  # to size the sketch and the buckets; nothing depends on it but sizes
 BUCKET_WINDOWS = 1 << 20
 BUCKET_BYTES = 4 << 20
-FLUSH = 2_000_000  # candidate windows a task gathers before it sends them
+FLUSH = 1_000_000  # candidate windows a task gathers before it sends them
 _FIRST = np.dtype([("doc", "<i8"), ("tie", "<i8"), ("start", "<u4")])
 
 
@@ -38,18 +38,6 @@ def _windows(batch: pa.RecordBatch, length: int):
         yield piece, data, offsets, hashes, first, at, text, runs(hashes, length)[at]
 
 
-def _pack(array: np.ndarray) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
-
-
-def _unpack(packed: bytes, kind) -> np.ndarray:
-    import zstandard
-
-    return np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(packed), kind)
-
-
 def _numbers(doc: np.ndarray, tie: np.ndarray) -> np.ndarray:
     """The place of each (doc, tie) among the distinct ones, in ascending order."""
     order = np.lexsort((tie, doc))
@@ -74,7 +62,7 @@ def _first_of_each(k1: np.ndarray, k2: np.ndarray, place: np.ndarray) -> np.ndar
     return order[new]
 
 
-_CANDIDATES = "bucket int, keys binary, docs binary, at binary"
+_CANDIDATES = "bucket int, steps binary, k2 binary, docs binary, at binary"
 _DOC = np.dtype([("doc", "<i8"), ("tie", "<i8")])
 
 
@@ -93,20 +81,21 @@ def _send_candidates(docs: list[tuple[np.ndarray, ...]], gathered: list[tuple[np
             names = np.empty(len(used), _DOC)
             names["doc"], names["tie"] = doc[used], tie[used]
             at = np.concatenate([idx.astype("<u4"), start[a:z].astype("<u4")])
-            out.append((b, np.concatenate([k1[a:z], k2[a:z]]).tobytes(), _pack(names), _pack(at)))
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    columns = zip(*out, strict=True) if out else [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["bucket", "keys", "docs", "at"])
+            steps = np.diff(k1[a:z], prepend=np.uint64(0)).astype("<u8")
+            out.append((b, pack(steps), k2[a:z].astype("<u4").tobytes(), pack(names), pack(at)))
+    kinds = [pa.int32(), *[pa.binary()] * 4]
+    columns = zip(*out, strict=True) if out else [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["bucket", "steps", "k2", "docs", "at"])
 
 
 def _firsts(rows: pa.Table, doc_buckets: int) -> pa.Table:
     """The first occurrence of each window of a bucket, packed by bucket of the document."""
     k1s, k2s, docs, row, starts, base = [], [], [], [], [], 0
-    for keys, names, at in zip(*(rows.column(c).to_pylist() for c in ("keys", "docs", "at")), strict=True):
-        k, places, names = np.frombuffer(keys, "<u8"), _unpack(at, "<u4"), _unpack(names, _DOC)
-        n = len(k) // 2
-        k1s.append(k[:n])
-        k2s.append(k[n:])
+    for steps, k2, names, at in zip(*(rows.column(c).to_pylist() for c in ("steps", "k2", "docs", "at")), strict=True):
+        places, names = unpack(at, "<u4"), unpack(names, _DOC)
+        k1s.append(np.cumsum(unpack(steps, "<u8"), dtype=np.uint64))
+        k2s.append(np.frombuffer(k2, "<u4"))
+        n = len(k2s[-1])
         docs.append(names)
         row.append(places[:n].astype(np.int64) + base)
         starts.append(places[n:])
@@ -119,29 +108,13 @@ def _firsts(rows: pa.Table, doc_buckets: int) -> pa.Table:
     order = np.lexsort((found["start"], found["tie"], bucket))
     found, bucket = found[order], bucket[order]
     borders = np.searchsorted(bucket, np.arange(doc_buckets + 1))
-    out = [(b, _pack(_columns(found[a:z]))) for b, (a, z) in enumerate(zip(borders[:-1], borders[1:], strict=True)) if a < z]
+    out = [(b, pack(found[a:z])) for b, (a, z) in enumerate(zip(borders[:-1], borders[1:], strict=True)) if a < z]
     return pa.table([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["bucket", "firsts"])
 
 
-def _columns(found: np.ndarray) -> np.ndarray:
-    """Records as bytes, column by column."""
-    return np.frombuffer(b"".join(np.ascontiguousarray(found[c]).tobytes() for c in _FIRST.names), np.uint8)
-
-
-def _records(packed: bytes) -> np.ndarray:
-    data = _unpack(packed, np.uint8)
-    n, low = len(data) // _FIRST.itemsize, 0
-    out = np.empty(n, _FIRST)
-    for c in _FIRST.names:
-        width = _FIRST[c].itemsize * n
-        out[c] = np.frombuffer(data[low : low + width].tobytes(), _FIRST[c])
-        low += width
-    return out
-
-
 def _keep(left: pa.Table, right: pa.Table, length: int, merged: np.ndarray, bits: int) -> pa.Table:
     """Texts of a bucket without the words that its firsts do not protect."""
-    firsts = [_records(p) for p in right.column("firsts").to_pylist()]
+    firsts = [unpack(p, _FIRST) for p in right.column("firsts").to_pylist()]
     firsts = np.concatenate(firsts) if firsts else np.empty(0, _FIRST)
     mine = [left.column(c).to_numpy() for c in ("place", "tie")]
     number = _numbers(np.concatenate([mine[0], firsts["doc"]]), np.concatenate([mine[1], firsts["tie"]]))
@@ -185,7 +158,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     windows = size // BYTES_A_WORD + 1
     bits = cell_bits(windows // 2)
-    merged = sketch_repeats(rows.select("text"), lambda batch: (w[-1] for w in _windows(batch, window)), bits)
+    merged = sketch_repeats(rows.select("text"), lambda batch: (w[-1] for w in _windows(batch, window)), bits, windows)
     bucket_bits = max(0, math.ceil(math.log2(max(1, windows / 2 / BUCKET_WINDOWS))))
     doc_buckets = max(1, size // BUCKET_BYTES)
 
@@ -197,7 +170,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 at, text = at[chosen], text[chosen]
                 if len(at):
                     docs.append(tuple(piece.column(c).to_numpy() for c in ("place", "tie")))
-                    gathered.append((k1[chosen], runs(hashes, window, 1)[at], text + base, at - first[:-1][text]))
+                    gathered.append((k1[chosen], (runs(hashes, window, 1)[at] >> np.uint64(32)).astype(np.uint32), text + base, at - first[:-1][text]))
                     base += piece.num_rows
                     n += len(at)
                 if n >= FLUSH:
