@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, shield, table
 from tidemark.llm.components import components
-from tidemark.llm.sketches import cell_bits, may_repeat, sketch_repeats
+from tidemark.llm.sketches import cell_bits, may_repeat, sketch_members, sketch_repeats
 from tidemark.llm.words import mix, pieces, run_starts, runs, text_bytes, words
 from tidemark.session import stage
 
@@ -94,44 +94,50 @@ def sketches(docs: DataFrame, shingle: int, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n bigint, s1 bigint, s2 bigint, sketch binary")
 
 
-def repeated_values(classes: DataFrame, k: int) -> DataFrame:
-    """``id, n, kept, value`` for the retained values that may occur in several sketches; ``kept`` is the size of the sketch."""
+def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
+    """``value, id, bound`` for the retained values of classes that may occur in several sketches.
+
+    ``bound`` is the class's share of retained values that a linked class must have. Rows of ``base`` stand for their class if their
+    id may be among ``firsts``; the few others that seem so are copies, and their links join what is joined anyhow.
+    """
+    counted = base.agg(F.coalesce(F.sum(F.least("n", F.lit(k))), F.lit(0)).alias("values"), F.count("*").alias("rows")).first()
+    id_bits, bits = cell_bits(counted["rows"]), cell_bits(counted["values"])
+    known = sketch_members(firsts.select("id"), id_bits, counted["rows"])
+
+    def classes(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64)
+        return batch.filter(pa.array(may_repeat(ids, known.value, id_bits)))
 
     def values_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8")
+        yield np.frombuffer(b"".join(classes(batch).column("sketch").to_pylist()), "<u8")
 
-    size = classes.agg(F.coalesce(F.sum(F.least("n", F.lit(k))), F.lit(0))).first()[0]
-    bits = cell_bits(size)
-    merged = sketch_repeats(classes.select("sketch"), values_of, bits)
+    rows = base.select("id", "bound", "sketch")
+    merged = sketch_repeats(rows, values_of, bits, counted["values"])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in map(classes, batches):
             lengths = np.array([len(s) // 8 for s in batch.column("sketch").to_pylist()], np.int64)
-            for values in values_of(batch):
-                found = may_repeat(values, merged.value, bits)
-                row = np.repeat(np.arange(batch.num_rows), lengths)[found]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(row)), batch.column("n").take(pa.array(row)), pa.array(lengths[row].astype(np.int32)), pa.array(values[found].view(np.int64))],
-                    ["id", "n", "kept", "value"],
-                )
+            values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8")
+            found = may_repeat(values, merged.value, bits)
+            row = pa.array(np.repeat(np.arange(batch.num_rows), lengths)[found])
+            yield pa.RecordBatch.from_arrays([pa.array(values[found].view(np.int64)), batch.column("id").take(row), batch.column("bound").take(row)], ["value", "id", "bound"])
 
-    return classes.select("id", "n", "sketch").mapInArrow(listed, "id bigint, n bigint, kept int, value bigint")
+    return rows.mapInArrow(listed, "value bigint, id bigint, bound int")
 
 
-def listed_values(classes: DataFrame, k: int, similarity: int) -> DataFrame:
-    """``value, id, n, heat``: the rarest retained values of each sketch, as many as linked documents cannot all avoid.
+def listed_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
+    """``value, id, heat``: the rarest retained values of each class, as many as linked classes cannot all avoid.
 
-    ``heat`` is the sum of how often the document's values are retained; the most of a list marks its anchor.
+    ``heat`` is the sum of how often the class's values are retained; the most of a list marks its anchor.
     """
-    values = stage(repeated_values(classes, k), "near-values")
+    values = stage(repeated_values(base, firsts, k), "near-values")
     often = stage(values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "near-often")
-    values = values.join(often, "value")
     own = Window.partitionBy("id")
     rare = own.orderBy("often", "value")
+    values = values.join(often, "value")
     values = values.withColumns({"repeated": F.count("*").over(own), "heat": F.sum("often").over(own), "place": F.row_number().over(rare)})
-    # Values of this sketch alone come first in the order by frequency and cannot be shared.
-    room = F.col("kept") - _bound(F.col("n"), k, similarity) + 1 - (F.col("kept") - F.col("repeated"))
-    return values.where(F.col("place") <= room).select("value", "id", "n", "heat")
+    # Values of this class alone come first in the order by frequency and cannot be shared; so many places are taken.
+    return values.where(F.col("place") <= F.col("repeated") + 1 - F.col("bound")).select("value", "id", "heat")
 
 
 def _estimate(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
@@ -152,98 +158,93 @@ def _may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, k: int, similari
     return common >= s * size - DEVIATIONS * math.sqrt(size * s * (1 - s))
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def full_sets(texts: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``id, full``: the sets of all texts whose id may be among ``ids``; ``texts`` (id, text) stay where they are."""
+    n = ids.count()
+    bits = cell_bits(n)
+    known = sketch_members(ids, bits, n)
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = may_repeat(batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64), known.value, bits)
+            for piece in pieces(batch.filter(pa.array(wanted))):
+                packed = pa.array([s.astype("<u8").tobytes() for s in shingle_sets(piece, shingle)], pa.binary())
+                yield pa.RecordBatch.from_arrays([piece.column("id"), packed], ["id", "full"])
 
-def estimate_pairs(pairs: DataFrame, classes: DataFrame, k: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) whose sketches allow a link."""
-    both = _with_both(pairs, classes.select("id", "n", "sketch"), ["n", "sketch"])
+    return texts.mapInArrow(encode, "id bigint, full binary")
 
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pydict()
-            take = [
-                _may_link(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), n, m, k, similarity)
-                for x, y, n, m in zip(rows["a_sketch"], rows["b_sketch"], rows["a_n"], rows["b_n"], strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(take, pa.bool_()))
 
-    return both.mapInArrow(passing, "a bigint, b bigint")
+def _linked(a: np.ndarray, b: np.ndarray, k: int, similarity: int) -> bool:
+    """Whether full sets are linked; their least values, the sketches, rule out most that are not."""
+    if not _may_link(a[:k], b[:k], len(a), len(b), k, similarity):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common > 0 and 100 * common >= similarity * (len(a) + len(b) - common)
 
 
-def _with_both(pairs: DataFrame, things: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairs with the columns of both ends, as ``a_<c>`` and ``b_<c>``."""
-    for end in ("a", "b"):
-        pairs = pairs.join(things.select(F.col("id").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in columns)), end)
-    return pairs
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def verify(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) of class ids that are linked by their full sets; ``docs`` (id, text) holds a text per class."""
-    pairs = stage(pairs, "near-pairs")
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+def _pairs(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table([pa.array([int(min(p)) for p in found], pa.int64()), pa.array([int(max(p)) for p in found], pa.int64())], schema=_PAIR)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch):
-                packed = pa.array([s.astype("<u8").tobytes() for s in shingle_sets(piece, shingle)], pa.binary())
-                yield pa.RecordBatch.from_arrays([piece.column("id"), packed], ["id", "full"])
 
-    full = stage(docs.join(needed, "id").select("id", "text").mapInArrow(encode, "id bigint, full binary"), "near-sets")
-    both = _with_both(pairs, full, ["full"])
+def _from_anchor(group: pa.Table, k: int, similarity: int) -> pa.Table:
+    """Links between the anchor of a list and a block of its members."""
+    ids, sets = group.column("id").to_pylist(), [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("full")]
+    anchor = group.column("anchor")[0].as_py()
+    if anchor not in ids:
+        return _pairs([])
+    center = sets[ids.index(anchor)]
+    return _pairs([(anchor, i) for i, s in zip(ids, sets, strict=True) if i != anchor and _linked(center, s, k, similarity)])
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            take = []
-            for x, y in zip(batch.column("a_full"), batch.column("b_full"), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                take.append(common > 0 and 100 * common >= similarity * (len(a) + len(b) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(take, pa.bool_()))
 
-    return stage(both.mapInArrow(linked, "a bigint, b bigint"), "near-links")
+def star_links(stars: DataFrame, sets: DataFrame, k: int, similarity: int) -> DataFrame:
+    """Links (a, b) between anchors and members; ``stars`` is (anchor, id, blocks). Every block gets a copy of the anchor."""
+    members = stars.where("anchor != id").select("anchor", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    anchors = stars.select("anchor", "blocks").distinct().select("anchor", F.col("anchor").alias("id"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    met = members.unionByName(anchors).join(sets, "id")
+    return met.groupBy("anchor", "block").applyInArrow(lambda t: _from_anchor(t, k, similarity), "a bigint, b bigint").distinct()
 
 
 def _across(group: pa.Table, k: int, similarity: int) -> pa.Table:
-    """Pairs of a block of documents, of different components, whose sketches allow a link.
-
-    With ``left = right`` the block meets itself, else its two halves meet.
-    """
-    ids, comps, sizes = (group.column(c).to_numpy() for c in ("id", "component", "n"))
-    sketch = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("sketch")]
+    """Links between documents of different components of a block, or of two blocks."""
+    ids, comps = (group.column(c).to_numpy() for c in ("id", "component"))
+    sets = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("full")]
+    sizes = np.array([len(s) for s in sets])
     side, same = group.column("side").to_numpy(), group.column("same")[0].as_py()
-    flat = np.concatenate(sketch) if sketch else np.empty(0, np.uint64)
-    known, column = np.unique(flat, return_inverse=True)
+    known, column = np.unique(np.concatenate([s[:k] for s in sets]), return_inverse=True)
     has = np.zeros((len(ids), len(known)), np.float32)
-    has[np.repeat(np.arange(len(ids)), [len(s) for s in sketch]), column] = 1
+    has[np.repeat(np.arange(len(ids)), np.minimum(sizes, k)), column] = 1
     rows, others = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
     common = has[rows] @ has[others].T
     n, m = sizes[rows][:, None], sizes[others][None]
-    least = np.maximum(bound(n, k, similarity), bound(m, k, similarity))
-    may = (common >= least) & (comps[rows][:, None] != comps[others][None]) & (100 * np.minimum(n, m) >= similarity * np.maximum(n, m))
+    may = (comps[rows][:, None] != comps[others][None]) & (100 * np.minimum(n, m) >= similarity * np.maximum(n, m))
+    may &= common >= np.maximum(bound(n, k, similarity), bound(m, k, similarity))
     if same:
         may &= rows[:, None] < others[None]
-    out = [(ids[rows[i]], ids[others[j]]) for i, j in zip(*np.nonzero(may), strict=True) if _may_link(sketch[rows[i]], sketch[others[j]], int(sizes[rows[i]]), int(sizes[others[j]]), k, similarity)]
-    a, b = zip(*out, strict=True) if out else ((), ())
-    return pa.table([pa.array([min(x) for x in zip(a, b, strict=True)], pa.int64()), pa.array([max(x) for x in zip(a, b, strict=True)], pa.int64())], schema=_PAIR)
+    whole = (n <= k) & (m <= k)  # sketches that are the sets decide at once
+    links = may & whole & (100 * common >= similarity * (n + m - common))
+    found = [(ids[rows[i]], ids[others[j]]) for i, j in zip(*np.nonzero(links), strict=True)]
+    found += [(ids[rows[i]], ids[others[j]]) for i, j in zip(*np.nonzero(may & ~whole), strict=True) if _linked(sets[rows[i]], sets[others[j]], k, similarity)]
+    return _pairs(found)
 
 
-def across_components(stars: DataFrame, labels: DataFrame, classes: DataFrame, k: int, similarity: int) -> DataFrame:
-    """Pairs (a, b) of members of one star, of different components, whose sketches allow a link.
+def across_components(stars: DataFrame, labels: DataFrame, sets: DataFrame, k: int, similarity: int) -> DataFrame:
+    """Links (a, b) between members of one star that are of different components.
 
-    ``stars`` is (anchor, id). A star of many members is cut into blocks by hash and every two blocks meet.
+    ``stars`` is (anchor, id, blocks). A star of many members is cut into blocks by hash and every two blocks meet.
     """
     members = stars.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     members = stage(members, "near-members")
-    mixed = members.groupBy("anchor").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x != y")
-    mixed = stage(mixed.select("anchor", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "near-mixed")
-    members = members.join(mixed, "anchor").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    mixed = members.groupBy("anchor").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("anchor")
+    members = members.join(stage(mixed, "near-mixed"), "anchor").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     meet = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high"), (F.col("block") > o).cast("int").alias("side"), (F.col("block") == o).alias("same")),
     )
     members = members.select("anchor", "id", "component", F.explode(meet).alias("m")).select("anchor", "id", "component", "m.*")
-    met = members.join(classes.select("id", "n", "sketch"), "id")
+    met = members.join(sets, "id")
     return met.groupBy("anchor", "low", "high").applyInArrow(lambda t: _across(t, k, similarity), "a bigint, b bigint").distinct()
 
 
@@ -259,27 +260,27 @@ def near_classes(docs: DataFrame, *, shingle: int = SHINGLE, similarity: int = S
     missing = 2**63 - 1
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(missing))
     rows = docs.select(ids.alias("doc_id"), F.col("doc_id").alias("own"), "text")
-    base = stage(sketches(rows, shingle, k), "near-sketches")
+    base = sketches(rows, shingle, k).withColumn("bound", _bound(F.col("n"), k, similarity))
+    base = stage(base.withColumnRenamed("doc_id", "id"), "near-sketches")
     filled = base.where("n > 0")
-    firsts = stage(filled.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("id")), "near-classes")
-    chosen = filled.join(firsts.select("s1", "s2", "n", F.col("id").alias("doc_id")), ["s1", "s2", "n", "doc_id"])
-    chosen = chosen.dropDuplicates(["s1", "s2", "n", "doc_id"])
-    classes = stage(chosen.select(F.col("doc_id").alias("id"), "n", "sketch"), "near-reps")
-    texts = rows.select(F.col("doc_id").alias("id"), "text")
+    firsts = stage(filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("id")), "near-classes")
 
-    lists = stage(listed_values(classes, k, similarity), "near-lists")
-    place = F.shiftleft("heat", 24) + F.shiftrightunsigned(F.xxhash64("id"), 40)
+    lists = stage(listed_values(filled, firsts, k), "near-lists")
+    place = F.shiftleft(F.least("heat", F.lit(2**38)), 24) + F.shiftrightunsigned(F.xxhash64("id"), 40)
     anchors = lists.groupBy("value").agg(F.count("*").alias("size"), F.max_by("id", place).alias("anchor")).where("size > 1").select("value", "anchor")
-    stars = stage(lists.select("value", "id", "n").join(stage(anchors, "near-anchors"), "value").select("anchor", "id").distinct(), "near-stars")
-    pairs = stars.where("anchor != id").select(F.least("anchor", "id").alias("a"), F.greatest("anchor", "id").alias("b")).distinct()
-    links = verify(estimate_pairs(pairs, classes, k, similarity), texts, shingle, similarity)
+    stars = stage(lists.select("value", "id").join(stage(anchors, "near-anchors"), "value").select("anchor", "id").distinct(), "near-pairs")
+    blocks = stars.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    stars = stage(stars.join(stage(blocks, "near-blocks"), "anchor"), "near-stars")
+    texts = rows.select(F.col("doc_id").alias("id"), "text")
+    sets = stage(full_sets(texts, stars.select("id").distinct(), shingle), "near-sets")
+    links = stage(star_links(stars, sets, k, similarity), "near-links")
     labels = components(links)
-    more = verify(across_components(stars, labels, classes, k, similarity), texts, shingle, similarity)
+    more = stage(across_components(stars, labels, sets, k, similarity), "near-links")
     labels = components(links.unionByName(more))
 
     # Every row by its set: the class, then the component of the class.
     found = firsts.join(labels.withColumnRenamed("node", "id"), "id", "left").select("s1", "s2", "n", F.coalesce("component", "id").alias("component"))
-    joined = base.select("doc_id", "n", "s1", "s2").join(stage(found, "near-found"), ["s1", "s2", "n"], "left")
+    joined = base.select(F.col("id").alias("doc_id"), "n", "s1", "s2").join(stage(found, "near-found"), ["s1", "s2", "n"], "left")
     component = F.coalesce("component", "doc_id")
     return joined.select(
         F.nullif("doc_id", F.lit(missing)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(component, F.lit(missing)).alias("component_id"),
