@@ -54,3 +54,27 @@ def test_one_row_ties_and_none(spark):
     assert one["edited_sha256"] == hashlib.sha256(b"abcd abcd").hexdigest()
     assert fingerprint_edits(table(spark, [(1, "a")]).where("false")).collect() == []
     assert len(fingerprint_edits(table(spark, [(1, "a b"), (1, "c d"), (1, "a b"), (None, "x"), (None, None)])).collect()) == 5
+
+
+def unpacked(fingerprint):
+    """(position, value) of every anchor of a fingerprint."""
+    at, out = 0, []
+    for a in filter(None, fingerprint.split(",")):
+        at += int(a[:-8], 16)
+        out.append((at, a[-8:]))
+    return out
+
+
+def test_long_texts_keep_all_anchors(spark):
+    r = random.Random(4)
+    shared = [f"p{i}" for i in range(50)]
+    texts = [" ".join([f"{c}{r.random()}" for _ in range(3_000)] + shared + [f"{c}{r.random()}" for _ in range(100 * n)]) for n, c in enumerate("xy")]
+    got = {g["doc_id"]: g for g in fingerprint_edits(table(spark, list(enumerate(texts)))).collect()}
+    found = [unpacked(got[i]["fingerprint"]) for i in (0, 1)]
+    sets = [{v for _, v in f} for f in found]
+    assert all(len(f) > 1_200 and [p for p, _ in f] == sorted({p for p, _ in f}) for f in found)
+    assert len(sets[0] & sets[1]) >= 10
+    for g in got.values():
+        edited = {v for _, v in unpacked(g["edited_fingerprint"])}
+        assert abs(g["near_next"] - 2 * len(sets[0] & sets[1]) / (len(sets[0]) + len(sets[1]))) < 1e-9
+        assert abs(g["near_edited"] - 2 * len(sets[g["doc_id"]] & edited) / (len(sets[g["doc_id"]]) + len(edited))) < 1e-9

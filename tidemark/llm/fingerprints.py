@@ -8,6 +8,7 @@ which have few words, add the anchors over their three-character pieces. Every s
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import query, table
 
 K = 4  # words of an anchor
-KEPT = 64  # least anchor values that make a fingerprint
 SHORT_WORDS, SHORT_CHARS = 32, 512  # texts of fewer words and at most so many characters are short
 GRAM = 3
 CHUNK_ROWS = 500
@@ -59,27 +59,39 @@ def gram_hashes(text: Column, n_words: Column) -> Column:
     return F.when((n_words < SHORT_WORDS) & n.between(1, SHORT_CHARS), grams).otherwise(F.array().cast("array<bigint>"))
 
 
-def likeness(a: Column, b: Column, kept: int = KEPT) -> Column:
-    """Twice the common anchors of two sketches over the anchors of both, estimated, 0 to 1; 1 if both are empty."""
-    least = F.slice(F.sort_array(F.array_union(a, b)), 1, kept)
-    share = F.size(F.array_intersect(F.array_intersect(a, b), least)) / F.size(least)
-    return F.when(F.size(least) == 0, 1.0).otherwise(2 * share / (1 + share))
+def values(anchored: Column) -> Column:
+    """Distinct values of anchors."""
+    return F.array_distinct(F.transform(anchored, lambda a: a["value"]))
 
 
-def as_text(values: Column) -> Column:
-    return F.array_join(F.transform(values, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), ",")
+def likeness(a: Column, b: Column) -> Column:
+    """Twice the common values of two sets over the values of both, 0 to 1; 1 if both are empty. ``a`` and ``b`` are distinct values."""
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, 1.0).otherwise(2 * F.size(F.array_intersect(a, b)) / both)
 
 
-def with_sketch(df: DataFrame, text: str, name: str, k: int = K, kept: int = KEPT) -> DataFrame:
-    """``df`` with the ``kept`` least distinct anchor values of a text, in ascending order."""
+def as_text(anchored: Column) -> Column:
+    """All anchors in order, joined by commas: hexadecimal steps from one position to the next, then 8 digits of value.
+
+    ``anchored`` must be a column of its own, since each anchor looks at the one before.
+    """
+
+    def packed(a, i):
+        step = a["position"] - F.coalesce(F.get(anchored, i - 1)["position"], F.lit(0))
+        return F.lower(F.concat(F.hex(step), F.lpad(F.hex(a["value"]), 8, "0")))
+
+    return F.array_join(F.transform(anchored, packed), ",")
+
+
+def with_anchors(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame:
+    """``df`` with all anchors of a text and their positions; those over the pieces of a short text follow those over its words."""
     hashed = df.withColumn("_w", word_hashes(F.col(text))).withColumn("_g", gram_hashes(F.col(text), F.size("_w")))
-    values = F.concat(anchor_values(F.col("_w"), k), anchor_values(F.col("_g"), k))
-    return hashed.withColumn(name, F.slice(F.sort_array(F.array_distinct(F.array_compact(values))), 1, kept)).drop("_w", "_g")
+    return hashed.withColumn(name, F.concat(anchors(F.col("_w"), k), anchors(F.col("_g"), k))).drop("_w", "_g")
 
 
 def fingerprint(docs: DataFrame, k: int = K) -> DataFrame:
     """``doc_id, fingerprint`` of every row; a null or empty text has the empty fingerprint."""
-    return with_sketch(docs.select("doc_id", "text"), "text", "_f", k).select("doc_id", as_text(F.col("_f")).alias("fingerprint"))
+    return with_anchors(docs.select("doc_id", "text"), "text", "_f", k).select("doc_id", as_text(F.col("_f")).alias("fingerprint"))
 
 
 def _chunk(doc_id: Column, bounds: list[int]) -> Column:
@@ -93,12 +105,14 @@ def _chunk(doc_id: Column, bounds: list[int]) -> Column:
     return F.when(doc_id.isNull(), F.lit(len(bounds))).otherwise(coarse + inside)
 
 
-def with_next(docs: DataFrame, columns: list[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], chunk_rows: int = CHUNK_ROWS, add: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``docs`` with ``next_<c>`` for each of ``columns``: the value of the next row by ascending ``doc_id``, of the first after the last.
 
     Rows are dealt once, by ranges of ids of about ``chunk_rows`` rows; the first row of a range goes to the range before it
-    too. Ids are numbers; null ids come last, and ties follow the hash of ``columns``.
+    too. Ids are numbers; null ids come last, and ties follow the hash of the columns of ``docs`` among ``columns``. ``add`` may
+    make others of ``columns`` once rows are dealt, so that they are not shuffled; they are kept.
     """
+    own = [c for c in columns if c in docs.columns]
     ids = docs.select("doc_id")
     n = ids.count()
     chunks = min(MOST_CHUNKS, max(1, math.ceil(n / chunk_rows)))
@@ -110,7 +124,8 @@ def with_next(docs: DataFrame, columns: list[str], chunk_rows: int = CHUNK_ROWS)
     chunk = _chunk(F.col("doc_id"), bounds)
     firsts = {r["c"]: r["f"] for r in ids.groupBy(chunk.alias("c")).agg(F.min("doc_id").alias("f")).collect()}  # a row per chunk
     if not firsts:
-        return docs.select("*", *(F.lit(None).cast(docs.schema[c].dataType).alias(f"next_{c}") for c in columns))
+        added = add(docs)
+        return added.select("*", *(F.lit(None).cast(added.schema[c].dataType).alias(f"next_{c}") for c in columns))
     order = sorted(firsts)
     before = dict(zip(order, [order[-1], *order[:-1]], strict=True))
     slots = range(len(bounds) + 1)
@@ -120,10 +135,12 @@ def with_next(docs: DataFrame, columns: list[str], chunk_rows: int = CHUNK_ROWS)
     guest = F.struct(previous.alias("chunk"), F.when(F.col("_chunk") == order[0], 1).otherwise(0).alias("wrap"), F.lit(True).alias("guest"))
     at = F.explode(F.when(F.col("doc_id").eqNullSafe(first), F.array(here, guest)).otherwise(F.array(here)))
     dealt = docs.withColumn("_chunk", chunk).withColumn("_at", at)
-    dealt = dealt.select(*docs.columns, F.col("_at.chunk").alias("_chunk"), F.col("_at.wrap").alias("_wrap"), F.col("_at.guest").alias("_guest"), F.xxhash64(*columns).alias("_tie"))
+    dealt = dealt.select(*docs.columns, F.col("_at.chunk").alias("_chunk"), F.col("_at.wrap").alias("_wrap"), F.col("_at.guest").alias("_guest"), F.xxhash64(*own).alias("_tie"))
+    dealt = add(dealt.repartition("_chunk"))
     ordered = Window.partitionBy("_chunk").orderBy("_wrap", F.col("doc_id").asc_nulls_last(), "_guest", "_tie")
     dealt = dealt.withColumn("_next", F.lead(F.struct(*columns)).over(ordered)).where(~F.col("_guest"))
-    return dealt.select(*docs.columns, *(F.col(f"_next.{c}").alias(f"next_{c}") for c in columns))
+    kept = [c for c in dealt.columns if c not in ("_chunk", "_wrap", "_guest", "_tie", "_next")]
+    return dealt.select(*kept, *(F.col(f"_next.{c}").alias(f"next_{c}") for c in columns))
 
 
 def fingerprint_edits(docs: DataFrame, *, k: int = K, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -132,19 +149,20 @@ def fingerprint_edits(docs: DataFrame, *, k: int = K, chunk_rows: int = CHUNK_RO
     Per row of ``docs`` (``doc_id, text``; other columns are ignored): ``doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next``. The edited text has the last half of its code points replaced by the first as many of
     the next document by id. A null text is empty; empty texts have the empty fingerprint, and two of them
-    are alike by 1. Rows of equal id are neighbours in the order of their texts' hashes. A table of one row follows
+    are alike by 1. Fingerprints hold every anchor with its position and likeness compares all of them, whatever the length of the
+    texts. Rows of equal id are neighbours in the order of their texts' hashes. A table of one row follows
     itself; without rows the result is empty. Ids are numbers.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = with_next(with_sketch(rows, "text", "f", k), ["text", "f"], chunk_rows)
+    rows = with_next(rows, ["text", "v"], chunk_rows, lambda df: with_anchors(df, "text", "f", k).withColumn("v", values(F.col("f"))))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 2)"), F.expr("left(next_text, int(length(text) div 2))"))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "f", "next_f", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
-    rows = with_sketch(rows, "edited", "e", k)
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "f", "v", "next_v", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
+    rows = with_anchors(rows, "edited", "e", k)
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("f")).alias("fingerprint"), as_text(F.col("e")).alias("edited_fingerprint"),
-        likeness(F.col("f"), F.col("e")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"),
+        likeness(F.col("v"), values(F.col("e"))).alias("near_edited"), likeness(F.col("v"), F.col("next_v")).alias("near_next"),
     )
 
 
