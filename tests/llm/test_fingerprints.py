@@ -78,3 +78,26 @@ def test_long_texts_keep_all_anchors(spark):
         edited = {v for _, v in unpacked(g["edited_fingerprint"])}
         assert abs(g["near_next"] - 2 * len(sets[0] & sets[1]) / (len(sets[0]) + len(sets[1]))) < 1e-9
         assert abs(g["near_edited"] - 2 * len(sets[g["doc_id"]] & edited) / (len(sets[g["doc_id"]]) + len(edited))) < 1e-9
+
+
+def test_one_rule_for_all_lengths(spark):
+    """Half of an edited text stays, and so do about half of its anchors, at every length and in text without white space."""
+    r = random.Random(6)
+    vocab = vocabulary(2_000)
+    han = ["".join(chr(r.randint(0x4E00, 0x9F00)) for _ in range(n)) for n in (40, 600, 3_000)]
+    code = ["".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n)) for n in (60, 600, 5_000)]
+    plain = [sentence(r, vocab, n) for n in (8, 20, 31, 31, 40, 31, 300, 31, 31, 20, 100, 8, 2_000)]
+    rows = list(enumerate([*han, *code, *plain, sentence(r, vocab, 40)]))
+    got = {g["doc_id"]: g for g in fingerprint_edits(table(spark, rows)).collect()}
+    short = {i for i, t in rows if len(rows[(i + 1) % len(rows)][1]) < len(t) // 2}
+    # texts of under 100 characters have few anchors
+    assert all(g["near_edited"] > (0.1 if g["n_chars"] < 100 else 0.35) for g in got.values()), "\n".join(str((g["doc_id"], g["n_chars"], g["near_edited"])) for g in got.values())
+    assert all(g["near_edited"] < 0.75 for i, g in got.items() if i not in short and g["n_chars"] > 100)
+
+
+def test_pieces_do_not_depend_on_the_text_around(spark):
+    r = random.Random(7)
+    blob = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(1_000))
+    one, two = (g["fingerprint"] for g in fingerprint(table(spark, [(1, blob), (2, "xZ!q" + blob + "end")])).orderBy("doc_id").collect())
+    a, b = ({v for _, v in unpacked(f)} for f in (one, two))
+    assert len(a & b) >= len(a) - 3 and len(a) > 100

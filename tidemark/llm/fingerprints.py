@@ -1,8 +1,10 @@
 """Document fingerprints by closed syncmers.
 
 A run of ``K`` pieces is an anchor if the least hash among its pieces stands at either edge. Whether a run is an anchor
-depends on the run alone, so a passage keeps its anchors wherever it is moved. The pieces are words; short texts,
-which have few words, add the anchors over their three-character pieces. Every step is a DataFrame expression.
+depends on the run alone, so a passage keeps its anchors wherever it is moved. The pieces are short groups of characters that
+end where their own last character says so, by the same rule in texts of every length: at the end of a word, at an ASCII vowel or
+digit, at any character beyond ASCII, and after ``PIECE`` characters. Text without white space is cut as finely as other
+text. Every step is a DataFrame expression.
 """
 
 from __future__ import annotations
@@ -15,9 +17,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, table
 
-K = 4  # words of an anchor
-SHORT_WORDS, SHORT_CHARS = 32, 512  # texts of fewer words and at most so many characters are short
-GRAM = 3
+K = 4  # pieces of an anchor
+PIECE = 3  # characters of a piece at most
+ENDING = r"[AEIOUYaeiouy0-9]|[^\x00-\x7F]"  # a character that ends its piece
+WITHIN = r"[\x00-\x08\x0E-\x1F!-/:-@B-DF-HJ-NP-TV-XZ\[-`b-df-hj-np-tv-xz{-\x7F]"  # any other but ASCII white space
+PIECES = rf"{WITHIN}{{0,{PIECE - 1}}}(?:{ENDING})|{WITHIN}{{1,{PIECE}}}"
 CHUNK_ROWS = 500
 MOST_CHUNKS = 2**16  # borders of chunks are held by the plan
 STEP = 256
@@ -30,10 +34,10 @@ def word_hashes(text: Column) -> Column:
 
 
 def anchor_values(hashes: Column, k: int = K) -> Column:
-    """Per word position the value (32 bits) of the anchor that starts there, else null.
+    """Per position the value (32 bits) of the anchor that starts there, else null.
 
-    ``hashes`` must be a column of its own, since each position looks at its neighbours. Texts of fewer than ``k``
-    words have one anchor, the whole sequence, at position 0.
+    ``hashes`` must be a column of its own, since each position looks at its neighbours. Sequences of fewer than
+    ``k`` have one anchor, the whole, at position 0.
     """
 
     def at(x, i):
@@ -52,11 +56,9 @@ def anchors(hashes: Column, k: int = K) -> Column:
     return F.filter(placed, lambda a: a["value"].isNotNull())
 
 
-def gram_hashes(text: Column, n_words: Column) -> Column:
-    """Hashes of the overlapping three-character pieces of a short text; empty for others."""
-    n = F.length(text)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - (GRAM - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(text, i, F.lit(GRAM))))
-    return F.when((n_words < SHORT_WORDS) & n.between(1, SHORT_CHARS), grams).otherwise(F.array().cast("array<bigint>"))
+def piece_hashes(text: Column) -> Column:
+    """Hashes of the pieces of a text, in order; empty for null."""
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECES), F.lit(0)), lambda x: F.xxhash64(x))
 
 
 def values(anchored: Column) -> Column:
@@ -84,9 +86,8 @@ def as_text(anchored: Column) -> Column:
 
 
 def with_anchors(df: DataFrame, text: str, name: str, k: int = K) -> DataFrame:
-    """``df`` with all anchors of a text and their positions; those over the pieces of a short text follow those over its words."""
-    hashed = df.withColumn("_w", word_hashes(F.col(text))).withColumn("_g", gram_hashes(F.col(text), F.size("_w")))
-    return hashed.withColumn(name, F.concat(anchors(F.col("_w"), k), anchors(F.col("_g"), k))).drop("_w", "_g")
+    """``df`` with all anchors of a text and their positions among its pieces."""
+    return df.withColumn("_w", piece_hashes(F.col(text))).withColumn(name, anchors(F.col("_w"), k)).drop("_w")
 
 
 def fingerprint(docs: DataFrame, k: int = K) -> DataFrame:
