@@ -31,7 +31,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of ``benchmark``."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), free_ends=True)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

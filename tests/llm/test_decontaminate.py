@@ -80,3 +80,44 @@ def test_empty(spark):
     docs, none = table(spark, [(1, "a b c d e f")]), spark.createDataFrame([], "item_id long, text string")
     assert contamination(docs, none).collect()[0]["contaminated"] is False
     assert contamination(docs.where("false"), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).collect() == []
+
+
+def least_edits(w, p):
+    """Fewest edits between ``p`` and any run of ``w``."""
+    row = [0] * (len(w) + 1)
+    for i, x in enumerate(p, 1):
+        previous, row = row, [i] + [0] * len(w)
+        for j, y in enumerate(w, 1):
+            row[j] = min(previous[j - 1] + (x != y), previous[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def test_free_ends_against_all_lengths(spark):
+    rows, items = corpus()
+    rows = [x for x in rows if x[0] != 907]  # 20,000 words
+    r = random.Random(8)
+    for n, (_, text) in enumerate(items):  # documents that are an item without some words, at its ends or scattered, alone and inside a text
+        p = text.split()
+        most = int(edits_allowed(len(p)))
+        gone = set(r.sample(range(len(p)), most))
+        scattered = [x for at, x in enumerate(p) if at not in gone]
+        for m, cut in enumerate((p[most:], p[: len(p) - most], scattered, [f"q{n}", *scattered, f"r{n}", "s", "t", "u"])):
+            rows.append((2_000 + 10 * n + m, " ".join(cut)))
+    got = {g["doc_id"]: g for g in contamination(table(spark, rows), spark.createDataFrame(items, "item_id long, text string"), free_ends=True).collect()}
+    wanted = {i: [k for k, p in items if len(tokens(p)) >= 5 and least_edits(tokens(t), tokens(p)) <= int(edits_allowed(len(tokens(p))))] for i, t in rows}
+    assert {i: g["items"] for i, g in got.items()} == {i: ",".join(map(str, sorted(w))) for i, w in wanted.items()}
+    assert all(got[2_000 + 10 * n + m]["contaminated"] for n, (_, t) in enumerate(items) for m in range(4) if len(t.split()) >= 5)
+
+
+def test_free_match():
+    r = random.Random(2)
+    for _ in range(300):
+        p, w = [r.randrange(4) for _ in range(r.randint(5, 9))], [r.randrange(4) for _ in range(r.randint(1, 25))]
+        best = least_edits(w, p)
+        found = decontaminate.free_match(p, w, len(p) - 1)
+        if found is None:
+            assert best == len(p)
+            continue
+        edits, start, n = found
+        assert edits == best and n > 0 and edit_distance(w[start : start + n], p, len(p)) == best
+        assert all(edit_distance(w[s : s + m], p, len(p)) > best for s in range(start) for m in range(1, len(w) - s + 1))

@@ -2,7 +2,7 @@
 
 Passages and document windows of an item's size are sequences of words. Random walks copy each into a longer sequence so that few
 edits make few differences; equal samples of the copies' symbols, repeated to a target recall, name the items that a
-window may hold; the word edit distance decides. Windows are embedded where they can match at all: an item cut into
+window may hold; the word edit distance decides, over passages of any size around the window where ends are free. Windows are embedded where they can match at all: an item cut into
 one piece more than the edits allowed leaves a piece whole in every match.
 """
 
@@ -85,6 +85,40 @@ def edit_distance(a, b, most: int) -> int:
     return min(row[len(b)], most + 1)
 
 
+def end_distances(pattern: list[int], text: list[int], anchored: bool = False) -> list[int]:
+    """Per position of ``text`` the fewest edits between ``pattern`` and a sequence that ends there.
+
+    The sequence may begin anywhere, or, if ``anchored``, where the text does. A column of distances is two integers with a
+    bit per symbol of the pattern.
+    """
+    full, top = (1 << len(pattern)) - 1, 1 << (len(pattern) - 1)
+    where: dict[int, int] = {}
+    for i, x in enumerate(pattern):
+        where[x] = where.get(x, 0) | 1 << i
+    more, less, distance, out = full, 0, len(pattern), []
+    for x in text:
+        same = where.get(x, 0)
+        vertical = same | less
+        flat = (((same & more) + more) ^ more) | same
+        up, down = less | ~(flat | more) & full, more & flat
+        distance += 1 if up & top else -1 if down & top else 0
+        up, down = (up << 1 | anchored) & full, down << 1 & full
+        more, less = down | ~(vertical | up) & full, up & vertical
+        out.append(distance)
+    return out
+
+
+def free_match(item: list[int], text: list[int], most: int) -> tuple[int, int, int] | None:
+    """(edits, start, words) of the best passage of any length: least edits, leftmost, nearest to the item's size."""
+    from_start = end_distances(item[::-1], text[::-1])[::-1]
+    edits = min(from_start, default=most + 1)
+    if edits > most:
+        return None
+    start = from_start.index(edits)
+    lengths = end_distances(item, text[start : start + len(item) + edits], anchored=True)
+    return edits, start, min((n for n, d in enumerate(lengths, 1) if d == edits), key=lambda n: abs(n - len(item)))
+
+
 @dataclass
 class Items:
     """A block of benchmark items, as executors hold it."""
@@ -140,8 +174,11 @@ def _spans(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return index, low[index] + inner
 
 
-def _windows(hashes: np.ndarray, first: np.ndarray, items: Items, most: float) -> np.ndarray:
-    """Distinct (start, words) of windows of an item's size around whole pieces of it."""
+def _windows(hashes: np.ndarray, first: np.ndarray, items: Items, most: float, free_ends: bool) -> np.ndarray:
+    """Distinct (start, words) of windows of an item's size around whole pieces of it.
+
+    With ``free_ends`` windows that reach beyond a text are moved into it, and a text of fewer words is a window.
+    """
     out = []
     for width, (known, item, offset) in items.whole.items():
         found = runs(hashes, width)
@@ -157,34 +194,63 @@ def _windows(hashes: np.ndarray, first: np.ndarray, items: Items, most: float) -
         reach = int(edits_allowed(items.lengths.max(), most))
         for shift in range(-reach, reach + 1):
             start = begin + shift
-            fits = (abs(shift) <= edits_allowed(length, most)) & (start >= low) & (start + length <= high)
+            fits = abs(shift) <= edits_allowed(length, most)
+            if free_ends:
+                start = np.maximum(np.minimum(start, high - length), low)
+            else:
+                fits &= (start >= low) & (start + length <= high)
             out.append(np.stack([start[fits], length[fits]], axis=1))
     return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
 
 
-def matches(hashes: np.ndarray, first: np.ndarray, items: Items, most: float = MOST_EDITS) -> list[tuple[int, int, int, int]]:
-    """(text, item, start, edits) of the best window of each item found in each text: least edits, then leftmost."""
-    windows = _windows(hashes, first, items, most)
-    best: dict[tuple[int, int], tuple[int, int]] = {}
+def matches(hashes: np.ndarray, first: np.ndarray, items: Items, most: float = MOST_EDITS, free_ends: bool = False) -> list[tuple[int, int, int, int, int]]:
+    """(text, item, start, words, edits) of the best passage of each item found in each text: least edits, then leftmost.
+
+    Passages are windows of an item's size, or, with ``free_ends``, of any size around such windows.
+    """
+    windows = _windows(hashes, first, items, most, free_ends)
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    around: dict[tuple[int, int], list[int]] = {}
     for low in range(0, len(windows), 4_096):
         start, length = windows[low : low + 4_096].T
         width = int(length.max())
+        texts = np.searchsorted(first, start, side="right") - 1
+        real = np.minimum(length, first[texts + 1] - start)  # a text may have fewer words than the item
         symbols = hashes[np.minimum(start[:, None] + np.arange(width), len(hashes) - 1)]
         pairs = set()
         for walk, (known, item) in enumerate(items.keys):
-            keys = sample_keys(embed(symbols, length, walk), length, walk, math.ceil(repetitions() / WALKS))
+            keys = sample_keys(embed(symbols, real, walk), length, walk, math.ceil(repetitions() / WALKS))
             index, entry = _spans(keys.ravel(), known)
             pairs.update(zip((index // keys.shape[1]).tolist(), item[entry].tolist(), strict=True))
         for w, i in sorted(pairs):
-            n = int(items.lengths[i])
-            if n == length[w]:
-                allowed = int(edits_allowed(n, most))
-                edits = edit_distance(hashes[start[w] : start[w] + n].tolist(), items.symbols[i, :n].tolist(), allowed)
-                if edits <= allowed:
-                    text = int(np.searchsorted(first, start[w], side="right")) - 1
-                    entry = (edits, int(start[w] - first[text]))
-                    best[text, i] = min(best.get((text, i), entry), entry)
-    return [(text, i, start, edits) for (text, i), (edits, start) in sorted(best.items())]
+            n, text = int(items.lengths[i]), int(texts[w])
+            if n != length[w]:
+                continue
+            allowed = int(edits_allowed(n, most))
+            if free_ends:
+                around.setdefault((text, i), []).append(int(start[w]))
+                continue
+            edits = edit_distance(hashes[start[w] : start[w] + n].tolist(), items.symbols[i, :n].tolist(), allowed)
+            if edits <= allowed:
+                entry = (edits, int(start[w] - first[text]), n)
+                best[text, i] = min(best.get((text, i), entry), entry)
+    for (text, i), starts in around.items():
+        n = int(items.lengths[i])
+        allowed = int(edits_allowed(n, most))
+        passage, end = items.symbols[i, :n].tolist(), -1
+        spans: list[list[int]] = []
+        for start in starts:  # ascending; windows widened by the edits allowed, joined where they touch
+            low, high = max(start - allowed, int(first[text])), min(start + n + allowed, int(first[text + 1]))
+            if low <= end:
+                spans[-1][1] = end = max(end, high)
+            else:
+                spans.append([low, high])
+                end = high
+        for low, high in spans:
+            if found := free_match(passage, hashes[low:high].tolist(), allowed):
+                entry = (found[0], low - int(first[text]) + found[1], found[2])
+                best[text, i] = min(best.get((text, i), entry), entry)
+    return [(text, i, start, n, edits) for (text, i), (edits, start, n) in sorted(best.items())]
 
 
 _NAMES = ("item_id", "start", "words", "edits")
@@ -204,10 +270,11 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
     yield from filter(None, [index_items(rows)] if rows else [])
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_passages(docs: DataFrame, benchmark: DataFrame, *, block_bytes: int = BLOCK_BYTES, free_ends: bool = False) -> DataFrame:
     """``docs`` with ``found``: the items in the text as (item_id, start, words, edits), start in words.
 
-    An item is found where as many consecutive words as it has differ from it by at most 20 % edits of words. Words are
+    An item is found where consecutive words differ from it by at most 20 % edits of words: with ``free_ends`` any number of words, else
+    as many as the item has, so that words deleted or inserted count twice and a text of fewer words holds nothing. Words are
     lower-cased runs of ASCII letters, digits and all other characters beyond ASCII. ``benchmark`` (item_id, text) is the stated query set;
     it is held in blocks of ``block_bytes`` of text, one pass over the batches for all of them. Null and empty texts
     hold nothing; items of fewer than five words, null items and null ids are ignored. ``docs`` needs ``text`` and must
@@ -225,30 +292,30 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, *, block_bytes: int = B
                 found = [[] for _ in range(piece.num_rows)]
                 for block in held:
                     items = block.value
-                    for text, i, start, edits in matches(hashes, first, items):
-                        found[text].append({"item_id": int(items.ids[i]), "start": start, "words": int(items.lengths[i]), "edits": edits})
+                    for text, i, start, n, edits in matches(hashes, first, items, free_ends=free_ends):
+                        found[text].append({"item_id": int(items.ids[i]), "start": start, "words": n, "edits": edits})
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(found, _ENTRY)], [*columns, "found"])
 
     return docs.mapInArrow(search, T.StructType([*docs.schema.fields, _FOUND]))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, free_ends: bool = False) -> DataFrame:
     """``doc_id, n_items, items, contaminated`` of every row of ``docs``; ``items`` is the ids found, ascending, joined by commas.
 
     ``docs`` needs ``doc_id, text``; other columns are ignored. See ``find_passages`` for what is found. Repeated rows are
     searched each; without rows the result is empty.
     """
-    found = find_passages(docs.select("doc_id", "text"), benchmark)
+    found = find_passages(docs.select("doc_id", "text"), benchmark, free_ends=free_ends)
     ids = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["item_id"])))
     return found.select("doc_id", F.size(ids).cast("long").alias("n_items"), F.array_join(ids, ",").alias("items"), (F.size(ids) > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, free_ends: bool = False) -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no benchmark passage."""
     rows, restore = shield(docs, ("text",))
-    return restore(find_passages(rows, benchmark).where(F.size("found") == 0))
+    return restore(find_passages(rows, benchmark, free_ends=free_ends).where(F.size("found") == 0))
 
 
 @query("op4_benchmark_passages")
 def op4(spark, sf_dir):
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), free_ends=True)
