@@ -89,3 +89,21 @@ def test_components_of_long_paths(spark):
     links = [(path[i], path[i + 1]) for i in range(199)] + [(path[200], path[i]) for i in range(201, 300)]
     got = {g["node"]: g["component"] for g in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert {got[p] for p in path[:200]} == {min(path[:200])} and {got[p] for p in path[200:]} == {min(path[200:])}
+
+
+def test_rows_without_ids_and_repeated_ids_are_documents_of_their_own(spark):
+    r = random.Random(14)
+    vocab = vocabulary(3_000)
+    texts = [sentence(r, vocab, 120) for _ in range(8)]
+    near = texts[0] + " and a little more"
+    rows = [(3, texts[0]), (None, near), (None, texts[1]), (None, texts[2]), (None, texts[2]), (None, texts[2] + " end"), (None, ""), (None, None)]
+    rows += [(7, texts[3]), (7, texts[4]), (7, texts[4]), (8, texts[4] + " end"), (9, texts[5]), (9, texts[5] + " end"), (9, texts[0] + " z")]
+    docs = table(spark, rows)
+    found = [tuple(g) for g in near_classes(docs).select("doc_id", "component_id", "kept").collect()]
+    assert len(found) == len(rows) and found.count((None, 3, False)) == 1
+    assert sum(f == (None, None, True) for f in found) == 4 and sum(f == (None, None, False) for f in found) == 2
+    assert found.count((3, 3, True)) == 1 and found.count((7, 7, True)) == 2 and found.count((7, 7, False)) == 1 and found.count((8, 7, False)) == 1
+    assert found.count((9, 9, True)) == 1 and found.count((9, 9, False)) == 1 and found.count((9, 3, False)) == 1
+    left = [(x["doc_id"], x["text"]) for x in drop_near_copies(docs).collect()]
+    assert len(left) == 8 and {(3, texts[0]), (None, texts[1]), (None, ""), (None, None), (7, texts[3]), (7, texts[4])} <= set(left)
+    assert sum((t or "").startswith(texts[2]) for _, t in left) == 1 and sum((t or "").startswith(texts[5]) for _, t in left) == 1

@@ -75,8 +75,9 @@ def _bound(n: Column, k: int, similarity: int) -> Column:
 
 
 def sketches(docs: DataFrame, shingle: int, k: int) -> DataFrame:
-    """``doc_id, n, s1, s2, sketch`` of every row: size and 128-bit hash of the set, its ``k`` least values."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """All columns but ``text``, and ``n, s1, s2, sketch`` of every row: size and 128-bit hash of the set, its ``k`` least values."""
+    own = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in own)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +90,9 @@ def sketches(docs: DataFrame, shingle: int, k: int) -> DataFrame:
                         s2.append(int(mix(found + np.uint64(2)).sum().view(np.int64)) if len(found) else 0)
                         least.append(found[:k].astype("<u8").tobytes())
                 columns = [pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(least, pa.binary())]
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], ["doc_id", "n", "s1", "s2", "sketch"])
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in own), *columns], [*own, "n", "s1", "s2", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, n bigint, s1 bigint, s2 bigint, sketch binary")
+    return docs.select(*own, "text").mapInArrow(encode, f"{kinds}, n bigint, s1 bigint, s2 bigint, sketch binary")
 
 
 def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
@@ -248,22 +249,23 @@ def across_components(stars: DataFrame, labels: DataFrame, sets: DataFrame, k: i
     return met.groupBy("anchor", "low", "high").applyInArrow(lambda t: _across(t, k, similarity), "a bigint, b bigint").distinct()
 
 
-def near_classes(docs: DataFrame, *, shingle: int = SHINGLE, similarity: int = SIMILARITY, k: int = K) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
+MISSING = 2**63 - 1  # place of rows without an id
 
-    ``docs`` needs ``doc_id`` (an integer) and ``text``; other columns are ignored. A-Z are lower-cased; words are runs of
-    anything but ASCII white space. Documents are linked if their sets' intersection is at least ``similarity`` per cent of
-    their union; ``component_id`` is the least id reachable. Rows without words, and null texts, have no set, are linked
-    with nothing and keep themselves. Rows of equal id are one document for links; a null id counts as the
-    greatest integer, and its row has a null ``component_id`` if nothing smaller is reached. Without rows the result is empty.
-    """
-    missing = 2**63 - 1
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(missing))
-    rows = docs.select(ids.alias("doc_id"), F.col("doc_id").alias("own"), "text")
+
+def _keys() -> tuple[Column, Column]:
+    """What a row is known by: ``place``, its id, and ``id``, a hash of id and text. Rows equal in both are told apart by a number."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING)).alias("place"), F.xxhash64("doc_id", "text").alias("id")
+
+
+def _near_rows(docs: DataFrame, shingle: int, similarity: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """``place, id, n, component, kept`` of every row of ``docs`` (``component``: the least place), and the table of sketches."""
+    rows = docs.select(*_keys(), "text")
     base = sketches(rows, shingle, k).withColumn("bound", _bound(F.col("n"), k, similarity))
-    base = stage(base.withColumnRenamed("doc_id", "id"), "near-sketches")
+    base = stage(base.withColumn("row", F.monotonically_increasing_id()), "near-sketches")
     filled = base.where("n > 0")
-    firsts = stage(filled.groupBy("s1", "s2", "n").agg(F.min("id").alias("id")), "near-classes")
+    # A class of equal sets stands for its rows; its first row is the one it keeps.
+    head = F.struct("place", "id", "row")
+    firsts = stage(filled.groupBy("s1", "s2", "n").agg(F.min(head).alias("head")).select("s1", "s2", "n", "head.*"), "near-classes")
 
     lists = stage(listed_values(filled, firsts, k), "near-lists")
     place = F.shiftleft(F.least("heat", F.lit(2**38)), 24) + F.shiftrightunsigned(F.xxhash64("id"), 40)
@@ -271,29 +273,54 @@ def near_classes(docs: DataFrame, *, shingle: int = SHINGLE, similarity: int = S
     stars = stage(lists.select("value", "id").join(stage(anchors, "near-anchors"), "value").select("anchor", "id").distinct(), "near-pairs")
     blocks = stars.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     stars = stage(stars.join(stage(blocks, "near-blocks"), "anchor"), "near-stars")
-    texts = rows.select(F.col("doc_id").alias("id"), "text")
-    sets = stage(full_sets(texts, stars.select("id").distinct(), shingle), "near-sets")
+    sets = stage(full_sets(rows.select("id", "text"), stars.select("id").distinct(), shingle), "near-sets")
+    if sets.count() > sets.select("id").distinct().count():  # equal rows
+        sets = stage(sets.dropDuplicates(["id"]), "near-sets")
     links = stage(star_links(stars, sets, k, similarity), "near-links")
     labels = components(links)
     more = stage(across_components(stars, labels, sets, k, similarity), "near-links")
-    labels = components(links.unionByName(more))
-
-    # Every row by its set: the class, then the component of the class.
-    found = firsts.join(labels.withColumnRenamed("node", "id"), "id", "left").select("s1", "s2", "n", F.coalesce("component", "id").alias("component"))
-    joined = base.select(F.col("id").alias("doc_id"), "n", "s1", "s2").join(stage(found, "near-found"), ["s1", "s2", "n"], "left")
-    component = F.coalesce("component", "doc_id")
-    return joined.select(
-        F.nullif("doc_id", F.lit(missing)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif(component, F.lit(missing)).alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"),
+    labels = components(links.unionByName(more)).select(F.col("node").alias("id"), F.col("component").alias("label"))
+
+    # Every row by its set: the class, then the first row of the component of the class.
+    heads = labels.join(firsts, "id").groupBy("label").agg(F.min(head).alias("head"))
+    heads = labels.join(stage(heads, "near-heads"), "label").select("id", "head")
+    found = firsts.join(heads, "id", "left").select("s1", "s2", "n", F.coalesce("head.place", "place").alias("component"), F.coalesce("head.row", "row").alias("first"))
+    joined = base.select("place", "id", "row", "n", "s1", "s2").join(stage(found, "near-found"), ["s1", "s2", "n"], "left")
+    kept = F.col("row") == F.coalesce("first", "row")
+    return joined.select("place", "id", "n", F.coalesce("component", "place").alias("component"), kept.alias("kept")), base
+
+
+def near_classes(docs: DataFrame, *, shingle: int = SHINGLE, similarity: int = SIMILARITY, k: int = K) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``.
+
+    ``docs`` needs ``doc_id`` (an integer) and ``text``; other columns are ignored. A-Z are lower-cased; words are runs of
+    anything but ASCII white space. Documents are linked if their sets' intersection is at least ``similarity`` per cent of
+    their union; ``component_id`` is the least id reachable. Rows without words, and null texts, have no set, are linked
+    with nothing and keep themselves. Every row is a document of its own, whatever its id; ``component_id`` is null
+    where no row with an id is reached. One row of each component is ``kept``, one of the least id. Without rows the result is empty.
+    """
+    found, _ = _near_rows(docs, shingle, similarity, k)
+    return found.select(
+        F.nullif("place", F.lit(MISSING)).alias("doc_id"), F.col("n").alias("n_shingles"), F.nullif("component", F.lit(MISSING)).alias("component_id"), "kept"
     )
 
 
-def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, with their columns, that stand for their class: its least id."""
+def drop_near_copies(docs: DataFrame, *, shingle: int = SHINGLE, similarity: int = SIMILARITY, k: int = K) -> DataFrame:
+    """The rows of ``docs``, with their columns, that stand for their component: one row of its least id each."""
     rows, restore = shield(docs, ("doc_id", "text"))
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("place")
-    kept = near_classes(rows.select("doc_id", "text"), **settings).where("kept").select(place).distinct()
-    return restore(rows.select("*", place).join(kept, "place", "left_semi"))
+    found, base = _near_rows(rows.select("doc_id", "text"), shingle, similarity, k)
+    kept = found.where("kept").select("place", "id").distinct()
+    rows = rows.select("*", *_keys())
+    equal = stage(base.where("n > 0").groupBy("place", "id").agg(F.count("*").alias("rows")).where("rows > 1").select("place", "id"), "near-equal")
+    if not equal.limit(1).count():
+        return restore(rows.join(kept, ["place", "id"], "left_semi"))
+    # Of rows equal in id and text one stays, chosen by the hash of the other columns.
+    kept = stage(kept, "near-kept")
+    alone = rows.join(kept.join(equal, ["place", "id"], "left_anti"), ["place", "id"], "left_semi")
+    several = rows.join(kept.join(equal, ["place", "id"], "left_semi"), ["place", "id"], "left_semi")
+    order = F.xxhash64(*(F.col(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()))
+    one = several.groupBy("place", "id").agg(F.min_by(F.struct(*rows.columns), order).alias("one")).select("one.*")
+    return restore(alone.select(*rows.columns).unionByName(one))
 
 
 @query("op5_near_classes")
