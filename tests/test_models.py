@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import agreement, clusters, hierarchy, hmm, latent
-from tidemark.operators.changepoints import _kernel, changepoints, find_breaks
+from tidemark.operators import changepoints as changepoints_module
+from tidemark.operators.changepoints import _kernel, bandwidth, changepoints, find_breaks
 from tidemark.operators.profiles import map_micro_to_macro
 from tidemark.operators.scaling import apply_scaler, standardize
 
@@ -283,6 +284,21 @@ def test_changepoints_of_long_series(spark):
         changepoints(df, KEYS, "seq", "x", 3.0, 501)
 
 
+def test_bandwidth_is_of_all_rows(spark):
+    """Every 24th of 12,288 rows, an evenly spaced sample, would be the same hour of the day."""
+    rng = np.random.default_rng(5)
+    hours = [(("a", i, [float(8 * (i % 24 >= 12) + rng.normal() * 0.1)])) for i in range(1_800)]
+    short = [("b", i, [float(v)]) for i, v in enumerate((0, 1, 5, 2))] + [("c", 0, [1.0])]
+    df = spark.createDataFrame(hours + short, "station string, _p long, _x array<double>")
+    top = df.groupBy("station").agg(F.max("_p").alias("_top"))
+    got = {r["station"]: r["_middle"] for r in changepoints_module.exact_bandwidths(df, KEYS, top).collect()}
+    assert got["a"] == pytest.approx(bandwidth(np.array([x for _, _, x in hours])), rel=1e-9)
+    assert got["b"] == bandwidth(np.array([[0.0], [1.0], [5.0], [2.0]])) and got["c"] == 0.0
+    alone = changepoints_module.exact_bandwidths(df.where("station = 'b'").drop("station"), [], top.where("station = 'b'").drop("station"))
+    assert alone.first()["_middle"] == got["b"]
+    assert got["a"] > 1 > bandwidth(np.array([x for _, _, x in hours[::24]]))
+
+
 def test_selection_silhouette_is_a_setting(spark):
     four = spark.createDataFrame([(i, i // 2, [float(10 * (i // 2) + i % 2)]) for i in range(4)], "id int, label int, v array<double>")
     exact, squared = (clusters.silhouette_for_selection(four, "id", "label", "v", kind) for kind in ("exact", "squared"))

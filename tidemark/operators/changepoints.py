@@ -6,22 +6,24 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.series import BLOCK, block_of
+from tidemark.session import stage
 
 OVERLAP_ROWS = 128
-BANDWIDTH_ROWS = 512  # evenly spaced rows that set the bandwidth of a series that is searched in segments
+TILE_ROWS = 512  # rows of a series that are compared with as many others at a time for its bandwidth
+DIGIT_BITS = 16  # a distance is found by so many of its bits at a time
 # Candidate breaks lie on multiples of this step and segments have at least this many rows.
 STEP, SHORTEST = 5, 2
 # Limits of the scaled squared distance inside the kernel.
 NEAREST, FARTHEST = 1e-2, 1e2
 
 
-def _distances(x: np.ndarray) -> np.ndarray:
-    norms = (x * x).sum(axis=1)
-    return np.maximum(norms[:, None] + norms[None] - 2 * x @ x.T, 0.0)
+def _distances(x: np.ndarray, y: np.ndarray | None = None) -> np.ndarray:
+    y = x if y is None else y
+    return np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None] - 2 * x @ y.T, 0.0)
 
 
 def bandwidth(x: np.ndarray) -> float:
@@ -75,6 +77,62 @@ def find_breaks(x: np.ndarray, penalty: float, middle: float | None = None) -> l
     return sorted(breaks)
 
 
+def _tiles(rows: DataFrame, keys: Sequence[str], top: DataFrame) -> DataFrame:
+    """``rows`` in tiles (_a, _b): every two blocks of ``TILE_ROWS`` rows of a series meet in one, a block meets itself."""
+    block = block_of(F.col("_p"), TILE_ROWS)
+    placed = (rows.join(top, list(keys)) if keys else rows.crossJoin(F.broadcast(top))).withColumn("_own", block)
+    others = F.explode(F.sequence(F.lit(0).cast("long"), block_of(F.col("_top"), TILE_ROWS))).alias("_other")
+    met = placed.select(*keys, "_p", "_x", "_own", others)
+    return met.select(*keys, "_p", "_x", F.least("_own", "_other").alias("_a"), F.greatest("_own", "_other").alias("_b"), (F.col("_own") > F.col("_other")).alias("_second"))
+
+
+def exact_bandwidths(rows: DataFrame, keys: Sequence[str], top: DataFrame) -> DataFrame:
+    """``keys, _middle``: the median squared distance of two rows of each series, over all its pairs.
+
+    Only counts leave the tiles. Distances of at least 0 are in the order of their bits, so the two middle ones are found by ``DIGIT_BITS``
+    bits at a time, from counts of the distances that agree in the bits before. A series of one row has 0.
+    """
+    kinds = "".join(f"`{k}` {rows.schema[k].dataType.simpleString()}, " for k in keys)
+    n = F.col("_top").cast("long") + 1
+    # _rank: how many of the distances with the bits found so far lie before the one wanted
+    ranks = ("((_top + 1) * _top div 2 - 1) div 2", "(_top + 1) * _top div 2 div 2")
+    both = F.explode(F.array(*(F.struct(F.lit(i).alias("which"), F.expr(r).alias("rank")) for i, r in enumerate(ranks))))
+    found = top.where(n > 1).select(*keys, both.alias("_w"))
+    found = found.select(*keys, F.col("_w.which").alias("_which"), F.col("_w.rank").cast("long").alias("_rank"), F.lit(0).cast("long").alias("_bits"))
+    tiles = _tiles(rows, keys, top)
+    digits = 1 << DIGIT_BITS
+    for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        above = found.groupBy(*keys).pivot("_which", [0, 1]).agg(F.first("_bits")).withColumnsRenamed({"0": "_low", "1": "_high"})
+
+        def count(pdf: pd.DataFrame) -> pd.DataFrame:
+            second = pdf["_second"].to_numpy()
+            ordered = [pdf[second == side].sort_values("_p") for side in (False, True)]
+            x, y = (np.stack(o["_x"].to_numpy()) if len(o) else None for o in ordered)
+            d = _distances(x)[np.triu_indices(len(x), 1)] if y is None else _distances(x, y).ravel()
+            bits = np.abs(d).view(np.int64) >> shift  # read while this pass is staged
+            out = []
+            for which, c in enumerate(("_low", "_high")):
+                mine = bits[bits >> DIGIT_BITS == int(pdf[c].iloc[0])]
+                digit, number = np.unique(mine & (digits - 1), return_counts=True)
+                out.append(pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "_which": which, "_digit": digit, "_n": number}, index=range(len(digit))))
+            return pd.concat(out)
+
+        with_bits = tiles.join(F.broadcast(above), list(keys)) if keys else tiles.crossJoin(F.broadcast(above))
+        counts = with_bits.groupBy(*keys, "_a", "_b").applyInPandas(count, f"{kinds}_which int, _digit long, _n long")
+        counts = counts.groupBy(*keys, "_which", "_digit").agg(F.sum("_n").alias("_n"))
+        up_to = Window.partitionBy(*keys, "_which").orderBy("_digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        counts = counts.withColumn("_sum", F.sum("_n").over(up_to)).join(found, [*keys, "_which"])
+        counts = counts.where((F.col("_sum") > F.col("_rank")) & (F.col("_sum") - F.col("_n") <= F.col("_rank")))
+        found = stage(counts.select(*keys, "_which", (F.col("_rank") - F.col("_sum") + F.col("_n")).alias("_rank"), (F.col("_bits") * digits + F.col("_digit")).alias("_bits")), "bandwidth")
+
+    def middle(pdf: pd.DataFrame) -> pd.DataFrame:
+        value = float(pdf["_bits"].to_numpy(np.int64).view(np.float64).mean())
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "_middle": [value]})
+
+    middles = found.groupBy(*keys).applyInPandas(middle, f"{kinds}_middle double")
+    return middles.unionByName(top.where(n == 1).select(*keys, F.lit(0.0).alias("_middle")))
+
+
 def changepoints(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,7 +150,7 @@ def changepoints(
     * ``segment_rows=None``: whole series, each in one task; the exact optimum.
     * ``segment_rows=n``: every ``n`` rows, a multiple of ``STEP``, with ``overlap`` rows of context (rounded up to a multiple of
       ``STEP``) on both sides; a segment reports the breaks in its own rows. Candidates lie on the same lattice of the series
-      as in a whole search, and all segments of a series share one bandwidth, the median over ``BANDWIDTH_ROWS`` evenly spaced rows.
+      as in a whole search, and all segments of a series share one bandwidth, the median over all pairs of its rows as in a whole search.
     """
     p = F.col(position)
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -114,15 +172,8 @@ def changepoints(
         raise ValueError(f"segment_rows must be a multiple of {STEP}")
     overlap = -(-overlap // STEP) * STEP
     last_position = F.max("_p").alias("_top")
-    top = rows.groupBy(*keys).agg(last_position) if keys else rows.agg(last_position)
-    # Evenly spaced rows of each series, at most BANDWIDTH_ROWS of them, set its bandwidth.
-    every = F.ceil((F.col("_top") + 1) / BANDWIDTH_ROWS)
-    sample = (rows.join(top, keys) if keys else rows.crossJoin(F.broadcast(top))).where(F.col("_p") % every == 0)
-
-    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "_middle": [bandwidth(np.stack(pdf["_x"].to_numpy()))]})
-
-    middles = sample.groupBy(*keys).applyInPandas(measure, f"{kinds + ', ' if kinds else ''}_middle double")
+    top = stage(rows.groupBy(*keys).agg(last_position) if keys else rows.agg(last_position), "tops")
+    middles = stage(exact_bandwidths(rows, keys, top), "bandwidths")
     first = block_of(F.greatest(F.col("_p") - overlap, F.lit(0)), segment_rows)
     last = block_of(F.col("_p") + overlap, segment_rows)
     copies = rows.withColumn(BLOCK, F.explode(F.sequence(first, last)))
