@@ -3,14 +3,17 @@
 from tidemark.llm import (  # noqa: F401
     decontaminate,
     fingerprints,
+    hard_negatives,
     line_dedup,
     mixing,
     near_dedup,
+    ranked_search,
     secret_scan,
     sharding,
     substring_dedup,
     token_counts,
     toxicity,
+    url_filter,
 )
 from tidemark.llm.common import CHECKS, QUERIES
 
