@@ -1,11 +1,12 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from samples import CLASHES
 
-from tidemark.llm.hard_negatives import bounds, hilbert_keys, mine_hard_negatives, products
+from tidemark.llm.hard_negatives import _choose, bounds, hilbert_keys, mine_hard_negatives, products
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -69,6 +70,21 @@ def test_bounds_hold_and_products_are_exact():
     assert products(huge, huge).tolist() == [[sum(int(x) * int(y) for x, y in zip(p, q, strict=True)) for q in huge] for p in huge]
 
 
+def test_zone_maps_leave_blocks_unread():
+    r = np.random.default_rng(4)
+    centres = 4_000 * np.eye(8, dtype=np.int64)
+    boxes = [(c - 50).astype("<i4").tobytes() for c in centres], [(c + 50).astype("<i4").tobytes() for c in centres]
+    zones = pd.DataFrame({"block": range(8), "low": boxes[0], "high": boxes[1], "label_low": range(8), "label_high": range(8), "id_low": 0})
+    anchors = (centres + r.integers(-50, 50, (8, 8))).astype("<i4")
+    own = int((anchors[0].astype(np.int64) ** 2).sum())
+    left = pd.DataFrame({"group": 0, "rid": [0], "label": [0], "vector": [anchors[0].tobytes()], "floors": [[own // 2]], "ceilings": [[2**63 - 1]], "lasts": [[0]]})
+    assert _choose(True, 0)(left, zones)["block"].tolist() == [0]
+    assert _choose(False, 0)(left, zones)["block"].tolist() == []
+    left["floors"] = [[-own]]
+    assert _choose(False, 0)(left, zones)["block"].tolist() == list(range(1, 8))
+    assert len(_choose(False, 3)(left, zones)) == 3
+
+
 def test_empty(spark):
     df = spark.createDataFrame(sample(30), SCHEMA)
     assert mine_hard_negatives(df.where("false")).collect() == []

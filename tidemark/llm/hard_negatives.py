@@ -237,28 +237,37 @@ def _choose(same: bool, seeds: int):
 
 
 def _score(same: bool, keep: int):
-    """For anchors of a group and a chunk of blocks: the best ``keep`` rows inside each of an anchor's windows."""
+    """For anchors of a group and a chunk of blocks: the best ``keep`` rows inside each of an anchor's windows.
+
+    A block with ``askers`` is scored for those anchors alone, and gives its own best; the others are scored together for all anchors.
+    """
+
+    def best(out, blocks: pd.DataFrame, anchors: pd.DataFrame) -> None:
+        ids, rids, labels = (np.frombuffer(b"".join(blocks[c]), np.int64) for c in ("ids", "rids", "labels"))
+        named = np.frombuffer(b"".join(blocks["named"]), bool)
+        m = np.frombuffer(b"".join(blocks["vectors"]), "<i4").reshape(len(ids), -1)
+        v = _matrix(anchors["vector"])
+        wants = list(zip(anchors["rid"], anchors["label"], anchors["kinds"], anchors["floors"], anchors["ceilings"], anchors["lasts"], strict=True))
+        for start in range(0, len(wants), 256):
+            score = products(v[start : start + 256], m)
+            for values, (rid, label, kinds, floors, ceilings, lasts) in zip(score, wants[start : start + 256], strict=True):
+                open_ = ((labels == label) & (rids != rid)) if same else labels != label
+                for kind, floor, ceiling, last in zip(kinds, floors, ceilings, lasts, strict=True):
+                    at = np.flatnonzero(open_ & (values <= ceiling) & ((values > floor) | ((values == floor) & (ids <= last))))
+                    if len(at) > 4 * keep:  # all that reach the score of the last one kept
+                        at = at[values[at] >= np.partition(values[at], len(at) - keep)[len(at) - keep]]
+                    at = at[np.lexsort((rids[at], ids[at], -values[at]))[:keep]]
+                    if len(at):
+                        out.append((np.full(len(at), rid), np.full(len(at), kind), values[at], ids[at], named[at], rids[at]))
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[np.ndarray, ...]] = []
         if len(left) and len(right):
-            ids, rids, labels = (np.frombuffer(b"".join(right[c]), np.int64) for c in ("ids", "rids", "labels"))
-            named = np.frombuffer(b"".join(right["named"]), bool)
-            m = np.frombuffer(b"".join(right["vectors"]), "<i4")
-            m = m.reshape(len(ids), -1)
-            v = _matrix(left["vector"])
-            wants = list(zip(left["rid"], left["label"], left["kinds"], left["floors"], left["ceilings"], left["lasts"], strict=True))
-            for start in range(0, len(left), 256):
-                score = products(v[start : start + 256], m)
-                for values, (rid, label, kinds, floors, ceilings, lasts) in zip(score, wants[start : start + 256], strict=True):
-                    open_ = ((labels == label) & (rids != rid)) if same else labels != label
-                    for kind, floor, ceiling, last in zip(kinds, floors, ceilings, lasts, strict=True):
-                        at = np.flatnonzero(open_ & (values <= ceiling) & ((values > floor) | ((values == floor) & (ids <= last))))
-                        if len(at) > 4 * keep:  # all that reach the score of the last one kept
-                            at = at[values[at] >= np.partition(values[at], len(at) - keep)[len(at) - keep]]
-                        at = at[np.lexsort((rids[at], ids[at], -values[at]))[:keep]]
-                        if len(at):
-                            out.append((np.full(len(at), rid), np.full(len(at), kind), values[at], ids[at], named[at], rids[at]))
+            some = right["askers"].notna()
+            for i in np.flatnonzero(some):
+                best(out, right.iloc[i : i + 1], left[left["rid"].isin(right["askers"].iloc[i])])
+            if not some.all():
+                best(out, right[~some], left)
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * 6
         return pd.DataFrame(dict(zip(("rid", "kind", "score", "id", "named", "other"), columns, strict=True)))
 
@@ -291,8 +300,8 @@ class Search:
         return df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
 
     def _read(self, wanted: DataFrame, pairs: DataFrame, same: bool, keep: int) -> DataFrame:
-        """The best rows of each window in the blocks of ``pairs`` (group, block)."""
-        held = self.blocks.join(pairs, "block").withColumn("chunk", F.pmod(F.xxhash64("block"), F.lit(self.chunks))).select("group", "chunk", "rids", "ids", "named", "labels", "vectors")
+        """The best rows of each window in the blocks of ``pairs`` (group, block, askers)."""
+        held = self.blocks.join(pairs, "block").withColumn("chunk", F.pmod(F.xxhash64("block"), F.lit(self.chunks))).select("group", "chunk", "rids", "ids", "named", "labels", "vectors", "askers")
         found = _cogroup(self._copies(wanted, "chunk", self.chunks), held, ["group", "chunk"], _score(same, keep), "rid bigint, kind int, score bigint, id bigint, named boolean, other bigint")
         return _first(found, keep, "rid", "kind")
 
@@ -305,7 +314,8 @@ class Search:
         near = _cogroup(dealt, zones, ["group", "segment"], _choose(same, self.seeds), pairs)
         if self.segments > 1:
             near = near.withColumn("rank", F.row_number().over(Window.partitionBy("rid").orderBy("gap", "block"))).where(F.col("rank") <= self.seeds)
-        seeded = stage(self._read(wanted, near.select("group", "block").distinct(), same, keep), "negatives-seeds")
+        near = near.groupBy("group", "block").agg(F.collect_set("rid").alias("askers"))  # at most a group of anchors
+        seeded = stage(self._read(wanted, near, same, keep), "negatives-seeds")
         # With ``keep`` rows found the last of them is the score to beat, and at that score its id.
         last = seeded.where(F.col("rank") == keep).groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("kind", F.struct("score", "id")))).alias("last"))
         wanted = wanted.join(last, "rid", "left")
@@ -315,7 +325,7 @@ class Search:
         }).drop("last")
         wanted = stage(wanted, "negatives-wanted")
         dealt = self._copies(wanted.drop("kinds"), "segment", self.segments)
-        reach = _cogroup(dealt, zones, ["group", "segment"], _choose(same, 0), pairs).select("group", "block").distinct()
+        reach = _cogroup(dealt, zones, ["group", "segment"], _choose(same, 0), pairs).select("group", "block", F.lit(None).cast("array<bigint>").alias("askers")).distinct()
         return stage(self._read(wanted, reach, same, keep), "negatives-found")
 
 
