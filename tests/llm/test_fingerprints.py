@@ -1,6 +1,8 @@
 import hashlib
 import random
+import struct
 
+import xxhash
 from pyspark.sql import functions as F
 from samples import awkward, sentence, table, vocabulary
 
@@ -101,3 +103,43 @@ def test_pieces_do_not_depend_on_the_text_around(spark):
     one, two = (g["fingerprint"] for g in fingerprint(table(spark, [(1, blob), (2, "xZ!q" + blob + "end")])).orderBy("doc_id").collect())
     a, b = ({v for _, v in unpacked(f)} for f in (one, two))
     assert len(a & b) >= len(a) - 3 and len(a) > 100
+
+
+def signed(n):
+    return n - 2**64 if n >= 2**63 else n
+
+
+def plain_pieces(text):
+    """Pieces by the rule itself, a character at a time."""
+    out, now = [], ""
+    for c in text:
+        if c in " \t\n\v\f\r":
+            out, now = [*out, now], ""
+            continue
+        now += c
+        if len(now) == 3 or ord(c) > 127 or c in "AEIOUYaeiouy0123456789":
+            out, now = [*out, now], ""
+    return [p for p in [*out, now] if p]
+
+
+def plain_fingerprint(text, k=4):
+    hashes = [signed(xxhash.xxh64(p.encode(), seed=42).intdigest()) for p in plain_pieces(text)]
+    found = []
+    for i in range(len(hashes) - k + 1):
+        run = hashes[i : i + k]
+        if min(run) in (run[0], run[-1]):
+            value = 42
+            for h in run:
+                value = xxhash.xxh64(struct.pack("<q", h), seed=value).intdigest()
+            found.append((i, f"{value >> 32:08x}"))
+    return found, len(hashes)
+
+
+def test_anchors_against_plain_python(spark):
+    r = random.Random(12)
+    signs = "bcdXYZaeiou09 \t\n,.-_/\x00\x7fé中ß\xa0 \U0001f600"
+    rows = [(i, "".join(r.choice(signs) for _ in range(r.randint(0, 120)))) for i in range(300)] + [(400, " ".join(vocabulary(400)))]
+    for f in fingerprint(table(spark, rows)).collect():
+        wanted, n = plain_fingerprint(dict(rows)[f["doc_id"]])
+        if n >= 4:
+            assert unpacked(f["fingerprint"]) == wanted

@@ -19,9 +19,11 @@ from tidemark.llm.common import query, table
 
 K = 4  # pieces of an anchor
 PIECE = 3  # characters of a piece at most
-ENDING = r"[AEIOUYaeiouy0-9]|[^\x00-\x7F]"  # a character that ends its piece
-WITHIN = r"[\x00-\x08\x0E-\x1F!-/:-@B-DF-HJ-NP-TV-XZ\[-`b-df-hj-np-tv-xz{-\x7F]"  # any other but ASCII white space
-PIECES = rf"{WITHIN}{{0,{PIECE - 1}}}(?:{ENDING})|{WITHIN}{{1,{PIECE}}}"
+ENDING = "AEIOUYaeiouy0123456789"  # ASCII characters that end their piece; all others beyond ASCII do too
+WHITE = "\t\n\v\f\r "  # ASCII white space
+# Classes that list their characters one by one, and repetitions that never go back, match many times faster than ranges.
+WITHIN = "[" + "".join(rf"\x{c:02X}" for c in range(128) if chr(c) not in ENDING + WHITE) + "]"
+PIECES = rf"{WITHIN}{{0,{PIECE - 1}}}+[^\x20\x09-\x0D]|{WITHIN}{{1,{PIECE - 1}}}+"
 CHUNK_ROWS = 500
 MOST_CHUNKS = 2**16  # borders of chunks are held by the plan
 STEP = 256
