@@ -65,3 +65,18 @@ def test_sketch_never_too_low(spark, monkeypatch):
     found = sketches.may_repeat(np.arange(4_000, dtype=np.uint64), merged, 20)
     counts = np.bincount(values, minlength=4_000)
     assert found[counts > 1].all() and found[counts == 1].mean() < 0.05 and found[counts == 0].mean() < 0.05
+
+
+def thue_morse(n):
+    """A word and its complement for which sums of byte values times powers of a base agree modulo 2**64."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_of_one_pattern_are_told_apart(spark):
+    one, other = thue_morse(4_096)
+    rest = " ".join(f"w{i}" for i in range(19))
+    got = {g["doc_id"]: g["n_removed"] for g in remove_repeats(table(spark, [(1, f"{rest} {one}"), (2, f"{rest} {other}"), (3, f"{rest} {one}")])).collect()}
+    assert got == {1: 0, 2: 0, 3: 20}

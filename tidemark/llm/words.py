@@ -1,8 +1,8 @@
 """Words of many texts at once, as numpy hashes.
 
-Inside a task an Arrow batch of texts is one run of UTF-8 bytes. White space marks the words, running sums of byte
-values give each word a 64-bit hash, and running sums of word hashes give one to each run of words, so the cost is a
-few array operations per byte.
+Inside a task an Arrow batch of texts is one run of UTF-8 bytes. White space marks the words. A word's 64-bit hash is made of its
+groups of eight bytes, each mixed with its place before they are summed, so that words of up to eight bytes never collide and
+longer ones only by chance, whatever their pattern. Running sums of word hashes give a hash to each run of words.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 PIECE = 4 << 20  # bytes of text handled at a time; a longer text is handled alone
-BLOCK = 1 << 20  # bytes hashed at a time
+BLOCK = 1 << 20  # powers made at a time
 _ONE = np.uint64(1)
 _SHIFTS = (np.uint64(30), np.uint64(27), np.uint64(31))
 _FACTORS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 GOLDEN = 0x9E3779B97F4A7C15
-WORD_BASE = 0xD6E8FEB86659FD93
 RUN_BASES = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 WHITE = np.zeros(256, bool)
@@ -40,9 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-with np.errstate(over="ignore"):
-    _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(GOLDEN))
-_LOWER_BYTES = _BYTES[LOWER]
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -79,46 +75,45 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE) -> I
         low = high
 
 
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of eight
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each offset on, as a number; zeros follow the last."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each range of bytes, none of them empty."""
+    eights, lengths = _eights(data), ends - starts
+    with np.errstate(over="ignore"):
+        sums = mix((eights[starts] & _KEEP[np.minimum(lengths, 8)]) + np.uint64(GOLDEN))
+        long = np.flatnonzero(lengths > 8)
+        if len(long):  # the groups after the first of all longer words, one after another
+            more = (lengths[long] - 1) // 8
+            begins = np.cumsum(more) - more
+            place = np.arange(more.sum()) - np.repeat(begins, more) + 1
+            at = np.repeat(starts[long], more) + 8 * place
+            left = np.minimum(np.repeat(ends[long], more) - at, 8)
+            groups = mix((eights[at] & _KEEP[left]) ^ mix(place.astype(np.uint64) * np.uint64(GOLDEN)))
+            sums[long] += np.add.reduceat(groups, begins)
+        return mix(sums + lengths.astype(np.uint64))
+
+
 def words(data: np.ndarray, offsets: np.ndarray, *, lower: bool = False, gaps: np.ndarray = WHITE) -> tuple[np.ndarray, ...]:
     """Words of texts: ``hashes, starts, ends`` (bytes) and ``first``, the index of each text's first word and, last, their number.
 
     Words end at bytes of ``gaps`` and where texts end. With ``lower``, A-Z count as a-z.
     """
-    values = _LOWER_BYTES if lower else _BYTES
-    inverse = _inverse(WORD_BASE)
-    hashes, starts, ends = [], [], []
-    low, n = 0, len(data)
-    while low < n:
-        high = min(low + BLOCK, n)
-        while high < n:  # go on to the end of a word
-            ahead = np.flatnonzero(gaps[data[high : high + 4096]])
-            if len(ahead):
-                high += int(ahead[0])
-                break
-            high = min(high + 4096, n)
-        high = min(high, int(offsets[np.searchsorted(offsets, low + BLOCK)]) if low + BLOCK <= offsets[-1] else n)
-        block = data[low:high]
-        inside = ~gaps[block]
-        cut = np.zeros(len(block) + 1, bool)  # a text starts here
-        border = offsets[np.searchsorted(offsets, low) : np.searchsorted(offsets, high)] - low
-        cut[border] = True
-        opens = inside.copy()
-        opens[1:] &= ~inside[:-1] | cut[1:-1]
-        closes = inside.copy()
-        closes[:-1] &= ~inside[1:] | cut[1:-1]
-        a, b = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-        with np.errstate(over="ignore"):
-            sums = np.empty(len(block) + 1, np.uint64)
-            sums[0] = 0
-            np.cumsum(values[block] * powers(WORD_BASE, len(block)), out=sums[1:])
-            hashes.append(mix((sums[b] - sums[a]) * powers(inverse, len(block))[a] + (b - a).astype(np.uint64)))
-        starts.append(a + low)
-        ends.append(b + low)
-        low = high
-    if not hashes:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
-    starts = np.concatenate(starts)
-    return np.concatenate(hashes), starts, np.concatenate(ends), np.searchsorted(starts, offsets)
+    inside = ~gaps[data]
+    cut = np.zeros(len(data) + 1, bool)  # a text starts or ends here
+    cut[offsets] = True
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1] | cut[1:-1]
+    closes[:-1] &= ~inside[1:] | cut[1:-1]
+    starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    return word_hashes(LOWER[data] if lower else data, starts, ends), starts, ends, np.searchsorted(starts, offsets)
 
 
 def runs(hashes: np.ndarray, length: int, lane: int = 0) -> np.ndarray:
