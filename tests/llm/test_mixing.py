@@ -65,3 +65,28 @@ def test_capped_and_empty(spark):
     assert mix_sources(docs.where("false"), cyclic_weights((5, 2, 1))).collect() == []
     blank = mix_sources(table(spark, [(1, "", None), (2, None, "x")]), cyclic_weights((5, 2, 1))).collect()
     assert [b["taken"] for b in blank] == [0, 0]
+
+
+def test_equal_rows_are_taken_in_part(spark):
+    rows = [(i, f"a{i} b c d e", "x") for i in range(500)] + [(7000, "v w x y z", "x")] * 500 + [(8000 + i, "k " * 10, "y") for i in range(500)] + [(9000, "m n", None)] * 300
+    docs = table(spark, rows).repartition(5)
+    got = mix_sources(docs, cyclic_weights((5, 2, 1))).collect()
+    for size, largest in ((5_000, 5), (5_000, 10), (600, 2)):
+        mine = [g for g in got if g["source_size"] == size and g["size"] == largest]
+        assert abs(sum(g["taken"] for g in mine) - mine[0]["target"]) <= largest / 2
+    repeats = {g["repeats"] for g in got if g["doc_id"] == 7000}
+    assert len(repeats) <= 2 and max(repeats) - min(repeats) <= 1
+    again = mix_sources(docs.repartition(3), cyclic_weights((5, 2, 1))).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    mixed = take_mix(docs, cyclic_weights((5, 2, 1))).groupBy("source").count().collect()
+    assert {m["source"]: m["count"] for m in mixed} == {s: sum(g["repeats"] for g in got if g["doc_id"] in ids) for s, ids in (("x", {*range(500), 7000}), ("y", {*range(8000, 8500)}), (None, {9000}))}
+
+
+def test_many_sources_fill_in_one_pass(spark):
+    r = random.Random(2)
+    sizes = {f"s{i:04}": r.choice([1, 2, 3, 50]) for i in range(900)}
+    docs = table(spark, [(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())])
+    got = mix_sources(docs, cyclic_weights((5, 2, 1))).collect()
+    target = brute_targets(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))}, 3.0)
+    assert all(g["target"] == pytest.approx(target[f"s{g['doc_id']:04}"]) for g in got)
+    assert sum(g["target"] for g in got) == pytest.approx(sum(sizes.values()))

@@ -55,6 +55,22 @@ def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
     return parts.withColumn(name, local).join(starts, "_part").withColumn(name, F.col(name) + F.col("_start")).drop("_part", "_start")
 
 
+def equal_numbers(rows: DataFrame, key: str) -> DataFrame:
+    """``rid, number``: from 0, the place of each row among those of equal ``key``, for keys that occur more than once.
+
+    ``rows`` is a written table with ``rid`` (``monotonically_increasing_id``), whose upper bits name a part of it. Rows are numbered by
+    key and part, and a part starts at the sum of those before it, so a frequent key is in no task whole.
+    """
+    dealt = rows.select(key, "rid", F.shiftright("rid", 33).alias("_part"))
+    by_key = Window.partitionBy(key)
+    parts = dealt.groupBy(key, "_part").agg(F.count("*").alias("_n")).withColumns({
+        "_all": F.sum("_n").over(by_key), "_start": F.coalesce(F.sum("_n").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    })
+    repeated = dealt.join(parts.where("_all > 1").select(key, "_part", "_start"), [key, "_part"])
+    local = F.row_number().over(Window.partitionBy(key, "_part").orderBy("rid")) - 1
+    return repeated.select("rid", (F.col("_start") + local).alias("number"))
+
+
 def cut_points(atoms: DataFrame, budgets: DataFrame, rows: int) -> DataFrame:
     """Where ordered sums reach their budgets.
 
