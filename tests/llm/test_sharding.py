@@ -60,3 +60,14 @@ def test_awkward_and_empty(spark):
 def test_quotas():
     share = granted({0: 90, 1: 100, 2: 10}, {(0, 1): 40, (1, 2): 30, (2, 1): 5}, 100)
     assert share[2] == 1.0 and 0 < share[1] <= 30 / 45 + 1e-9
+
+
+def test_equal_rows_keep_the_law(spark):
+    rows = [(i, f"{i} " + "t" * (20 + i % 30)) for i in range(1_000)] + [(None, "the same row again and again")] * 600 + [(7, "twice")] * 2
+    got = shard_documents(table(spark, rows).repartition(6)).collect()
+    loads = {}
+    for g in got:
+        loads[g["shard"]] = loads.get(g["shard"], 0) + g["size"]
+    assert len(got) == len(rows) and max(abs(b - sum(loads.values()) / 16) for b in loads.values()) <= 52
+    hot = {g["shard"] for g in got if g["doc_id"] is None}
+    assert len(hot) <= 10  # about five shards of bytes

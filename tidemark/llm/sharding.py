@@ -14,7 +14,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_points, query, table
+from tidemark.llm.common import cut_points, equal_numbers, query, table
 from tidemark.session import stage
 
 SHARDS = 16
@@ -35,7 +35,10 @@ def _rows(docs: DataFrame, seed: int) -> DataFrame:
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("hub"), F.monotonically_increasing_id().alias("rid"),
     )
-    return rows.withColumn("place", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("hub")))
+    rows = stage(rows.withColumn("place", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("hub"))), "shard-places")
+    # Rows equal in id and text get places of their own.
+    placed = rows.join(equal_numbers(rows, "place"), "rid", "left")
+    return placed.withColumn("place", F.when(F.col("number") > 0, F.xxhash64("place", "number")).otherwise(F.col("place"))).drop("number")
 
 
 def equal_texts(rows: DataFrame) -> DataFrame:
@@ -102,10 +105,10 @@ def _bits(hashed: Column, n: int) -> Column:
 
 def _beyond(atoms: DataFrame, budgets: list[float], n: int, key: Column) -> Column:
     """How many of the ``budgets``, sums of sizes in order of ``u``, a key lies beyond."""
-    rows = [(0, t, float(b)) for t, b in enumerate(budgets)]
-    if not rows:
+    if not budgets:
         return F.lit(0)
-    asked = atoms.sparkSession.createDataFrame(rows, "g int, t int, budget double")
+    budget = F.get(F.array(*(F.lit(float(b)) for b in budgets)), F.col("id").cast("int"))
+    asked = atoms.sparkSession.range(len(budgets)).select(F.lit(0).alias("g"), F.col("id").cast("int").alias("t"), budget.alias("budget"))
     shard = F.lit(0)
     for row in cut_points(atoms.select(F.lit(0).alias("g"), "u", "size"), asked, n).collect():  # a row per border
         shard = shard + (F.lit(1) if row["cut"] is None else F.when(key > row["cut"], 1).otherwise(0))
@@ -118,8 +121,8 @@ def shard_documents(docs: DataFrame, links: DataFrame | None = None, *, shards:
     ``docs`` needs ``doc_id, text``; other columns are ignored. ``links`` (doc_id, hub) names link groups; without it equal texts
     are linked. Size is UTF-8 bytes plus 1; a null text counts as empty. The law is ``bytes``: shards differ by at most about
     the size of one document. ``slot`` numbers the rows of a shard from 0. ``linked_shard`` is where propagation put a
-    linked document, null without links; ``shard`` differs from it only at the borders that make sizes even. Rows that are equal in
-    id and text may share a border. A group larger than a shard is split over as few shards as quotas allow. Without
+    linked document, null without links; ``shard`` differs from it only at the borders that make sizes even. Rows equal in id and text
+    are rows of their own, linked like other equal texts. A group larger than a shard is split over as few shards as quotas allow. Without
     rows the result is empty.
     """
     if not 1 <= shards <= MOST_SHARDS:
