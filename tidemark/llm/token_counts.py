@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, table
+from tidemark.session import stage
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that splits text before the merges of the vocabulary.
@@ -50,8 +51,8 @@ def encoded_lengths(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
 
 
 def length_histogram(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """``n_tokens, docs``: how many rows encode to each length."""
-    return encoded_lengths(docs, path).groupBy("n_tokens").agg(F.count("*").alias("docs"))
+    """``n_tokens, docs``: how many rows encode to each length; written once, so that no report encodes texts again."""
+    return stage(encoded_lengths(docs, path).groupBy("n_tokens").agg(F.count("*").alias("docs")), "length-histogram")
 
 
 def context_report(histogram: DataFrame) -> DataFrame:
