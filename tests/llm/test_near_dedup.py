@@ -107,3 +107,11 @@ def test_rows_without_ids_and_repeated_ids_are_documents_of_their_own(spark):
     left = [(x["doc_id"], x["text"]) for x in drop_near_copies(docs).collect()]
     assert len(left) == 8 and {(3, texts[0]), (None, texts[1]), (None, ""), (None, None), (7, texts[3]), (7, texts[4])} <= set(left)
     assert sum((t or "").startswith(texts[2]) for _, t in left) == 1 and sum((t or "").startswith(texts[5]) for _, t in left) == 1
+
+
+def test_words_of_one_pattern_are_told_apart(spark):
+    one = "a"
+    while len(one) < 4_096:
+        one += one.translate(str.maketrans("ab", "ba"))
+    got = near_classes(table(spark, [(1, one), (2, one.translate(str.maketrans("ab", "ba"))), (3, one.upper())]), shingle=3, similarity=85).collect()
+    assert {g["doc_id"]: g["component_id"] for g in got} == {1: 1, 2: 2, 3: 1}

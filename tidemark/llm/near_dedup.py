@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import query, shield, table
 from tidemark.llm.components import components
-from tidemark.llm.sketches import cell_bits, may_repeat, sketch_members, sketch_repeats
+from tidemark.llm.sketches import cell_bits, may_repeat, pack, sketch_members, sketch_repeats, unpack
 from tidemark.llm.words import mix, pieces, run_starts, runs, text_bytes, words
 from tidemark.session import stage
 
@@ -159,6 +159,15 @@ def _may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, k: int, similari
     return common >= s * size - DEVIATIONS * math.sqrt(size * s * (1 - s))
 
 
+def pack_set(values: np.ndarray) -> bytes:
+    """Ascending values as steps, whose upper bytes are small in large sets."""
+    return pack(np.diff(values, prepend=np.uint64(0)).astype("<u8"))
+
+
+def unpack_set(packed: bytes) -> np.ndarray:
+    return np.cumsum(unpack(packed, "<u8"), dtype=np.uint64)
+
+
 def full_sets(texts: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """``id, full``: the sets of all texts whose id may be among ``ids``; ``texts`` (id, text) stay where they are."""
     n = ids.count()
@@ -169,7 +178,7 @@ def full_sets(texts: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             wanted = may_repeat(batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64), known.value, bits)
             for piece in pieces(batch.filter(pa.array(wanted))):
-                packed = pa.array([s.astype("<u8").tobytes() for s in shingle_sets(piece, shingle)], pa.binary())
+                packed = pa.array([pack_set(s) for s in shingle_sets(piece, shingle)], pa.binary())
                 yield pa.RecordBatch.from_arrays([piece.column("id"), packed], ["id", "full"])
 
     return texts.mapInArrow(encode, "id bigint, full binary")
@@ -192,7 +201,7 @@ def _pairs(found: list[tuple[int, int]]) -> pa.Table:
 
 def _from_anchor(group: pa.Table, k: int, similarity: int) -> pa.Table:
     """Links between the anchor of a list and a block of its members."""
-    ids, sets = group.column("id").to_pylist(), [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("full")]
+    ids, sets = group.column("id").to_pylist(), [unpack_set(x) for x in group.column("full").to_pylist()]
     anchor = group.column("anchor")[0].as_py()
     if anchor not in ids:
         return _pairs([])
@@ -211,7 +220,7 @@ def star_links(stars: DataFrame, sets: DataFrame, k: int, similarity: int) -> Da
 def _across(group: pa.Table, k: int, similarity: int) -> pa.Table:
     """Links between documents of different components of a block, or of two blocks."""
     ids, comps = (group.column(c).to_numpy() for c in ("id", "component"))
-    sets = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("full")]
+    sets = [unpack_set(x) for x in group.column("full").to_pylist()]
     sizes = np.array([len(s) for s in sets])
     side, same = group.column("side").to_numpy(), group.column("same")[0].as_py()
     known, column = np.unique(np.concatenate([s[:k] for s in sets]), return_inverse=True)
