@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import agreement, clusters, hierarchy, hmm, latent
 from tidemark.operators import changepoints as changepoints_module
-from tidemark.operators.changepoints import _kernel, bandwidth, changepoints, find_breaks
+from tidemark.operators.changepoints import _kernel, bandwidth, changepoints, find_breaks, landmark_changepoints
 from tidemark.operators.profiles import map_micro_to_macro
 from tidemark.operators.scaling import apply_scaler, standardize
+from tidemark.params import Models
 
 KEYS = ["station"]
 
@@ -284,6 +285,61 @@ def test_changepoints_of_long_series(spark):
         changepoints(df, KEYS, "seq", "x", 3.0, 501)
 
 
+@pytest.mark.parametrize("settings", [{}, {"block_rows": 20, "run_blocks": 1}, {"block_rows": 35, "run_blocks": 3}])
+def test_landmark_changepoints_equal_the_whole_search(spark, settings):
+    """With a landmark for every row the features are the kernel itself, whatever the blocks."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for s, n in (("a", 160), ("b", 91), ("c", 1), ("d", 3), ("e", 57), ("f", 40)):
+        rows += [(s, i, (rng.normal(size=2) + 6 * ((i // 23) % 2)).tolist()) for i in range(n)]
+    df = spark.createDataFrame(rows, "station string, seq long, x array<double>").repartition(5)
+    for penalty in (1.0, 3.0):
+        wanted = {(r.station, r.boundary) for r in changepoints(df, KEYS, "seq", "x", penalty).collect()}
+        got = [(r.station, r.boundary) for r in landmark_changepoints(df, KEYS, "seq", "x", penalty, landmarks=200, **settings).collect()]
+        assert set(got) == wanted and len(got) == len(wanted) > 5
+    one = df.where("station = 'a'").drop("station")
+    assert {r.boundary for r in landmark_changepoints(one, [], "seq", "x", 3.0, landmarks=200, **settings).collect()} == {b for s, b in wanted if s == "a"}
+
+
+def test_landmark_changepoints_of_long_series(spark):
+    """Few landmarks, rare regimes, a long stretch without any break and many runs of blocks."""
+    cuts = [4_000, 4_030, 30_000, 30_500, 50_000]
+    i = F.col("id")
+    level = sum((F.when(i >= c, F.lit((-1.0) ** n)).otherwise(0.0) for n, c in enumerate(cuts)), F.lit(0.0))
+    df = spark.range(60_000).select(i.alias("seq"), F.array(6 * level + F.randn(3) * 0.5, F.randn(4) * 0.5).alias("x"))
+    for settings in ({}, {"block_rows": 5_000, "run_blocks": 2, "bandwidth": 4.0}):
+        got = sorted(r.boundary for r in landmark_changepoints(df, [], "seq", "x", **settings).collect())
+        assert got == cuts
+    assert landmark_changepoints(df.where("false"), [], "seq", "x").collect() == []
+    with pytest.raises(ValueError):
+        landmark_changepoints(df, [], "seq", "x", block_rows=12)
+
+
+def test_a_given_bandwidth_compares_no_pairs(spark, monkeypatch):
+    rows = [("a", i, [float(i >= 50)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "station string, seq long, x array<double>")
+    monkeypatch.setattr(changepoints_module, "exact_bandwidths", None)
+    assert [r.boundary for r in changepoints(df, KEYS, "seq", "x", 3.0, 40, bandwidth=0.5).collect()] == [50]
+
+
+def test_sampled_silhouette(spark):
+    rng = np.random.default_rng(1)
+    labels = rng.choice(4, 3_000, p=[0.6, 0.3, 0.08, 0.02])
+    points = rng.normal(size=(3_000, 3)) + 3 * rng.normal(size=(4, 3))[labels]
+    df = spark.createDataFrame([(i, int(c), x.tolist()) for i, (c, x) in enumerate(zip(labels, points))], "id long, label int, v array<double>")
+    true = plain_silhouette(points, labels)
+    whole = agreement.silhouette_sampled(df, "id", "label", "v", 5_000).first()
+    assert whole.silhouette_sampled == pytest.approx(true) and whole.standard_error == 0 and whole.judged == 3_000
+    part = agreement.silhouette_sampled(df.repartition(7), "id", "label", "v", 400).first()
+    assert 400 <= part.judged <= 500 and 0 < part.standard_error < 0.02 and abs(part.silhouette_sampled - true) < 4 * part.standard_error
+    alone = agreement.silhouette_sampled(df.where("label = 0"), "id", "label", "v").first()
+    assert alone.silhouette_sampled == -1.0 and agreement.silhouette_sampled(df.where("false"), "id", "label", "v").first()[0] == -1.0
+
+
+def test_models_compare_no_pairs_by_default():
+    assert Models().silhouette != "exact" and Models().changepoint_search == "landmarks"
+
+
 def test_bandwidth_is_of_all_rows(spark):
     """Every 24th of 12,288 rows, an evenly spaced sample, would be the same hour of the day."""
     rng = np.random.default_rng(5)

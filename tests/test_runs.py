@@ -50,7 +50,7 @@ def test_discovery_stores_models_that_score(spark, tmp_path):
     assert windows > 30 and result.labelled.count() == windows
     assert result.quality.count() == 4 and result.quality_flags.first().window_count == windows
     found = {(m, k) for m, k, _ in result.metrics}
-    assert {("kmeans", "silhouette_post"), ("hmm", "bic"), ("gmm", "aic"), ("changepoint", "n_breaks")} <= found
+    assert {("kmeans", "silhouette_sampled_post"), ("hmm", "bic"), ("gmm", "aic"), ("changepoint", "n_breaks_landmarks")} <= found
     assert {"changepoints", "pca_projection", "reconstruction_error", "macro_profiles", "changepoint_alignment_hmm"} <= set(result.diagnostics)
     calm = result.labelled.where(F.hour("end_time") < 24).select("regime_kmeans").distinct().count()
     assert calm == 2

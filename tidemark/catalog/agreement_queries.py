@@ -79,6 +79,13 @@ def silhouette_query(spark, sf_dir):
     return agreement.silhouette_exact(points(spark, sf_dir), "vec_id", "label", "embedding", 128)
 
 
+@query("silhouette_sampled", chain(POINTS, "exact AS (" + silhouette_sql("list_distance(p.x, q.x)", "silhouette_sampled").removeprefix(chain(POINTS)) + ")")
+       + "SELECT silhouette_sampled, 0.0 AS standard_error, (SELECT count(*) FROM points) AS judged FROM exact")
+def silhouette_sampled_query(spark, sf_dir):
+    """Tables of at most 2,000 points have all of them judged."""
+    return agreement.silhouette_sampled(points(spark, sf_dir), "vec_id", "label", "embedding")
+
+
 @query("silhouette_fast", silhouette_sql("list_distance(p.x, q.x) * list_distance(p.x, q.x)", "silhouette_squared"))
 def silhouette_fast_query(spark, sf_dir):
     value = agreement.silhouette_fast(points(spark, sf_dir), "label", "embedding")

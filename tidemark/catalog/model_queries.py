@@ -15,7 +15,7 @@ from tidemark.catalog.window_queries import REGIME_FEATURES_SQL, regime_features
 from tidemark.functions.times import to_micros
 from tidemark.operators import clusters, hierarchy, hmm, latent
 from tidemark.operators.agreement import centroids
-from tidemark.operators.changepoints import changepoints
+from tidemark.operators.changepoints import changepoints, landmark_changepoints
 from tidemark.operators.labels import label_positions
 from tidemark.operators.scaling import feature_array, scaler_params, standardize
 from tidemark.operators.windows import META
@@ -264,13 +264,25 @@ def decode_query(spark, sf_dir):
     return hmm.hmm_decode(rows, STATION, "seq", "x", fixed_model(), block_rows=100).select("station", "hour", "state")
 
 
-@query("changepoints", chain(VALUES) + """SELECT station, seq AS boundary FROM (
+PLANTED_BREAKS = chain(VALUES) + """SELECT station, seq AS boundary FROM (
   SELECT station, row_number() OVER (PARTITION BY station ORDER BY hour) - 1 AS seq, count(*) OVER (PARTITION BY station) AS n FROM vals)
-WHERE seq % 20 = 0 AND seq > 0 AND n - seq >= 2""")
-def changepoints_query(spark, sf_dir):
+WHERE seq % 20 = 0 AND seq > 0 AND n - seq >= 2"""
+
+
+def planted_levels(spark, sf_dir):
+    """Hourly values that change their level every 20 rows."""
     level = F.when(F.floor(F.col("seq") / 20) % 2 == 1, FAR).otherwise(0.0)
-    rows = cut_lineage(hourly_values(spark, sf_dir).withColumn("x", F.transform("x", lambda v: v + level)))
-    return changepoints(rows, STATION, "seq", "x", penalty=2.0, segment_rows=250, overlap=30)
+    return cut_lineage(hourly_values(spark, sf_dir).withColumn("x", F.transform("x", lambda v: v + level)))
+
+
+@query("changepoints", PLANTED_BREAKS)
+def changepoints_query(spark, sf_dir):
+    return changepoints(planted_levels(spark, sf_dir), STATION, "seq", "x", penalty=2.0, segment_rows=250, overlap=30)
+
+
+@query("changepoints_landmarks", PLANTED_BREAKS)
+def changepoints_landmarks_query(spark, sf_dir):
+    return landmark_changepoints(planted_levels(spark, sf_dir), STATION, "seq", "x", penalty=2.0, block_rows=100, run_blocks=2)
 
 
 # ---- sinks, stored models, streams ----------------------------------------------------------

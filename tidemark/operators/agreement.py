@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TILE_POINTS = 512
+JUDGED = 2_000  # points that a sampled silhouette judges
+LEAST_JUDGED = 50  # of them in each cluster
+SALTS = 16
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -113,6 +118,67 @@ def silhouette_fast(df: DataFrame, label: str, vector: str) -> float:
     return float(ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(rows))
 
 
+def silhouette_sampled(df: DataFrame, point: str, label: str, vector: str, judged: int = JUDGED) -> DataFrame:
+    """One row ``silhouette_sampled, standard_error, judged``: the Euclidean silhouette from judged points, in linear work.
+
+    Every cluster has its share of ``judged`` points, at least ``LEAST_JUDGED`` or all it has, chosen by a hash of ``point``. They, a bounded number,
+    are sent to all tasks and compared with all rows, so each judged point has its exact silhouette; the mean weighs clusters by
+    their sizes, and the standard error comes from the spread inside clusters (0 where all points are judged). Rows with a null label or
+    vector are ignored. -1 with fewer than two labels.
+    """
+    rows = df.select(F.col(point).alias("point"), F.col(label).cast("int").alias("label"), F.col(vector).cast("array<double>").alias("v")).dropna()
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row per cluster
+    spark = df.sparkSession
+    if len(sizes) < 2:
+        return spark.range(1).select(F.lit(-1.0).alias("silhouette_sampled"), F.lit(0.0).alias("standard_error"), F.lit(0).cast("long").alias("judged"))
+    clusters = sorted(sizes)
+    total = sum(sizes.values())
+    quota = {c: min(n, max(LEAST_JUDGED, math.ceil(judged * n / total))) for c, n in sizes.items()}
+    limit = F.element_at(F.create_map(*(F.lit(x) for c in clusters for x in (c, quota[c]))), F.col("label"))
+    chosen = rows
+    for salt in (F.pmod(F.xxhash64(F.lit(1), "point"), F.lit(SALTS)), F.lit(0)):
+        by = Window.partitionBy("label", salt).orderBy(F.xxhash64("point"), "point")
+        chosen = chosen.withColumn("place", F.row_number().over(by)).where(F.col("place") <= limit)
+    sample = chosen.select("label", "v").collect()  # at most ``judged`` and LEAST_JUDGED + 1 a cluster
+    marks = np.array([r["v"] for r in sample])
+    own = np.searchsorted(clusters, [r["label"] for r in sample])
+    sent = spark.sparkContext.broadcast(marks)
+
+    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of a task: summed distances from each judged point to each cluster, as one row."""
+        marks, sums = sent.value, np.zeros((len(sent.value), len(clusters)))
+        for batch in batches:
+            theirs = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            member = np.searchsorted(clusters, batch.column("label").to_numpy(zero_copy_only=False))
+            for start in range(0, len(theirs), 512):
+                block, into = theirs[start : start + 512], member[start : start + 512]
+                onehot = np.zeros((len(block), len(clusters)))
+                onehot[np.arange(len(block)), into] = 1.0
+                for low in range(0, len(marks), 512):
+                    apart = np.sqrt(((marks[low : low + 512, None] - block[None]) ** 2).sum(axis=2))
+                    sums[low : low + 512] += apart @ onehot
+        i, c = np.meshgrid(np.arange(len(marks)), np.arange(len(clusters)), indexing="ij")
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(c.ravel()), pa.array(sums.ravel())], ["i", "c", "total"])
+
+    summed = rows.select("label", "v").mapInArrow(distances, "i bigint, c bigint, total double").groupBy("i", "c").agg(F.sum("total").alias("total")).collect()
+    sums = np.zeros((len(marks), len(clusters)))
+    for r in summed:
+        sums[r["i"], r["c"]] = r["total"]
+    n = np.array([sizes[c] for c in clusters], float)
+    at = np.arange(len(marks))
+    inside = sums[at, own] / np.maximum(n[own] - 1, 1)
+    others = sums / n
+    others[at, own] = np.inf
+    apart = others.min(axis=1)
+    widest = np.maximum(inside, apart)
+    score = np.where((n[own] == 1) | (widest == 0), 0.0, (apart - inside) / np.where(widest == 0, 1.0, widest))
+    share = n / n.sum()
+    of = [score[own == c] for c in range(len(clusters))]
+    mean = sum(w * x.mean() for w, x in zip(share, of, strict=True))
+    error = math.sqrt(sum(w * w * (x.var(ddof=1) if len(x) > 1 else 0.0) / len(x) * (1 - len(x) / m) for w, x, m in zip(share, of, n, strict=True)))
+    return spark.range(1).select(F.lit(float(mean)).alias("silhouette_sampled"), F.lit(error).alias("standard_error"), F.lit(len(marks)).cast("long").alias("judged"))
+
+
 def davies_bouldin(df: DataFrame, label: str, vector: str) -> DataFrame:
     """One row ``davies_bouldin``; infinite with fewer than two labels."""
     centers = centroids(df, label, vector)

@@ -13,11 +13,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.agreement import silhouette_exact, silhouette_fast
+from tidemark.operators.agreement import silhouette_exact, silhouette_fast, silhouette_sampled
 
-# The two silhouettes of a selection and how their metrics are named. They are different numbers: the exact one
-# compares every two points, the squared one needs work in proportion to the rows.
-SILHOUETTE_NAMES = {"exact": "silhouette", "squared": "silhouette_squared"}
+# The silhouettes of a selection and how their metrics are named. They are different numbers: the exact one
+# compares every two points, the sampled one judged points with all, the squared one needs work in proportion to the rows.
+SILHOUETTE_NAMES = {"exact": "silhouette", "squared": "silhouette_squared", "sampled": "silhouette_sampled"}
 
 
 @dataclass
@@ -74,12 +74,14 @@ def kmeans_fit(
     return ClusterFit(_labelled(best, _vectors(df, vector), name), k, best, float(best.summary.trainingCost))
 
 
-def silhouette_for_selection(df: DataFrame, point: str, label: str, vector: str, kind: str = "exact") -> float:
+def silhouette_for_selection(df: DataFrame, point: str, label: str, vector: str, kind: str = "sampled") -> float:
     """The silhouette that the caller asks for, whatever the number of rows."""
     if kind not in SILHOUETTE_NAMES:
         raise ValueError(f"silhouette must be one of {sorted(SILHOUETTE_NAMES)}")
     if kind == "squared":
         return silhouette_fast(df, label, vector)
+    if kind == "sampled":
+        return float(silhouette_sampled(df, point, label, vector).first()["silhouette_sampled"])
     return float(silhouette_exact(df, point, label, vector).first()["silhouette"])
 
 
@@ -91,7 +93,7 @@ def kmeans_select_k(
     seed: int = 42,
     restarts: int = 20,
     name: str = "regime",
-    silhouette: str = "exact",
+    silhouette: str = "sampled",
 ) -> ClusterFit:
     """The candidate with the largest silhouette, the smallest k on ties. ``point`` identifies rows."""
     return _select(df, point, vector, candidate_states(candidates), seed, restarts, name, silhouette)
@@ -105,7 +107,7 @@ def embedding_select_k(
     seed: int = 42,
     restarts: int = 20,
     name: str = "regime",
-    silhouette: str = "exact",
+    silhouette: str = "sampled",
 ) -> ClusterFit | None:
     """As ``kmeans_select_k`` on an embedding, trying candidates in the order given.
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 SILHOUETTES = {
     "exact": ("silhouette_post", "silhouette", "silhouette_embed"),
     "squared": ("silhouette_squared_post", "silhouette_squared", "silhouette_squared_embed"),
+    "sampled": ("silhouette_sampled_post", "silhouette_sampled", "silhouette_sampled_embed"),
 }
 COMPARED = ("silhouette", "bic", "avg_duration", "transition_entropy")
 COMPARATIVE_SCHEMA = T.StructType(

@@ -49,8 +49,10 @@ class Models:
     latent_dim: int = 32
     boundary_tolerance: int = 2
     changepoint_penalty: float = 8.0
-    changepoint_segment: int | None = None  # rows searched together; None: whole series
-    silhouette: str = "exact"  # or "squared", which compares no pairs of windows
+    changepoint_search: str = "landmarks"  # or "pairs", which compares every two rows that are searched together
+    changepoint_segment: int | None = None  # with "pairs", rows searched together; None: whole series
+    changepoint_bandwidth: float | None = None  # None: the median squared distance, of a sample or of all pairs
+    silhouette: str = "sampled"  # judged points against all; or "squared"; or "exact", which compares all pairs
 
 
 @dataclass(frozen=True)

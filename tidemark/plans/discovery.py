@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.agreement import davies_bouldin
 from tidemark.operators.boundaries import boundary_precision_recall
-from tidemark.operators.changepoints import changepoints
+from tidemark.operators.changepoints import changepoints, landmark_changepoints
 from tidemark.operators.clusters import SILHOUETTE_NAMES, gmm_select_k, kmeans_select_k, silhouette_for_selection
 from tidemark.operators.hierarchy import hierarchy_source, macro_from_state_means, super_regimes
 from tidemark.operators.hmm import HmmFit, hmm_decode, hmm_seed_stability, hmm_select_states
@@ -60,6 +60,19 @@ class Discovery:
         )
 
 
+# Metrics of the two searches, which are different numbers.
+BREAK_COUNTS = {"landmarks": "n_breaks_landmarks", "pairs": "n_breaks"}
+
+
+def _changepoints(base: DataFrame, keys: list[str], m) -> DataFrame:
+    """Breaks of every series by the search that the settings ask for."""
+    if m.changepoint_search not in BREAK_COUNTS:
+        raise ValueError(f"changepoint_search must be one of {sorted(BREAK_COUNTS)}")
+    if m.changepoint_search == "pairs":
+        return changepoints(base, keys, "seq", "x", m.changepoint_penalty, m.changepoint_segment, bandwidth=m.changepoint_bandwidth)
+    return landmark_changepoints(base, keys, "seq", "x", m.changepoint_penalty, bandwidth=m.changepoint_bandwidth)
+
+
 def discover(
     raw: DataFrame,
     params: Params,
@@ -100,8 +113,8 @@ def discover(
     hmm = run.add_hmm("hmm", base, "x")
     fits: dict[str, object] = {"kmeans": kmeans, "gmm": gmm, "hmm": hmm}
 
-    breaks = keep(changepoints(base, keys, "seq", "x", m.changepoint_penalty, m.changepoint_segment), "changepoints")
-    run.metrics.append(("changepoint", "n_breaks", float(breaks.count())))
+    breaks = keep(_changepoints(base, keys, m), "changepoints")
+    run.metrics.append(("changepoint", BREAK_COUNTS[m.changepoint_search], float(breaks.count())))
     run.diagnostics["changepoints"] = breaks
     seeds = {*STABILITY_SEEDS, m.seed}
     if stability:

@@ -46,7 +46,7 @@ def run_experiment(
     entropies = metrics.where(F.col("metric") == "transition_entropy").select(
         "experiment_id", "model", F.col("value").alias("transition_entropy")
     )
-    export_report(comparative_rows(metrics, entropies).coalesce(1), f"{folder}/comparative_rows.csv")
+    export_report(comparative_rows(metrics, entropies, params.models.silhouette).coalesce(1), f"{folder}/comparative_rows.csv")
     append_record(
         experiment_record(metrics, experiment_id, params.to_dict(), notes, {"quality_report": result.quality}),
         f"{folder}/experiment",
