@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import START, fill, hours
 from tidemark.functions.quantiles import exact_quantiles
-from tidemark.operators import resample
+from tidemark.operators import resample, series
 from tidemark.operators.gaps import gap_fill
 from tidemark.operators.quality import clip_outliers, quality_preprocess
 from tidemark.operators.resample import densify_grid, resample_mean
@@ -73,7 +73,7 @@ def test_quality_of_a_short_series(spark):
 
 
 @pytest.mark.parametrize("small,medium", [(2, 6), (1, 3), (3, 1), (0, 4)])
-def test_gap_fill_against_pandas(spark, small, medium):
+def test_gap_fill_against_pandas(spark, small, medium, monkeypatch):
     rng = random.Random(small * 10 + medium)
     rows, expected = [], {}
     for s in range(12):
@@ -83,7 +83,8 @@ def test_gap_fill_against_pandas(spark, small, medium):
         rows += [(f"s{s}", i, v) for i, v in enumerate(values)]
         expected[f"s{s}"] = fill(values, small, medium)
     df = spark.createDataFrame(rows, "STATION string, pos long, x double")
-    for block in (1, 5, 16_384):
+    for block, run in ((1, 4), (5, 2), (16_384, series.RUN_BLOCKS)):
+        monkeypatch.setattr(series, "RUN_BLOCKS", run)
         got = {}
         for r in gap_fill(df, ["STATION"], "pos", ["x"], (), small, medium, block_rows=block).orderBy("pos").collect():
             got.setdefault(r.STATION, []).append(r.x)

@@ -4,8 +4,8 @@ Predictions are taken in ascending order and each claims the first unclaimed tru
 tolerance. What a prediction may claim depends on the past only through the first truth position
 that is still free, and just before position x that lies within [x - tolerance, x + tolerance]. A
 block of positions is therefore a small table "free position on entry -> free position on exit,
-matches made". Blocks are evaluated independently and the tables are chained afterwards, so the
-result is exact for series of any length.
+matches made". Blocks are evaluated independently, tables of a run of blocks are combined into one, and the tables of
+the runs are chained, so the result is exact for series of any length.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.series import BLOCK, block_of
+from tidemark.operators.series import BLOCK, RUN, RUN_BLOCKS, block_of
 
 BLOCK_SPAN = 262_144
 
@@ -43,6 +43,7 @@ def match_boundaries(
     tolerance: int,
     position: str = "boundary",
     block_span: int = BLOCK_SPAN,
+    run_blocks: int = RUN_BLOCKS,
 ) -> DataFrame:
     """``keys, n_true, n_pred, matched`` for every series that has a truth or a prediction."""
     if block_span <= 2 * tolerance:
@@ -83,26 +84,43 @@ def match_boundaries(
         .select(*keys, BLOCK, "_n_true", "_n_pred", F.struct(F.col("_exit").alias("exit"), F.col("_matched").alias("matched")).alias("_t"))
     )
 
-    def step(state, block):
-        # A skipped block holds no candidates, so everything is free again on entry (offset 0).
-        adjacent = state["block"] + 1 == block["block"]
-        offset = F.when(adjacent, state["free"]).otherwise(F.lit(0).cast("long")).cast("int")
+    width = 2 * tolerance + 1
+    runs = _chain(tabled.withColumn(RUN, F.floor(F.col(BLOCK) / F.lit(run_blocks))), [*keys, RUN], BLOCK, F.col(RUN) * run_blocks, width)
+    # What a run hands on is what its last block does, if that block holds a candidate; otherwise all is free.
+    ends = F.col("_last") == (F.col(RUN) + 1) * run_blocks - 1
+    runs = runs.select(
+        *keys, RUN, "_n_true", "_n_pred",
+        F.struct(F.when(ends, F.col("_t.exit")).otherwise(F.array_repeat(F.lit(0).cast("long"), width)).alias("exit"), F.col("_t.matched").alias("matched")).alias("_t"),
+    )
+    whole = _chain(runs, list(keys), RUN, F.lit(0), width)
+    return whole.select(*keys, F.col("_n_true").alias("n_true"), F.col("_n_pred").alias("n_pred"), F.get("_t.matched", F.lit(0)).alias("matched"))
+
+
+def _chain(tables: DataFrame, series: list[str], order: str, first: Column, width: int) -> DataFrame:
+    """The tables (``_t``: what leaves and what was matched, by what entered) of a series as one, entered at its place ``first``.
+
+    Between places that do not follow each other no candidate lies, so everything is free again (entry 0). Tables of a group are few: those of
+    the blocks of one run, or the runs of a series.
+    """
+    zero = F.lit(0).cast("long")
+
+    def step(state, table):
+        follows = state["at"] + 1 == table["at"]
+        entry = F.when(follows, state["exit"]).otherwise(F.array_repeat(zero, width))
         return F.struct(
-            block["block"].alias("block"),
-            F.get(block["t"]["exit"], offset).alias("free"),
-            (state["matched"] + F.get(block["t"]["matched"], offset)).alias("matched"),
+            table["at"].alias("at"),
+            F.transform(entry, lambda e: F.get(table["t"]["exit"], e.cast("int"))).alias("exit"),
+            F.zip_with(state["matched"], entry, lambda m, e: m + F.get(table["t"]["matched"], e.cast("int"))).alias("matched"),
         )
 
-    start = F.struct(
-        F.lit(-2).cast("long").alias("block"), F.lit(0).cast("long").alias("free"), F.lit(0).cast("long").alias("matched")
-    )
-    # One small table per occupied block: (2 * tolerance + 1) pairs for every block_span positions.
-    chained = tabled.groupBy(*keys).agg(
-        F.sum("_n_true").cast("long").alias("n_true"),
-        F.sum("_n_pred").cast("long").alias("n_pred"),
-        F.array_sort(F.collect_list(F.struct(F.col(BLOCK).alias("block"), F.col("_t").alias("t")))).alias("_b"),
+    grouped = tables.groupBy(*series).agg(
+        F.sum("_n_true").cast("long").alias("_n_true"),
+        F.sum("_n_pred").cast("long").alias("_n_pred"),
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col("_t").alias("t")))).alias("_b"),
     )
-    return chained.select(*keys, "n_true", "n_pred", F.aggregate("_b", start, step)["matched"].alias("matched"))
+    start = F.struct((first - 1).cast("long").alias("at"), F.sequence(zero, F.lit(width - 1).cast("long")).alias("exit"), F.array_repeat(zero, width).alias("matched"))
+    found = grouped.withColumn("_s", F.aggregate("_b", start, step))
+    return found.select(*series, "_n_true", "_n_pred", F.col("_s.at").alias("_last"), F.struct(F.col("_s.exit").alias("exit"), F.col("_s.matched").alias("matched")).alias("_t"))
 
 
 def precision_recall(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
