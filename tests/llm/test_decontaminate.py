@@ -1,10 +1,12 @@
+import math
 import random
 import re
 
+import numpy as np
 from samples import awkward, sentence, table, vocabulary
 
 from tidemark.llm import decontaminate
-from tidemark.llm.decontaminate import contamination, drop_contaminated, edit_distance, edits_allowed, find_passages
+from tidemark.llm.decontaminate import WALKS, contamination, drop_contaminated, edit_distance, edits_allowed, embed, find_passages, repetitions, sample_keys
 
 
 def tokens(text):
@@ -58,7 +60,7 @@ def test_against_brute_force(spark):
 
 def test_recall_of_samples():
     """Windows with the most edits allowed are named by some sample, about as often as asked for."""
-    import numpy as np
+
     import pyarrow as pa
 
     r = random.Random(3)
@@ -121,3 +123,36 @@ def test_free_match():
         edits, start, n = found
         assert edits == best and n > 0 and edit_distance(w[start : start + n], p, len(p)) == best
         assert all(edit_distance(w[s : s + m], p, len(p)) > best for s in range(start) for m in range(1, len(w) - s + 1))
+
+
+def _pairs(r, n, count=200):
+    """Items, windows of their size with as many random edits as a match may have, by turns of all kinds."""
+    items, windows = [], []
+    for _ in range(count):
+        item = [r.getrandbits(60) + 1 for _ in range(n)]
+        window = list(item)
+        for _ in range(int(edits_allowed(n))):
+            kind, at = r.choice("sdi"), r.randrange(len(window))
+            if kind == "d":
+                del window[at]
+            else:
+                window[at : at + (kind == "s")] = [r.getrandbits(60) + 1]
+        items.append(item)
+        windows.append((window + [r.getrandbits(60) + 1 for _ in range(n)])[:n])
+    return np.array(items, np.uint64), np.array(windows, np.uint64)
+
+
+def test_samples_meet_for_matches_and_hardly_ever_otherwise():
+    r = random.Random(21)
+    number = math.ceil(repetitions() / WALKS)
+    for n in (5, 8, 15, 38, 59, 200):
+        items, windows = _pairs(r, n)
+        lengths = np.full(len(items), n)
+        met, strangers = np.zeros(len(items), bool), np.zeros(len(items), bool)
+        for walk in range(WALKS):
+            a, alive = sample_keys(embed(items, lengths, walk), lengths, walk, number)
+            b, living = sample_keys(embed(windows, lengths, walk), lengths, walk, number)
+            assert alive.mean() > 0.8
+            met |= ((a == b) & alive & living).any(axis=1)
+            strangers |= ((a == b[::-1]) & alive & living[::-1]).any(axis=1)
+        assert met.mean() >= 0.9 and strangers.mean() < 0.05

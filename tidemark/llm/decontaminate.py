@@ -26,10 +26,11 @@ LEAST_WORDS = 5  # shorter items name no passage
 BLOCK_BYTES = 16 << 20  # text of the items that executors hold at a time
 WALKS = 8  # independent embeddings
 SAMPLED = 2  # symbols of an embedding that must agree
-AGREEING = 0.3  # share of symbols that agree in a match with the most edits, at least
+AGREEING = 0.3  # share of sampled symbols that agree in a match with the most edits; measured: 0.42 to 0.77, less in longer items
 RECALL = 0.999
 STRETCH = 3  # symbols of an embedding per word
-PAD = np.uint64(0)
+LIVE = 1.6  # of them, those per word at which nearly all walks are still inside their row: only these are sampled
+PAD, BEYOND = np.uint64(0), np.uint64(0x6A09E667F3BCC909)  # symbols after a row's end, and of a window outside its text
 
 
 def repetitions(recall: float = RECALL, agreeing: float = AGREEING, sampled: int = SAMPLED) -> int:
@@ -57,16 +58,19 @@ def embed(symbols: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
     return out
 
 
-def sample_keys(embedded: np.ndarray, lengths: np.ndarray, walk: int, number: int, sampled: int = SAMPLED) -> np.ndarray:
-    """``number`` keys per row, each of the length and ``sampled`` symbols at random places of the row's own walk."""
+def sample_keys(embedded: np.ndarray, lengths: np.ndarray, walk: int, number: int, sampled: int = SAMPLED) -> tuple[np.ndarray, np.ndarray]:
+    """``number`` keys per row, each of the length and ``sampled`` symbols at random live places of the row's own walk; and which count.
+
+    A key that has sampled padding says nothing about the words and does not count.
+    """
     places = np.random.default_rng(1_000 + walk).random((number, sampled))
-    at = (places[None] * (STRETCH * lengths)[:, None, None]).astype(np.int64)
+    at = (places[None] * (LIVE * lengths)[:, None, None]).astype(np.int64)
     picked = embedded[np.arange(len(embedded))[:, None, None], at]
     with np.errstate(over="ignore"):
         key = mix(lengths.astype(np.uint64))[:, None] + np.arange(number, dtype=np.uint64)[None]
         for j in range(sampled):
             key = mix(key * np.uint64(GOLDEN) + picked[:, :, j])
-    return key
+    return key, (picked != PAD).all(axis=2)
 
 
 def edit_distance(a, b, most: int) -> int:
@@ -158,10 +162,10 @@ def index_items(rows: list, most: float = MOST_EDITS) -> Items | None:
         pieces_by_width[width] = (h[order], *(np.array([x[c] for x in found])[order] for c in (1, 2)))
     keys, number = [], math.ceil(repetitions() / WALKS)
     for walk in range(WALKS):
-        k = sample_keys(embed(symbols, lengths, walk), lengths, walk, number)
-        item = np.repeat(np.arange(len(chosen)), number)
-        order = np.argsort(k.ravel(), kind="stable")
-        keys.append((k.ravel()[order], item[order]))
+        k, counts = sample_keys(embed(symbols, lengths, walk), lengths, walk, number)
+        item = np.nonzero(counts)[0]
+        order = np.argsort(k[counts], kind="stable")
+        keys.append((k[counts][order], item[order]))
     return Items(np.array([rows[i][0] for i in chosen]), symbols, lengths, pieces_by_width, keys)
 
 
@@ -175,9 +179,9 @@ def _spans(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _windows(hashes: np.ndarray, first: np.ndarray, items: Items, most: float, free_ends: bool) -> np.ndarray:
-    """Distinct (start, words) of windows of an item's size around whole pieces of it.
+    """Distinct (text, start, words) of windows of an item's size around whole pieces of it.
 
-    With ``free_ends`` windows that reach beyond a text are moved into it, and a text of fewer words is a window.
+    With ``free_ends`` windows may reach beyond a text, so that one that lacks the ends of an item still lies as the item does.
     """
     out = []
     for width, (known, item, offset) in items.whole.items():
@@ -195,12 +199,10 @@ def _windows(hashes: np.ndarray, first: np.ndarray, items: Items, most: float, f
         for shift in range(-reach, reach + 1):
             start = begin + shift
             fits = abs(shift) <= edits_allowed(length, most)
-            if free_ends:
-                start = np.maximum(np.minimum(start, high - length), low)
-            else:
+            if not free_ends:
                 fits &= (start >= low) & (start + length <= high)
-            out.append(np.stack([start[fits], length[fits]], axis=1))
-    return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+            out.append(np.stack([text[index][fits], start[fits], length[fits]], axis=1))
+    return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 3), np.int64)
 
 
 def matches(hashes: np.ndarray, first: np.ndarray, items: Items, most: float = MOST_EDITS, free_ends: bool = False) -> list[tuple[int, int, int, int, int]]:
@@ -212,16 +214,16 @@ def matches(hashes: np.ndarray, first: np.ndarray, items: Items, most: float = M
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     around: dict[tuple[int, int], list[int]] = {}
     for low in range(0, len(windows), 4_096):
-        start, length = windows[low : low + 4_096].T
-        width = int(length.max())
-        texts = np.searchsorted(first, start, side="right") - 1
-        real = np.minimum(length, first[texts + 1] - start)  # a text may have fewer words than the item
-        symbols = hashes[np.minimum(start[:, None] + np.arange(width), len(hashes) - 1)]
+        texts, start, length = windows[low : low + 4_096].T
+        at = start[:, None] + np.arange(int(length.max()))
+        inside = (at >= first[texts][:, None]) & (at < first[texts + 1][:, None])
+        symbols = np.where(inside, hashes[np.clip(at, 0, len(hashes) - 1)], BEYOND)
         pairs = set()
         for walk, (known, item) in enumerate(items.keys):
-            keys = sample_keys(embed(symbols, real, walk), length, walk, math.ceil(repetitions() / WALKS))
-            index, entry = _spans(keys.ravel(), known)
-            pairs.update(zip((index // keys.shape[1]).tolist(), item[entry].tolist(), strict=True))
+            keys, counts = sample_keys(embed(symbols, length, walk), length, walk, math.ceil(repetitions() / WALKS))
+            window = np.nonzero(counts)[0]
+            index, entry = _spans(keys[counts], known)
+            pairs.update(zip(window[index].tolist(), item[entry].tolist(), strict=True))
         for w, i in sorted(pairs):
             n, text = int(items.lengths[i]), int(texts[w])
             if n != length[w]:
