@@ -36,15 +36,15 @@ def _rows(docs: DataFrame, seed: int) -> DataFrame:
         F.xxhash64(text).alias("hub"), F.monotonically_increasing_id().alias("rid"),
     )
     rows = stage(rows.withColumn("place", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("hub"))), "shard-places")
-    # Rows equal in id and text get places of their own.
-    placed = rows.join(equal_numbers(rows, "place"), "rid", "left")
+    # Rows equal in id and text get places of their own, and start from the same shard, their ``home``.
+    placed = rows.join(equal_numbers(rows, "place"), "rid", "left").withColumn("home", F.col("place"))
     return placed.withColumn("place", F.when(F.col("number") > 0, F.xxhash64("place", "number")).otherwise(F.col("place"))).drop("number")
 
 
 def equal_texts(rows: DataFrame) -> DataFrame:
-    """Memberships (rid, hub, size, place) in groups of equal texts of at least two rows."""
+    """Memberships (rid, hub, size, place, home) in groups of equal texts of at least two rows."""
     hubs = rows.groupBy("hub").agg(F.count("*").alias("n")).where("n > 1").select("hub")
-    return rows.select("rid", "hub", "size", "place").join(stage(hubs, "shard-hubs"), "hub").select("rid", "hub", "size", "place")
+    return rows.select("rid", "hub", "size", "place", "home").join(stage(hubs, "shard-hubs"), "hub").select("rid", "hub", "size", "place", "home")
 
 
 def granted(load: dict[int, int], flows: dict[tuple[int, int], int], capacity: float) -> dict[int, float]:
@@ -64,11 +64,11 @@ def granted(load: dict[int, int], flows: dict[tuple[int, int], int], capacity: f
 def propagate(members: DataFrame, shards: int, capacity: float, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
     """(rid, size, place, shard, hub) of all linked documents after ``rounds`` of label propagation under quotas.
 
-    ``members`` is (rid, hub, size, place); a document may be in several hubs. A document asks for the shard with the most bytes
+    ``members`` is (rid, hub, size, place, home); a document may be in several hubs and starts in a shard by its ``home``. A document asks for the shard with the most bytes
     in its hubs, its own among them. Rounds end early when nobody asks. ``hub`` of the result is the least of a document's.
     """
-    start = members.groupBy("rid").agg(F.min("size").alias("size"), F.min("place").alias("place"), F.min("hub").alias("hub"))
-    placed = stage(start.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int")), "shard-start")
+    start = members.groupBy("rid").agg(F.min("size").alias("size"), F.min("home").alias("home"), F.min("place").alias("place"), F.min("hub").alias("hub"))
+    placed = stage(start.withColumn("shard", F.pmod("home", F.lit(shards)).cast("int")).drop("home"), "shard-start")
     full: list[int] = []  # shards that granted little of what they were asked for
     for turn in range(rounds):
         at = members.select("rid", "hub").join(placed.select("rid", "size", "shard"), "rid")
@@ -134,7 +134,7 @@ def shard_documents(docs: DataFrame, links: DataFrame | None = None, *, shards:
         members = equal_texts(rows)
     else:
         hubs = links.select("doc_id", F.xxhash64("hub").alias("hub")).distinct()
-        members = rows.select("doc_id", "rid", "size", "place").join(hubs, "doc_id").select("rid", "hub", "size", "place")
+        members = rows.select("doc_id", "rid", "size", "place", "home").join(hubs, "doc_id").select("rid", "hub", "size", "place", "home")
     linked = propagate(stage(members, "shard-members"), shards, capacity * (1 + SLACK), rounds, seed)
     load = {r["shard"]: r["size"] for r in linked.groupBy("shard").agg(F.sum("size").alias("size")).collect()}
     ours = linked.select("rid", F.col("shard").alias("linked_shard"), F.col("hub").alias("link"))
