@@ -89,9 +89,13 @@ def plan_mix(atoms: DataFrame, weigh, *, share: float = 1.0, max_epochs: float =
     split = atoms.join(following, ["g", "u"]).groupBy("g", "u", "rest").agg(F.count("*").alias("n"), F.min("size").alias("size"))
     split = split.where("n > 1 AND size > 0 AND rest >= size").select("g", F.col("u").alias("split"), F.floor(F.col("rest") / F.col("size")).alias("budget"), F.col("size").alias("split_size"))
     split = stage(split, "mix-split")
-    equal = atoms.join(split, (atoms["g"] == split["g"]) & (atoms["u"] == split["split"])).select(atoms["g"], F.xxhash64("rid").alias("u"), F.lit(1).cast("long").alias("size"))
-    halves = cut_points(equal, split.select("g", F.lit(0).alias("t"), "budget"), counted["n"]).select("g", F.col("cut").alias("split_cut"))
-    split = split.join(halves, "g").select("g", "split", "split_cut", (F.col("budget") * F.col("split_size")).alias("split_size"))
+    if split.limit(1).count():
+        equal = atoms.join(split, (atoms["g"] == split["g"]) & (atoms["u"] == split["split"])).select(atoms["g"], F.xxhash64("rid").alias("u"), F.lit(1).cast("long").alias("size"))
+        halves = cut_points(equal, split.select("g", F.lit(0).alias("t"), "budget"), counted["n"]).select("g", F.col("cut").alias("split_cut"))
+        split = split.join(halves, "g")
+    else:  # no source is cut inside equal rows
+        split = split.withColumn("split_cut", F.lit(None).cast("long"))
+    split = split.select("g", "split", "split_cut", (F.col("budget") * F.col("split_size")).alias("split_size"))
     sources = sources.join(split, "g", "left").withColumn("rest", F.col("rest") - F.coalesce("split_size", F.lit(0)))
     sources = stage(sources, "mix-halves")
     # What the ordered documents leave of the budget goes to the one further document that comes nearest.
