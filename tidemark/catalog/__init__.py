@@ -8,6 +8,7 @@ from tidemark.catalog import (  # noqa: F401
     model_queries,
     report_queries,
     source_queries,
+    stream_queries,
     window_queries,
 )
 from tidemark.catalog.registry import CHECKS, QUERIES
