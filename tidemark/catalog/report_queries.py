@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog.grid_queries import BLOCKS, grid
-from tidemark.catalog.registry import GRID_12H, NUMERIC, aligned_sql, chain, query, rounded, table
+from tidemark.catalog.registry import CHECKS, GRID_12H, NUMERIC, aligned_sql, chain, query, rounded, scratch, table
 from tidemark.catalog.window_queries import windows_sql
 from tidemark.functions.times import duration_hours
 from tidemark.operators import profiles, reports
 from tidemark.operators.labels import label_positions, transition_matrix
 from tidemark.operators.resample import resample_mean
 from tidemark.operators.windows import sliding_windows
+from tidemark.params import Columns, Params
+from tidemark.plans.reporting import compose_reports
 from tidemark.session import stage
+from tidemark.sources.writers import export_report
 
 SENSORS = ["WIND_SPEED", "WAVE_HGT", "SEA_LVL_PRES"]
 MEANS = [f"{c}_s4_mean" for c in SENSORS]
@@ -288,9 +291,9 @@ def _health_column(c: str) -> str:
            quantile_cont({c}, 0.5) OVER (PARTITION BY STATION) AS med FROM health_rows)) GROUP BY STATION"""
 
 
-def health_sql(source: str) -> str:
+def health_sql(source: str, columns=NUMERIC) -> str:
     return f"""health_rows AS ({source}),
-health_columns AS ({" UNION ALL ".join(_health_column(c) for c in NUMERIC)}),
+health_columns AS ({" UNION ALL ".join(_health_column(c) for c in columns)}),
 rates AS (SELECT STATION, any_value(n) AS rows, avg(nulls / n) AS missing_rate, avg(CASE WHEN steps > 0 THEN flat / steps ELSE 0 END) AS flatline_rate,
   avg(CASE WHEN nulls = 0 AND mad > 1e-9 THEN spikes / n ELSE 0 END) AS spike_rate FROM health_columns GROUP BY 1),
 gaps AS (SELECT STATION, CASE WHEN count(g) >= 2 AND any_value(m) > 0 THEN count(*) FILTER (WHERE g > 2.5 * m) / count(g) ELSE 0 END AS gap_rate
@@ -317,3 +320,27 @@ def anomaly_query(spark, sf_dir):
                                                   f"quantile_cont({WAVE}, 0.95) AS p95") + " FROM macros")
 def error_summary_query(spark, sf_dir):
     return reports.error_summary(held(spark, sf_dir), WAVE)
+
+
+def exported(name: str):
+    """A query that runs the reports over the labelled voyages, exports one and reads the file again."""
+
+    def run(spark, sf_dir):
+        rows = scored(spark, sf_dir)
+        grid = resample_mean(voyage(spark, sf_dir), "STATION", "DATE", SENSORS, (), "7d")
+        params = Params(columns=Columns(numeric=tuple(SENSORS), width="7d"))
+        mapping = rows.select("micro_state", "macro_state").distinct()
+        report = compose_reports(rows, grid, transitions(rows), mapping, params, SENSORS, keep=stage, block_rows=BLOCKS).exports[name]
+        path = f"{scratch(spark, 'export')}/{name}.csv"
+        export_report(report, path)
+        return spark.read.schema(report.schema).csv(path, header=True)
+
+    return run
+
+
+query("report_regime_labels", BASE + f"""SELECT station, window_scale, start_idx, end_idx, start_time, end_time, micro_state, macro_state,
+  macro_state_name, {rounded(*MEANS, "duration_hours")} FROM scored""")(exported("regime_labels"))
+query("report_early_warning", CHECKS["early_warning"])(exported("early_warning"))
+query("report_seasonal_summary", CHECKS["dominant_regime_month"])(exported("seasonal_summary"))
+query("report_operational_planning", CHECKS["planning_overall"])(exported("operational_planning"))
+query("report_sensor_health", chain(*VOYAGE[:2]) + ", " + health_sql("SELECT * FROM aligned", SENSORS))(exported("sensor_health"))

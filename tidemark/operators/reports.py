@@ -159,11 +159,18 @@ def latest_window(df: DataFrame, station: str = "station") -> DataFrame:
 
 
 def early_warning(
-    df: DataFrame, transitions: DataFrame, mapping: DataFrame | None, station: str = "station"
+    df: DataFrame,
+    transitions: DataFrame,
+    mapping: DataFrame | None,
+    station: str = "station",
+    severity: DataFrame | None = None,
 ) -> DataFrame:
-    """Latest state per station with the risk of being, or moving into, a severe macro state."""
+    """Latest state per station with the risk of being, or moving into, a severe macro state.
+
+    ``severity`` is ``severity_map(df)``, where the caller has it already.
+    """
     measures = _wave_wind(df)
-    severity = severity_map(df).select(
+    severity = (severity_map(df) if severity is None else severity).select(
         "macro_state", F.col("severity_score").alias("_score"), F.col("severity_level").alias("_level")
     )
     high = severity.where(F.col("_level") == "High").select("macro_state")
@@ -241,8 +248,8 @@ def dominant_regime_station_month(df: DataFrame, station: str = "station") -> Da
     return best.withColumnRenamed("share", "dominant_share")
 
 
-def _planning_rows(df: DataFrame) -> DataFrame:
-    severity = severity_map(df).select("macro_state", "severity_score", "severity_level")
+def _planning_rows(df: DataFrame, severity: DataFrame | None) -> DataFrame:
+    severity = (severity_map(df) if severity is None else severity).select("macro_state", "severity_score", "severity_level")
     levels = severity.agg(
         F.map_from_entries(
             F.collect_list(F.struct(F.col("macro_state").cast("int"), F.struct("severity_score", "severity_level")))
@@ -261,9 +268,9 @@ def _share(level: str) -> Column:
     return F.avg((F.col("_level") == level).cast("int"))
 
 
-def planning_overall(df: DataFrame) -> DataFrame:
+def planning_overall(df: DataFrame, severity: DataFrame | None = None) -> DataFrame:
     """Per month: severity shares in percent; recommended when at least 60 % of windows are Low."""
-    months = _planning_rows(df).groupBy("month").agg(
+    months = _planning_rows(df, severity).groupBy("month").agg(
         _share("Low").alias("low"), _share("Medium").alias("med"), _share("High").alias("high"),
         F.avg("_score").alias("score"), F.count(F.lit(1)).alias("windows"),
     )
@@ -278,9 +285,9 @@ def planning_overall(df: DataFrame) -> DataFrame:
     ).orderBy("month")
 
 
-def planning_station(df: DataFrame, station: str = "station") -> DataFrame:
+def planning_station(df: DataFrame, station: str = "station", severity: DataFrame | None = None) -> DataFrame:
     """Per station and month; recommended by both the rounded Low and High percentages."""
-    months = _planning_rows(df).groupBy(station, "month").agg(
+    months = _planning_rows(df, severity).groupBy(station, "month").agg(
         F.round(_share("Low") * 100.0, 2).alias("low_share"),
         F.round(_share("High") * 100.0, 2).alias("high_share"),
         F.round(F.avg("_score"), 3).alias("avg_severity"),

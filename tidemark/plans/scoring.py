@@ -114,14 +114,14 @@ def name_scored(scored: DataFrame) -> DataFrame:
     return name_macro_states(scored, macro_names(scored))
 
 
-def score_telemetry(
+def score_run(
     raw: DataFrame,
     params: Params,
     models: StoredModels,
     use_stored_bounds: bool = True,
     keep: Callable[[DataFrame, str], DataFrame] = same,
-) -> DataFrame:
-    """Raw rows to scored windows.
+) -> tuple[DataFrame, DataFrame]:
+    """Raw rows to the cleaned grid and the scored windows.
 
     Clip bounds come from the training run; ``use_stored_bounds=False`` recomputes them on the rows
     being scored.
@@ -132,4 +132,15 @@ def score_telemetry(
     rows = ingest_clean(named, c.timestamp, c.station, [*numeric, *directional])
     grid, _ = clean_grid(rows, params, numeric, directional, models.bounds if use_stored_bounds else None, keep)
     windows = keep(window_features(grid, params, model_features(numeric, directional, grid.columns)), "windows")
-    return name_scored(score_windows(windows, models))
+    return grid, name_scored(score_windows(windows, models))
+
+
+def score_telemetry(
+    raw: DataFrame,
+    params: Params,
+    models: StoredModels,
+    use_stored_bounds: bool = True,
+    keep: Callable[[DataFrame, str], DataFrame] = same,
+) -> DataFrame:
+    """The scored windows of ``score_run``."""
+    return score_run(raw, params, models, use_stored_bounds, keep)[1]
