@@ -148,3 +148,13 @@ def test_state_stays_bounded(spark):
     assert len(series.raw) == 0 and len(series.tail) == 7 and series.rows == 50_001
     again = live.Series.load(series.dump(), layout)
     assert repr(again.dump()) == repr(series.dump())
+
+
+def test_streams_without_closed_bins_give_no_windows(spark, tmp_path):
+    stored, folder = models(spark), str(tmp_path)
+    nothing = spark.createDataFrame([], SCHEMA)
+    for part in (nothing, spark.createDataFrame(readings()[:3], SCHEMA)):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        source = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+        assert score_stream(source, PARAMS, stored, folder, "2 hours") == f"{folder}/windows"
+    assert spark.read.parquet(f"{folder}/bins").count() <= 3
