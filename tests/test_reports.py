@@ -158,3 +158,35 @@ def test_shares_and_counts_keep_unlisted_regimes(spark):
     assert profiles.crosstab_micro_macro(rows, "micro", "macro", range(3)).first()["macro_2"] == 1
     with pytest.raises(Exception, match="without a column"):
         profiles.crosstab_micro_macro(rows, "micro", "macro", range(2)).collect()
+
+
+def odd_sensors(spark):
+    """Rows with null stations, positions, timestamps and readings, NaN, a sole row, constant readings and spikes."""
+    start, rows = dt.datetime(2023, 1, 1), []
+    for k, name in enumerate(["a", "b", "c", "d", None]):
+        for i in range(1 if name == "d" else 30 + k):
+            x = 500.0 if i == 7 else float("nan") if i == 9 and name == "b" else float((i * 7 + k) % 11)
+            y = None if (i + k) % 6 == 0 and name != "c" else 2.0 if name == "a" else float(i % 3)
+            t = None if i == 11 else start + dt.timedelta(hours=i + 20 * (i > 15))
+            rows.append((name, None if i == 0 and name == "c" else i, t, x, y))
+    return spark.createDataFrame(rows, "STATION string, pos long, DATE timestamp, x double, y double")
+
+
+def test_sensor_health_of_whole_and_cut_stations(spark):
+    df = odd_sensors(spark)
+    whole, cut = (reports.sensor_health(df, "STATION", "DATE", "pos", ["x", "y"], 4, n).collect() for n in (1000, 5))
+    assert len(whole) == 5 and any(r.spike_rate > 0 for r in whole) and any(r.gap_rate > 0 for r in whole)
+    assert sorted(map(str, whole)) == sorted(map(str, cut))
+
+
+def test_sensor_health_shuffles_readings_once(spark, monkeypatch):
+    plans, write = [], getattr(reports, "stage", None)
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(reports, "stage", noted, raising=False)
+    out = reports.sensor_health(odd_sensors(spark), "STATION", "DATE", "pos", ["x", "y"], 4)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum(p.count("Exchange hashpartitioning") for p in plans) == 1 and len(out.collect()) == 5

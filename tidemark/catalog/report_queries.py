@@ -37,8 +37,12 @@ def voyage(spark, sf_dir):
     )
 
 
-def labelled(spark, sf_dir):
-    rows = resample_mean(voyage(spark, sf_dir), "STATION", "DATE", SENSORS, (), "7d")
+def weekly(spark, sf_dir):
+    return resample_mean(voyage(spark, sf_dir), "STATION", "DATE", SENSORS, (), "7d")
+
+
+def labelled(spark, sf_dir, rows=None):
+    rows = weekly(spark, sf_dir) if rows is None else rows
     windows = sliding_windows(rows, "STATION", "DATE", "pos", SENSORS, 4, 4, ("mean",))
     micro = F.least(F.lit(MICRO_STATES - 1), F.greatest(F.lit(0), F.floor((F.col(WIND) - 15) / 4))).cast("int")
     return (
@@ -48,13 +52,13 @@ def labelled(spark, sf_dir):
     )
 
 
-def held(spark, sf_dir):
+def held(spark, sf_dir, rows=None):
     """The labelled windows written once, for reports that read them several times."""
-    return stage(labelled(spark, sf_dir), "labelled")
+    return stage(labelled(spark, sf_dir, rows), "labelled")
 
 
-def scored(spark, sf_dir):
-    rows = held(spark, sf_dir)
+def scored(spark, sf_dir, rows=None):
+    rows = held(spark, sf_dir, rows)
     return reports.name_macro_states(rows, reports.macro_names(rows))
 
 
@@ -326,8 +330,8 @@ def exported(name: str):
     """A query that runs the reports over the labelled voyages, exports one and reads the file again."""
 
     def run(spark, sf_dir):
-        rows = scored(spark, sf_dir)
-        grid = resample_mean(voyage(spark, sf_dir), "STATION", "DATE", SENSORS, (), "7d")
+        grid = stage(weekly(spark, sf_dir), "weekly")
+        rows = scored(spark, sf_dir, grid)
         params = Params(columns=Columns(numeric=tuple(SENSORS), width="7d"))
         mapping = rows.select("micro_state", "macro_state").distinct()
         report = compose_reports(rows, grid, transitions(rows), mapping, params, SENSORS, keep=stage, block_rows=BLOCKS).exports[name]

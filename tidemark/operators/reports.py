@@ -6,16 +6,17 @@ The input carries ``station, start_time, end_time, end_idx, micro_state, macro_s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.quantiles import exact_quantiles
+from tidemark.functions.quantiles import IN_MEMORY_ROWS, exact_quantiles
 from tidemark.functions.scalars import explain_parts, first_mean_column, present, severity_level, two_decimals
 from tidemark.functions.times import is_zoneless, month_key, to_micros
 from tidemark.operators.profiles import argmax_per_group, mean_columns, share_of_group
 from tidemark.operators.series import BLOCK_ROWS, previous_values, spread_join
+from tidemark.session import stage
 
 # Measures shown in regime notes, in order of preference.
 NOTE_PREFIXES = ("WIND_SPEED", "WAVE_HGT", "SEA_LVL_PRES", "AIR_TEMP", "SWELL_HGT", "WAVE_PERIOD")
@@ -304,17 +305,94 @@ def sensor_health(
     position: str,
     columns: Sequence[str],
     block_rows: int = BLOCK_ROWS,
+    in_memory_rows: int = IN_MEMORY_ROWS,
 ) -> DataFrame:
     """Per station: missing, flat-line, spike and time-gap rates, a weighted score and a status.
 
-    Medians are exact and computed from rank brackets, so no station is ordered in one task.
+    Medians are exact. While the largest station has at most ``in_memory_rows`` rows, stations are kept whole and one shuffle serves all
+    rates; else medians are computed from rank brackets, so no long station is ordered in one task. ``df`` is read twice.
     """
     columns = present(df, columns)
     if not columns:
         raise ValueError("none of the columns to check is present")
     micros = to_micros(F.col(timestamp), is_zoneless(df, timestamp))
     base = df.select(station, position, micros.alias("_t"), *[F.col(c).cast("double").alias(c) for c in columns])
-    stepped = previous_values(base, [station], position, ["_t", *columns], block_rows)
+    largest = base.groupBy(station).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= in_memory_rows:
+        rates = _health_whole(base, station, position, columns)
+    else:
+        rates = _health_blocks(base, station, position, columns, block_rows)
+    # The order of the result is found by a pass of its own, over one row per station.
+    scored = stage(rates, "health").na.fill(0.0, ["gap_rate"])
+    penalty = sum((F.lit(w) * F.col(c) for c, w in HEALTH_WEIGHTS.items()), F.lit(0.0))
+    scored = scored.withColumn("_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - penalty)))
+    status = F.when(F.col("_score") >= HEALTH_GOOD, "Good").when(F.col("_score") >= HEALTH_WARNING, "Warning").otherwise("Critical")
+    return scored.select(
+        station,
+        "rows",
+        *[F.round(c, 4).alias(c) for c in HEALTH_WEIGHTS],
+        F.round("_score", 4).alias("health_score"),
+        status.alias("status"),
+    ).orderBy("health_score", F.desc("missing_rate"), station)
+
+
+def _is_spike(off: Column, mad: Column) -> Column:
+    return F.try_divide(off, MAD_SCALE * mad) > SPIKE_Z
+
+
+def _gap_rate(wide: Column, steps: Column, usual: Column) -> Column:
+    # Three timestamps are needed, which is two steps.
+    return F.when((steps >= 2) & (usual > 0), wide / steps).otherwise(0.0)
+
+
+def _health_whole(base: DataFrame, station: str, position: str, columns: Sequence[str]) -> DataFrame:
+    """The rates of stations that are whole in one task; a row without a position counts for the medians and spikes only."""
+    placed = F.col("_placed")
+    series, whole = Window.partitionBy(station, "_placed").orderBy(position), Window.partitionBy(station)
+    at = {c: f"_c{i}" for i, c in enumerate(columns)}
+    rows = base.repartition(F.col(station)).withColumn("_placed", F.col(position).isNotNull())
+
+    def step(c: str) -> Column:
+        return F.when(placed, F.col(c) - F.lag(c).over(series))
+
+    def median(x: Column) -> Column:
+        return F.percentile(F.when(~F.isnan(x), x), F.lit(0.5)).over(whole)
+
+    rows = rows.withColumns({"_gap": step("_t"), **{f"{n}_step": step(c) for c, n in at.items()}})
+    rows = rows.withColumns({"_usual": median(F.col("_gap").cast("double")), **{f"{n}_off": F.abs(F.col(c) - median(F.col(c))) for c, n in at.items()}})
+    rows = rows.withColumns({f"{n}_mad": median(F.col(f"{n}_off")) for n in at.values()})
+    counted = rows.groupBy(station).agg(
+        F.count_if(placed).alias("rows"),
+        F.count("_gap").alias("_steps"),
+        F.first("_usual").alias("_usual"),
+        F.count_if(F.col("_gap") > GAP_FACTOR * F.col("_usual")).alias("_wide"),
+        *[F.count_if(placed & F.col(c).isNull()).alias(f"{n}_nulls") for c, n in at.items()],
+        *[F.count(f"{n}_step").alias(f"{n}_steps") for n in at.values()],
+        *[F.count_if(F.col(f"{n}_step") == 0).alias(f"{n}_flat") for n in at.values()],
+        *[F.first(f"{n}_mad").alias(f"{n}_mad") for n in at.values()],
+        *[F.count_if(_is_spike(F.col(f"{n}_off"), F.col(f"{n}_mad"))).alias(f"{n}_spikes") for n in at.values()],
+    )
+    known = F.col(station).isNotNull()
+
+    def mean(rate: Callable[[str], Column]) -> Column:
+        return sum((rate(n) for n in at.values()), F.lit(0.0)) / len(at)
+
+    def spikes(n: str) -> Column:
+        return F.when(known & (F.col(f"{n}_nulls") == 0) & (F.col(f"{n}_mad") > 1e-9), F.col(f"{n}_spikes") / F.col("rows")).otherwise(0.0)
+
+    return counted.where("rows > 0").select(
+        station,
+        "rows",
+        mean(lambda n: F.col(f"{n}_nulls") / F.col("rows")).alias("missing_rate"),
+        mean(lambda n: F.when(F.col(f"{n}_steps") > 0, F.col(f"{n}_flat") / F.col(f"{n}_steps")).otherwise(0.0)).alias("flatline_rate"),
+        mean(spikes).alias("spike_rate"),
+        F.when(known, _gap_rate(F.col("_wide"), F.col("_steps"), F.col("_usual"))).alias("gap_rate"),
+    )
+
+
+def _health_blocks(base: DataFrame, station: str, position: str, columns: Sequence[str], block_rows: int) -> DataFrame:
+    """The rates of stations of any length, cut into blocks; no station is ordered in one task."""
+    stepped = stage(previous_values(base, [station], position, ["_t", *columns], block_rows), "stepped")
 
     def pairs(*values):
         return F.array(*[F.struct(F.lit(c).alias("column"), *[v(c) for v in values]) for c in columns])
@@ -338,7 +416,7 @@ def sensor_health(
         .agg(
             F.first("_known").alias("_known"),
             F.first("_mad").alias("_mad"),
-            F.sum((F.try_divide("_off", MAD_SCALE * F.col("_mad")) > SPIKE_Z).cast("int")).alias("_spikes"),
+            F.sum(_is_spike(F.col("_off"), F.col("_mad")).cast("int")).alias("_spikes"),
         )
     )
     shape = stepped.groupBy(station).agg(
@@ -371,24 +449,13 @@ def sensor_health(
         .join(usual, station)
         .groupBy(station)
         .agg(
-            (F.sum(F.when(F.col("_gap") > GAP_FACTOR * F.col("_usual"), F.col("_c")).otherwise(0)) / F.first("_steps")).alias("_rate"),
+            F.sum(F.when(F.col("_gap") > GAP_FACTOR * F.col("_usual"), F.col("_c")).otherwise(0)).alias("_wide"),
             F.first("_steps").alias("_steps"),
             F.first("_usual").alias("_usual"),
         )
-        # Three timestamps are needed, which is two steps.
-        .select(station, F.when((F.col("_steps") >= 2) & (F.col("_usual") > 0), F.col("_rate")).otherwise(0.0).alias("gap_rate"))
+        .select(station, _gap_rate(F.col("_wide"), F.col("_steps"), F.col("_usual")).alias("gap_rate"))
     )
-    scored = rates.join(gaps, station, "left").na.fill(0.0, ["gap_rate"])
-    penalty = sum((F.lit(w) * F.col(c) for c, w in HEALTH_WEIGHTS.items()), F.lit(0.0))
-    scored = scored.withColumn("_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - penalty)))
-    status = F.when(F.col("_score") >= HEALTH_GOOD, "Good").when(F.col("_score") >= HEALTH_WARNING, "Warning").otherwise("Critical")
-    return scored.select(
-        station,
-        "rows",
-        *[F.round(c, 4).alias(c) for c in HEALTH_WEIGHTS],
-        F.round("_score", 4).alias("health_score"),
-        status.alias("status"),
-    ).orderBy("health_score", F.desc("missing_rate"), station)
+    return rates.join(gaps, station, "left")
 
 
 def dashboard_kpis(df: DataFrame) -> DataFrame:

@@ -56,6 +56,10 @@ def station_spans(df: DataFrame, station: str, timestamp: str, width: str) -> Da
     )
 
 
+def _held_spans(df: DataFrame, station: str, timestamp: str, width: str) -> DataFrame:
+    return stage(station_spans(df, station, timestamp, width), "spans")
+
+
 def densify_grid(
     df: DataFrame, station: str, timestamp: str, width: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
@@ -68,9 +72,9 @@ def densify_grid(
     )
 
 
-def _grid(df: DataFrame, station: str, timestamp: str, width: str, block_rows: int) -> DataFrame:
+def _grid(df: DataFrame, station: str, timestamp: str, width: str, block_rows: int, spans: DataFrame | None = None) -> DataFrame:
     step = width_micros(width)
-    blocks = station_spans(df, station, timestamp, width).select(
+    blocks = (station_spans(df, station, timestamp, width) if spans is None else spans).select(
         station,
         "_first",
         "_bins",
@@ -86,13 +90,20 @@ def _grid(df: DataFrame, station: str, timestamp: str, width: str, block_rows: i
 
 
 def bin_means(
-    df: DataFrame, station: str, timestamp: str, numeric: Sequence[str], directional: Sequence[str], width: str
+    df: DataFrame,
+    station: str,
+    timestamp: str,
+    numeric: Sequence[str],
+    directional: Sequence[str],
+    width: str,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Mean per (station, bin) for bins that hold readings; key column ``_bin`` in microseconds.
 
     A width that divides a day needs no knowledge of the station's first day. Other widths need it:
     with few enough stations their first days are broadcast, otherwise readings are first combined
     on a step that divides both the width and a day and only then meet their station's first day.
+    ``spans`` is ``station_spans`` of the same readings, stored, where the caller has it already.
     """
     step = width_micros(width)
     fine = common_step(step, DAY)
@@ -109,7 +120,7 @@ def bin_means(
     if fine == step:
         sums = totals(rows, _floor_to(micros, step))
     else:
-        spans = stage(station_spans(df, station, timestamp, width).select(station, "_anchor"), "spans")
+        spans = (_held_spans(df, station, timestamp, width) if spans is None else spans).select(station, "_anchor")
         if spans.count() <= BROADCAST_STATIONS:
             own_bin = F.col("_anchor") + _floor_to(micros - F.col("_anchor"), step)
             sums = totals(rows.join(F.broadcast(spans), station), own_bin)
@@ -146,9 +157,12 @@ def resample_mean(
     if not numeric:
         raise ValueError("at least one numeric column is needed for resampling")
     numeric, directional = present(df, numeric), present(df, directional)
-    means = bin_means(df, station, timestamp, numeric, directional, width)
+    # The means need the spans too where bins do not divide a day; then the readings are read for them once.
+    anchored = common_step(width_micros(width), DAY) != width_micros(width)
+    spans = _held_spans(df, station, timestamp, width) if anchored else None
+    means = bin_means(df, station, timestamp, numeric, directional, width, spans)
     return (
-        _grid(df, station, timestamp, width, block_rows)
+        _grid(df, station, timestamp, width, block_rows, spans)
         .join(means, [station, "_bin"], "left")
         .select(
             station,
