@@ -47,6 +47,30 @@ def test_silhouette(spark):
     assert agreement.silhouette_fast(four.where("label = 0"), "label", "v") == -1.0
 
 
+def test_exact_silhouette_writes_no_pairs(spark):
+    rng = np.random.default_rng(2)
+    points, labels = 1e6 + rng.normal(size=(300, 4)).round(2), np.arange(300) % 3
+    points[::7] = points[0]
+    df = cloud(spark, points, labels).repartition(3)
+    out = agreement.silhouette_exact(df, "id", "label", "v", 16)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan.lower() and "CoGroup" not in plan
+    assert out.first()[0] == pytest.approx(plain_silhouette(points, labels), abs=1e-9)
+    floats = df.withColumn("v", F.col("v").cast("array<float>"))
+    whole = np.array(points, np.float32).astype(float)
+    assert agreement.silhouette_exact(floats, "id", "label", "v", 16).first()[0] == pytest.approx(plain_silhouette(whole, labels), abs=1e-9)
+    assert agreement.silhouette_exact(df.where("id < 0"), "id", "label", "v").first()[0] == -1.0
+    with pytest.raises(Exception, match="same"):
+        agreement.silhouette_exact(df.withColumn("v", F.expr("if(id = 5, null, v)")), "id", "label", "v").first()
+
+
+def test_many_clusters_in_exact_silhouette(spark, monkeypatch):
+    monkeypatch.setattr(agreement, "HELD_CLUSTERS", 4)
+    rng = np.random.default_rng(3)
+    points, labels = rng.normal(size=(90, 3)), np.arange(90) // 5
+    assert agreement.silhouette_exact(cloud(spark, points, labels), "id", "label", "v", 8).first()[0] == pytest.approx(plain_silhouette(points, labels))
+
+
 def test_davies_bouldin(spark):
     four = cloud(spark, [[0.0], [2.0], [10.0], [14.0]], [0, 0, 1, 1])
     assert agreement.davies_bouldin(four, "label", "v").first()[0] == pytest.approx((1 + 2) / 11)

@@ -6,17 +6,23 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.session import stage
 
 TILE_POINTS = 512
 JUDGED = 2_000  # points that a sampled silhouette judges
 LEAST_JUDGED = 50  # of them in each cluster
 SALTS = 16
+OWN_POINTS = 4_096  # points that a task of the exact silhouette holds, about
+HELD_CLUSTERS = 1_024  # clusters whose sums it holds
+CANCELLED = 1e-6  # share of the squared lengths below which a squared distance is computed anew
+DIFFERENCES = 32_768  # such pairs at a time
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -46,53 +52,98 @@ def nearest_centroid(df: DataFrame, vector: str, centers: DataFrame, name: str =
     return df.withColumn("_centers", table).withColumn(name, F.array_min(distances)["label"]).drop("_centers")
 
 
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``a`` to all of ``b``; close pairs, where products lose digits, by their differences."""
+    with np.errstate(all="ignore"):
+        shift = a.mean(axis=0)
+        shift[~np.isfinite(shift)] = 0.0
+        x, y = a - shift, b - shift
+        scale = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)
+        squares = scale - 2.0 * (x @ y.T)
+        i, j = np.nonzero(~(squares > CANCELLED * scale) | ~np.isfinite(squares))
+        for low in range(0, len(i), DIFFERENCES):
+            p, q = i[low : low + DIFFERENCES], j[low : low + DIFFERENCES]
+            squares[p, q] = ((a[p] - b[q]) ** 2).sum(axis=1)
+        return np.sqrt(squares)
+
+
+def _packed(rows: DataFrame, tile_points: int) -> DataFrame:
+    """``points, labels, vectors, width``: rows of up to ``tile_points`` points each, their vectors as bytes of the type they have."""
+    kind = "<f4" if rows.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
+    rows = rows.withColumn("v", F.col("v").cast("array<float>" if kind == "<f4" else "array<double>"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, tile_points):
+                part = batch.slice(start, tile_points)
+                points, labels, vectors = (part.column(i) for i in range(3))
+                width = len(vectors[0]) if vectors[0].is_valid else -1
+                if vectors.null_count or set(vectors.value_lengths().to_pylist()) != {width}:
+                    raise ValueError("all vectors must have the same length")
+                flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(kind)
+                lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in (points, labels)]
+                columns = [*lists, pa.array([flat.tobytes()], pa.binary()), pa.array([width], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["points", "labels", "vectors", "width"])
+
+    kinds = rows.schema["point"].dataType.simpleString()
+    return rows.select("point", "label", "v").mapInArrow(pack, f"points array<{kinds}>, labels array<int>, vectors binary, width int")
+
+
+def _summed_distances(rows: DataFrame, total: int, tile_points: int) -> DataFrame:
+    """``point, label, cluster, total``: distances from each of ``rows`` (point, label, v) to the members of each cluster, summed up in parts.
+
+    Tiles are stored once and dealt to tasks once. A task holds its own points and reads all stored tiles one after the other, so
+    what is written grows with the points, not with their pairs, and what is held does not grow.
+    """
+    spark = rows.sparkSession
+    kind = "<f4" if rows.schema["v"].dataType.elementType.simpleString() == "float" else "<f8"
+    tiles = stage(_packed(rows, tile_points), "tiles")
+    parts = max(math.ceil(total / OWN_POINTS), min(math.ceil(total / tile_points), 2 * spark.sparkContext.defaultParallelism))
+    mine, theirs = tiles.repartition(max(1, parts)).rdd.glom(), tiles.coalesce(1).rdd
+
+    def matrix(tile) -> np.ndarray:
+        return np.frombuffer(tile["vectors"], kind).astype(float).reshape(len(tile["labels"]), tile["width"])
+
+    def sums(pairs: Iterator) -> Iterator[tuple]:
+        known, vectors, totals = [], None, {}
+
+        def result() -> Iterator[tuple]:
+            for cluster, values in totals.items():
+                for (point, label), value in zip(known, values.tolist(), strict=True):
+                    yield point, label, cluster, value
+            totals.clear()
+
+        for own, tile in pairs:  # ``own`` is the same list of tiles all along
+            if not own:
+                return
+            if vectors is None:
+                known = [pair for t in own for pair in zip(t["points"], t["labels"], strict=True)]
+                vectors = np.concatenate([matrix(t) for t in own])
+            other = matrix(tile)
+            clusters, member = np.unique(tile["labels"], return_inverse=True)
+            onehot = np.zeros((len(other), len(clusters)))
+            onehot[np.arange(len(other)), member] = 1.0
+            found = np.concatenate([_distances(vectors[low : low + TILE_POINTS], other) @ onehot for low in range(0, len(vectors), TILE_POINTS)])
+            for c, values in zip(clusters.tolist(), found.T, strict=True):
+                totals[c] = totals[c] + values if c in totals else values.copy()
+            if len(totals) > HELD_CLUSTERS:
+                yield from result()
+        yield from result()
+
+    kinds = {"point": rows.schema["point"].dataType, "label": T.IntegerType(), "cluster": T.IntegerType(), "total": T.DoubleType()}
+    schema = T.StructType([T.StructField(*field) for field in kinds.items()])
+    return spark.createDataFrame(mine.cartesian(theirs).mapPartitions(sums), schema, verifySchema=False)
+
+
 def silhouette_exact(df: DataFrame, point: str, label: str, vector: str, tile_points: int = TILE_POINTS) -> DataFrame:
     """One row ``silhouette``: mean Euclidean silhouette, -1 with fewer than two labels.
 
-    Every point has to be compared with every other, so the work is quadratic by definition. Points
-    are dealt into tiles of about ``tile_points``; each pair of tiles is one bounded group that
-    returns only the summed distances from each point to each cluster. Use ``silhouette_fast`` for
-    tables where quadratic work is out of the question.
+    Every point has to be compared with every other, so the work is quadratic by definition; what is stored,
+    shuffled and held by a task is not. Points are compared in tiles of up to ``tile_points``. Rows with a null label
+    count for nothing. Use ``silhouette_fast`` for tables where quadratic work is out of the question.
     """
-    total = df.count()
-    tiles = max(1, math.ceil(total / tile_points))
-    rows = df.select(
-        F.col(point).alias("point"),
-        F.col(label).cast("int").alias("label"),
-        F.col(vector).cast("array<double>").alias("v"),
-        F.pmod(F.xxhash64(point), F.lit(tiles)).cast("int").alias("tile"),
-    )
-    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
-    left = rows.withColumnRenamed("tile", "mine").withColumn("other", every)
-    right = rows.select(
-        *[F.col(c).alias(c) for c in ("point", "label", "v")], F.col("tile").alias("other"), every.alias("mine")
-    )
-    kind = df.schema[point].dataType.simpleString()
-
-    def tile_sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"point": [], "label": [], "cluster": [], "total": []})
-        theirs = np.stack(b["v"].to_numpy())
-        clusters, member = np.unique(b["label"].to_numpy(), return_inverse=True)
-        onehot = np.zeros((len(theirs), len(clusters)))
-        onehot[np.arange(len(theirs)), member] = 1.0
-        sums = np.stack([np.sqrt(((theirs - x) ** 2).sum(axis=1)) @ onehot for x in a["v"]])
-        return pd.DataFrame(
-            {
-                "point": np.repeat(a["point"].to_numpy(), len(clusters)),
-                "label": np.repeat(a["label"].to_numpy(), len(clusters)),
-                "cluster": np.tile(clusters, len(a)),
-                "total": sums.ravel(),
-            }
-        )
-
-    sums = (
-        left.groupBy("mine", "other")
-        .cogroup(right.groupBy("mine", "other"))
-        .applyInPandas(tile_sums, f"point {kind}, label int, cluster int, total double")
-        .groupBy("point", "label", "cluster")
-        .agg(F.sum("total").alias("total"))
-    )
+    rows = df.select(F.col(point).alias("point"), F.col(label).cast("int").alias("label"), F.col(vector).alias("v")).where("label IS NOT NULL")
+    sums = _summed_distances(rows, rows.count(), tile_points).groupBy("point", "label", "cluster").agg(F.sum("total").alias("total"))
     sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.col("label").alias("cluster"), "n")
     own = F.col("cluster") == F.col("label")
     per_point = (
