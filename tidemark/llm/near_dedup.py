@@ -243,9 +243,10 @@ def _across(group: pa.Table, k: int, similarity: int) -> pa.Table:
 def across_components(stars: DataFrame, labels: DataFrame, sets: DataFrame, k: int, similarity: int) -> DataFrame:
     """Links (a, b) between members of one star that are of different components.
 
-    ``stars`` is (anchor, id, blocks). A star of many members is cut into blocks by hash and every two blocks meet.
+    ``stars`` is (anchor, id, blocks). A star of many members is cut into blocks by hash and every two blocks meet. The anchor has met
+    all members before (``star_links``), so it is left out, and with it all stars whose other members are of one component.
     """
-    members = stars.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    members = stars.where("anchor != id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     members = stage(members, "near-members")
     mixed = members.groupBy("anchor").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("anchor")
     members = members.join(stage(mixed, "near-mixed"), "anchor").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
