@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from samples import awkward, sentence, table, vocabulary, words
 
@@ -115,3 +116,23 @@ def test_words_of_one_pattern_are_told_apart(spark):
         one += one.translate(str.maketrans("ab", "ba"))
     got = near_classes(table(spark, [(1, one), (2, one.translate(str.maketrans("ab", "ba"))), (3, one.upper())]), shingle=3, similarity=85).collect()
     assert {g["doc_id"]: g["component_id"] for g in got} == {1: 1, 2: 2, 3: 1}
+
+
+def test_stars_meet_again_without_their_anchor(spark, monkeypatch):
+    """Stars (1, 2) and (3; 4, 5, 6): only 4, 5 and 6 have pairs that their anchors' links leave open."""
+    near = {5: range(100), 6: range(2, 100)}
+    full = {i: np.sort(np.array([x * 2**40 + 7 for x in near.get(i, range(100 * i, 100 * i + 100))], np.uint64)) for i in range(1, 7)}
+    stars = spark.createDataFrame([(1, 1, 1), (1, 2, 1), (3, 3, 1), (3, 4, 1), (3, 5, 1), (3, 6, 1)], "anchor long, id long, blocks int")
+    sets = spark.createDataFrame([(i, near_dedup.pack_set(x)) for i, x in full.items()], "id long, full binary")
+    labels = spark.createDataFrame([], "node long, component long")
+    counts, write = {}, near_dedup.stage
+
+    def counted(df, name):
+        out = write(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    found = near_dedup.across_components(stars, labels, sets, 128, 85).collect()
+    assert [tuple(r) for r in found] == [(5, 6)]
+    assert counts == {"near-members": 4, "near-mixed": 1}
