@@ -4,9 +4,10 @@ import numpy as np
 import pytest
 from samples import awkward, sentence, table, vocabulary, words
 
-from tidemark.llm import near_dedup
+from tidemark.llm import blocks, near_dedup
 from tidemark.llm.components import components
 from tidemark.llm.near_dedup import drop_near_copies, near_classes
+from tidemark.llm.sketches import may_repeat, sketch_members
 
 
 def shingles(text, n):
@@ -136,3 +137,50 @@ def test_stars_meet_again_without_their_anchor(spark, monkeypatch):
     found = near_dedup.across_components(stars, labels, sets, 128, 85).collect()
     assert [tuple(r) for r in found] == [(5, 6)]
     assert counts == {"near-members": 4, "near-mixed": 1}
+
+
+def packed(spark, sets):
+    full = {i: np.sort(np.array([x * 2**40 + 7 for x in found], np.uint64)) for i, found in sets.items()}
+    return spark.createDataFrame([(i, near_dedup.pack_set(x)) for i, x in full.items()], "id long, full binary")
+
+
+def test_only_members_with_a_close_partner_meet_by_full_sets(spark, monkeypatch):
+    """Of 60 members in three blocks, 10 and 11 are alike beyond what a sketch holds, 12 and 13 as wholes; all others are alone."""
+    near = {10: range(9000, 9500), 11: range(9020, 9500), 12: range(90), 13: range(5, 90), 14: range(90, 120)}
+    sets = packed(spark, {i: near.get(i, range(1000 * i, 1000 * i + 150 + i)) for i in range(1, 62)})
+    stars = spark.createDataFrame([(1, i, 3) for i in range(1, 62)], "anchor long, id long, blocks int")
+    counts, write = {}, blocks.stage
+
+    def counted(df, name):
+        out = write(df, name)
+        counts[name] = out.select("id").distinct().count()
+        return out
+
+    monkeypatch.setattr(blocks, "stage", counted)
+    found = near_dedup.across_components(stars, spark.createDataFrame([], "node long, component long"), sets, 128, 85).collect()
+    assert sorted(tuple(r) for r in found) == [(10, 11), (12, 13)]
+    assert counts == {"near-close": 4}
+
+
+def test_members_that_do_not_fit_their_anchor_stay_home(spark):
+    sets = packed(spark, {1: range(100), 2: range(95), 3: range(50), 4: range(200, 300), 5: range(200, 210)})
+    stars = spark.createDataFrame([(1, 1, True, 1), (1, 2, True, 1), (1, 3, False, 1), (4, 4, True, 1), (4, 5, False, 1)], "anchor long, id long, fits boolean, blocks int")
+    assert [tuple(r) for r in near_dedup.star_links(stars, sets, 128, 85).collect()] == [(1, 2)]
+
+
+def test_merged_sketches_take_few_jobs_whatever_the_partitions(spark):
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    ids = spark.range(0, 3_000, 3, 4)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.sparkContext.setJobGroup("sketch", "sketch")
+        known = sketch_members(ids, 20, 1_000)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("sketch")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert len(jobs) < 12
+    assert may_repeat(np.arange(0, 3_000, 3, dtype=np.uint64), known.value, 20).all()
+    assert may_repeat(np.arange(1, 3_000, 3, dtype=np.uint64), known.value, 20).sum() < 5

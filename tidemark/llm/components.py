@@ -17,7 +17,8 @@ def components(links: DataFrame) -> DataFrame:
     labels. Each label is a node of the same component, so the rounds halve the paths; they end when nothing changes.
     """
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = stage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    links = stage(links.select(F.explode(ways).alias("way")).select("way.*"), "links")
     labels = stage(links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
     for _ in range(MOST_ROUNDS):
         near = links.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))

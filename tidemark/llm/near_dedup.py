@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.blocks import among, close_meetings, meetings
 from tidemark.llm.common import query, shield, table
 from tidemark.llm.components import components
 from tidemark.llm.sketches import cell_bits, may_repeat, pack, sketch_members, sketch_repeats, unpack
@@ -96,9 +97,9 @@ def sketches(docs: DataFrame, shingle: int, k: int) -> DataFrame:
 
 
 def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
-    """``value, id, bound`` for the retained values of classes that may occur in several sketches.
+    """``value, id, n`` for the retained values of classes that may occur in several sketches.
 
-    ``bound`` is the class's share of retained values that a linked class must have. Rows of ``base`` stand for their class if their
+    Rows of ``base`` stand for their class if their
     id may be among ``firsts``; the few others that seem so are copies, and their links join what is joined anyhow.
     """
     counted = base.agg(F.coalesce(F.sum(F.least("n", F.lit(k))), F.lit(0)).alias("values"), F.count("*").alias("rows")).first()
@@ -112,7 +113,7 @@ def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
     def values_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(b"".join(classes(batch).column("sketch").to_pylist()), "<u8")
 
-    rows = base.select("id", "bound", "sketch")
+    rows = base.select("id", "n", "sketch")
     merged = sketch_repeats(rows, values_of, bits, counted["values"])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,13 +122,13 @@ def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
             values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8")
             found = may_repeat(values, merged.value, bits)
             row = pa.array(np.repeat(np.arange(batch.num_rows), lengths)[found])
-            yield pa.RecordBatch.from_arrays([pa.array(values[found].view(np.int64)), batch.column("id").take(row), batch.column("bound").take(row)], ["value", "id", "bound"])
+            yield pa.RecordBatch.from_arrays([pa.array(values[found].view(np.int64)), batch.column("id").take(row), batch.column("n").take(row)], ["value", "id", "n"])
 
-    return rows.mapInArrow(listed, "value bigint, id bigint, bound int")
+    return rows.mapInArrow(listed, "value bigint, id bigint, n bigint")
 
 
-def listed_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
-    """``value, id, heat``: the rarest retained values of each class, as many as linked classes cannot all avoid.
+def listed_values(base: DataFrame, firsts: DataFrame, k: int, similarity: int) -> DataFrame:
+    """``value, id, n, heat``: the rarest retained values of each class, as many as linked classes cannot all avoid.
 
     ``heat`` is the sum of how often the class's values are retained; the most of a list marks its anchor.
     """
@@ -138,7 +139,7 @@ def listed_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
     values = values.join(often, "value")
     values = values.withColumns({"repeated": F.count("*").over(own), "heat": F.sum("often").over(own), "place": F.row_number().over(rare)})
     # Values of this class alone come first in the order by frequency and cannot be shared; so many places are taken.
-    return values.where(F.col("place") <= F.col("repeated") + 1 - F.col("bound")).select("value", "id", "heat")
+    return values.where(F.col("place") <= F.col("repeated") + 1 - _bound(F.col("n"), k, similarity)).select("value", "id", "n", "heat")
 
 
 def _estimate(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
@@ -169,15 +170,12 @@ def unpack_set(packed: bytes) -> np.ndarray:
 
 
 def full_sets(texts: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """``id, full``: the sets of all texts whose id may be among ``ids``; ``texts`` (id, text) stay where they are."""
-    n = ids.count()
-    bits = cell_bits(n)
-    known = sketch_members(ids, bits, n)
+    """``id, full``: the sets of all texts whose id may be among ``ids``, a written table; ``texts`` (id, text) stay where they are."""
+    wanted = among(ids)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = may_repeat(batch.column("id").to_numpy(zero_copy_only=False).view(np.uint64), known.value, bits)
-            for piece in pieces(batch.filter(pa.array(wanted))):
+            for piece in pieces(wanted(batch)):
                 packed = pa.array([pack_set(s) for s in shingle_sets(piece, shingle)], pa.binary())
                 yield pa.RecordBatch.from_arrays([piece.column("id"), packed], ["id", "full"])
 
@@ -210,32 +208,63 @@ def _from_anchor(group: pa.Table, k: int, similarity: int) -> pa.Table:
 
 
 def star_links(stars: DataFrame, sets: DataFrame, k: int, similarity: int) -> DataFrame:
-    """Links (a, b) between anchors and members; ``stars`` is (anchor, id, blocks). Every block gets a copy of the anchor."""
-    members = stars.where("anchor != id").select("anchor", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
-    anchors = stars.select("anchor", "blocks").distinct().select("anchor", F.col("anchor").alias("id"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    """Links (a, b) between anchors and members; ``stars`` is (anchor, id, fits, blocks). Every block gets a copy of the anchor.
+
+    Members of sizes that rule out a link (``fits``) do not travel, nor do anchors that no member is left for.
+    """
+    members = stars.where("anchor != id AND fits").select("anchor", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    anchors = members.select("anchor", F.col("anchor").alias("id"), "block").distinct()
     met = members.unionByName(anchors).join(sets, "id")
-    return met.groupBy("anchor", "block").applyInArrow(lambda t: _from_anchor(t, k, similarity), "a bigint, b bigint").distinct()
+    return met.groupBy("anchor", "block").applyInArrow(lambda t: _from_anchor(t, k, similarity), "a bigint, b bigint")
 
 
-def _across(group: pa.Table, k: int, similarity: int) -> pa.Table:
-    """Links between documents of different components of a block, or of two blocks."""
-    ids, comps = (group.column(c).to_numpy() for c in ("id", "component"))
-    sets = [unpack_set(x) for x in group.column("full").to_pylist()]
-    sizes = np.array([len(s) for s in sets])
-    side, same = group.column("side").to_numpy(), group.column("same")[0].as_py()
-    known, column = np.unique(np.concatenate([s[:k] for s in sets]), return_inverse=True)
-    has = np.zeros((len(ids), len(known)), np.float32)
-    has[np.repeat(np.arange(len(ids)), np.minimum(sizes, k)), column] = 1
-    rows, others = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+def lean_sets(sets: DataFrame, k: int) -> DataFrame:
+    """``id, n, sketch`` of full sets."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            full = [unpack_set(x) for x in batch.column("full").to_pylist()]
+            columns = [pa.array([len(s) for s in full], pa.int64()), pa.array([s[:k].astype("<u8").tobytes() for s in full], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n", "sketch"])
+
+    return sets.select("id", "full").mapInArrow(encode, "id bigint, n bigint, sketch binary")
+
+
+def _may_meet(group: pa.Table, least: list[np.ndarray], sizes: np.ndarray, k: int, similarity: int) -> tuple[np.ndarray, ...]:
+    """Documents of a block, or of two: ``rows, others``, their numbers of common least values, and which pairs may be links across components."""
+    comps, side, same = group.column("component").to_numpy(), group.column("side").to_numpy(), group.column("same")[0].as_py()
+    known, column = np.unique(np.concatenate(least), return_inverse=True)
+    has = np.zeros((len(least), len(known)), np.float32)
+    has[np.repeat(np.arange(len(least)), [len(s) for s in least]), column] = 1
+    rows, others = (np.arange(len(least)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
     common = has[rows] @ has[others].T
     n, m = sizes[rows][:, None], sizes[others][None]
     may = (comps[rows][:, None] != comps[others][None]) & (100 * np.minimum(n, m) >= similarity * np.maximum(n, m))
     may &= common >= np.maximum(bound(n, k, similarity), bound(m, k, similarity))
     if same:
         may &= rows[:, None] < others[None]
-    whole = (n <= k) & (m <= k)  # sketches that are the sets decide at once
-    links = may & whole & (100 * common >= similarity * (n + m - common))
-    found = [(ids[rows[i]], ids[others[j]]) for i, j in zip(*np.nonzero(links), strict=True)]
+    # sketches that are the sets decide at once
+    may &= (n > k) | (m > k) | (100 * common >= similarity * (n + m - common))
+    return rows, others, may
+
+
+def _close(group: pa.Table, k: int, similarity: int) -> np.ndarray:
+    """Which documents of a block, or of two, have a partner that their sketches allow."""
+    least = [np.frombuffer(x, "<u8") for x in group.column("sketch").to_pylist()]
+    rows, others, may = _may_meet(group, least, group.column("n").to_numpy(), k, similarity)
+    found = np.zeros(group.num_rows, bool)
+    found[rows[may.any(axis=1)]] = True
+    found[others[may.any(axis=0)]] = True
+    return found
+
+
+def _across(group: pa.Table, k: int, similarity: int) -> pa.Table:
+    """Links between documents of different components of a block, or of two blocks."""
+    ids, sets = group.column("id").to_numpy(), [unpack_set(x) for x in group.column("full").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+    rows, others, may = _may_meet(group, [s[:k] for s in sets], sizes, k, similarity)
+    whole = (sizes[rows][:, None] <= k) & (sizes[others][None] <= k)
+    found = [(ids[rows[i]], ids[others[j]]) for i, j in zip(*np.nonzero(may & whole), strict=True)]
     found += [(ids[rows[i]], ids[others[j]]) for i, j in zip(*np.nonzero(may & ~whole), strict=True) if _linked(sets[rows[i]], sets[others[j]], k, similarity)]
     return _pairs(found)
 
@@ -245,17 +274,16 @@ def across_components(stars: DataFrame, labels: DataFrame, sets: DataFrame, k: i
 
     ``stars`` is (anchor, id, blocks). A star of many members is cut into blocks by hash and every two blocks meet. The anchor has met
     all members before (``star_links``), so it is left out, and with it all stars whose other members are of one component.
+    Blocks meet by sketches first; members with a partner whom these allow meet again by full sets.
     """
     members = stars.where("anchor != id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     members = stage(members, "near-members")
     mixed = members.groupBy("anchor").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("anchor")
-    members = members.join(stage(mixed, "near-mixed"), "anchor").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    meet = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(F.least("block", o).alias("low"), F.greatest("block", o).alias("high"), (F.col("block") > o).cast("int").alias("side"), (F.col("block") == o).alias("same")),
-    )
-    members = members.select("anchor", "id", "component", F.explode(meet).alias("m")).select("anchor", "id", "component", "m.*")
-    met = members.join(sets, "id")
+    members = members.join(stage(mixed, "near-mixed"), "anchor")
+    close = close_meetings(meetings(members), lean_sets(sets, k), lambda t: _close(t, k, similarity))
+    wanted = among(close.select("id"))
+    sets = sets.select("id", "full").mapInArrow(lambda batches: map(wanted, batches), "id bigint, full binary")
+    met = close.join(sets, "id")
     return met.groupBy("anchor", "low", "high").applyInArrow(lambda t: _across(t, k, similarity), "a bigint, b bigint").distinct()
 
 
@@ -270,20 +298,21 @@ def _keys() -> tuple[Column, Column]:
 def _near_rows(docs: DataFrame, shingle: int, similarity: int, k: int) -> tuple[DataFrame, DataFrame]:
     """``place, id, n, component, kept`` of every row of ``docs`` (``component``: the least place), and the table of sketches."""
     rows = docs.select(*_keys(), "text")
-    base = sketches(rows, shingle, k).withColumn("bound", _bound(F.col("n"), k, similarity))
-    base = stage(base.withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    base = stage(sketches(rows, shingle, k).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
     filled = base.where("n > 0")
     # A class of equal sets stands for its rows; its first row is the one it keeps.
     head = F.struct("place", "id", "row")
     firsts = stage(filled.groupBy("s1", "s2", "n").agg(F.min(head).alias("head")).select("s1", "s2", "n", "head.*"), "near-classes")
 
-    lists = stage(listed_values(filled, firsts, k), "near-lists")
+    lists = stage(listed_values(filled, firsts, k, similarity), "near-lists")
     place = F.shiftleft(F.least("heat", F.lit(2**38)), 24) + F.shiftrightunsigned(F.xxhash64("id"), 40)
-    anchors = lists.groupBy("value").agg(F.count("*").alias("size"), F.max_by("id", place).alias("anchor")).where("size > 1").select("value", "anchor")
-    stars = stage(lists.select("value", "id").join(stage(anchors, "near-anchors"), "value").select("anchor", "id").distinct(), "near-pairs")
+    anchors = lists.groupBy("value").agg(F.count("*").alias("size"), F.max_by(F.struct("id", "n"), place).alias("most")).where("size > 1")
+    anchors = anchors.select("value", F.col("most.id").alias("anchor"), F.col("most.n").alias("anchor_n"))
+    fits = 100 * F.least("n", "anchor_n") >= similarity * F.greatest("n", "anchor_n")
+    stars = stage(lists.select("value", "id", "n").join(stage(anchors, "near-anchors"), "value").select("anchor", "id", fits.alias("fits")).distinct(), "near-pairs")
     blocks = stars.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     stars = stage(stars.join(stage(blocks, "near-blocks"), "anchor"), "near-stars")
-    sets = stage(full_sets(rows.select("id", "text"), stars.select("id").distinct(), shingle), "near-sets")
+    sets = stage(full_sets(rows.select("id", "text"), stars.select("id"), shingle), "near-sets")
     if sets.count() > sets.select("id").distinct().count():  # equal rows
         sets = stage(sets.dropDuplicates(["id"]), "near-sets")
     links = stage(star_links(stars, sets, k, similarity), "near-links")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import mix
+from tidemark.session import stage
 
 ROWS = 2
 SEGMENT_BITS = 20  # cells of a segment, as a power of two
@@ -131,10 +132,12 @@ def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterat
         if last:
             break
         most = groups
+    # Segments are merged side by side and written, then read in few parts: every part that is read costs the driver a job.
+    parts = stage(parts.select("segment", "again").coalesce(ROWS << (bits - SEGMENT_BITS)), "sketch")
     step = (1 << SEGMENT_BITS) // 8
     merged = np.zeros((ROWS, (1 << bits) // 8), np.uint8)
     flat = merged.reshape(-1)
-    for row in parts.select("segment", "again").toLocalIterator():  # a bounded number of segments
+    for row in parts.toLocalIterator():  # a bounded number of segments
         flat[row["segment"] * step : (row["segment"] + 1) * step] = np.frombuffer(row["again"], np.uint8)
     return rows.sparkSession.sparkContext.broadcast(merged)
 
