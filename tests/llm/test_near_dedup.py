@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from tidemark.llm import blocks, near_dedup
 from tidemark.llm.components import components
 from tidemark.llm.near_dedup import drop_near_copies, near_classes
 from tidemark.llm.sketches import may_repeat, sketch_members
+from tidemark.session import shared_dir
 
 
 def shingles(text, n):
@@ -162,10 +164,14 @@ def test_only_members_with_a_close_partner_meet_by_full_sets(spark, monkeypatch)
     assert counts == {"near-close": 4}
 
 
-def test_members_that_do_not_fit_their_anchor_stay_home(spark):
-    sets = packed(spark, {1: range(100), 2: range(95), 3: range(50), 4: range(200, 300), 5: range(200, 210)})
-    stars = spark.createDataFrame([(1, 1, True, 1), (1, 2, True, 1), (1, 3, False, 1), (4, 4, True, 1), (4, 5, False, 1)], "anchor long, id long, fits boolean, blocks int")
-    assert [tuple(r) for r in near_dedup.star_links(stars, sets, 128, 85).collect()] == [(1, 2)]
+def test_sketches_values_and_sets_go_when_they_are_done_with(spark):
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:"), "stage")
+    before = set(folder.glob("*"))
+    found = near_classes(table(spark, corpus(4, 30)))
+    left = {p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before}
+    assert left >= {"near-rows", "near-found"}
+    assert not left & {"sketch", "near-sketches", "near-values", "near-often", "near-sets"}
+    assert found.count() == len(corpus(4, 30))
 
 
 def test_merged_sketches_take_few_jobs_whatever_the_partitions(spark):

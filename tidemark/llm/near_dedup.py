@@ -26,7 +26,7 @@ from tidemark.llm.common import query, shield, table
 from tidemark.llm.components import components
 from tidemark.llm.sketches import cell_bits, may_repeat, pack, sketch_members, sketch_repeats, unpack
 from tidemark.llm.words import mix, pieces, run_starts, runs, text_bytes, words
-from tidemark.session import stage
+from tidemark.session import discard, stage
 
 K = 128  # values of a sketch
 SHINGLE, SIMILARITY = 5, 80  # words; per cent
@@ -97,9 +97,9 @@ def sketches(docs: DataFrame, shingle: int, k: int) -> DataFrame:
 
 
 def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
-    """``value, id, n`` for the retained values of classes that may occur in several sketches.
+    """``value, id, bound`` for the retained values of classes that may occur in several sketches.
 
-    Rows of ``base`` stand for their class if their
+    ``bound`` is the class's share of retained values that a linked class must have. Rows of ``base`` stand for their class if their
     id may be among ``firsts``; the few others that seem so are copies, and their links join what is joined anyhow.
     """
     counted = base.agg(F.coalesce(F.sum(F.least("n", F.lit(k))), F.lit(0)).alias("values"), F.count("*").alias("rows")).first()
@@ -113,7 +113,7 @@ def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
     def values_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(b"".join(classes(batch).column("sketch").to_pylist()), "<u8")
 
-    rows = base.select("id", "n", "sketch")
+    rows = base.select("id", "bound", "sketch")
     merged = sketch_repeats(rows, values_of, bits, counted["values"])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +122,13 @@ def repeated_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
             values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8")
             found = may_repeat(values, merged.value, bits)
             row = pa.array(np.repeat(np.arange(batch.num_rows), lengths)[found])
-            yield pa.RecordBatch.from_arrays([pa.array(values[found].view(np.int64)), batch.column("id").take(row), batch.column("n").take(row)], ["value", "id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(values[found].view(np.int64)), batch.column("id").take(row), batch.column("bound").take(row)], ["value", "id", "bound"])
 
-    return rows.mapInArrow(listed, "value bigint, id bigint, n bigint")
+    return rows.mapInArrow(listed, "value bigint, id bigint, bound int")
 
 
-def listed_values(base: DataFrame, firsts: DataFrame, k: int, similarity: int) -> DataFrame:
-    """``value, id, n, heat``: the rarest retained values of each class, as many as linked classes cannot all avoid.
+def listed_values(base: DataFrame, firsts: DataFrame, k: int) -> DataFrame:
+    """``value, id, heat``: the rarest retained values of each class, as many as linked classes cannot all avoid.
 
     ``heat`` is the sum of how often the class's values are retained; the most of a list marks its anchor.
     """
@@ -136,10 +136,11 @@ def listed_values(base: DataFrame, firsts: DataFrame, k: int, similarity: int) -
     often = stage(values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1"), "near-often")
     own = Window.partitionBy("id")
     rare = own.orderBy("often", "value")
-    values = values.join(often, "value")
-    values = values.withColumns({"repeated": F.count("*").over(own), "heat": F.sum("often").over(own), "place": F.row_number().over(rare)})
+    listed = values.join(often, "value").withColumns({"repeated": F.count("*").over(own), "heat": F.sum("often").over(own), "place": F.row_number().over(rare)})
     # Values of this class alone come first in the order by frequency and cannot be shared; so many places are taken.
-    return values.where(F.col("place") <= F.col("repeated") + 1 - _bound(F.col("n"), k, similarity)).select("value", "id", "n", "heat")
+    listed = stage(listed.where(F.col("place") <= F.col("repeated") + 1 - F.col("bound")).select("value", "id", "heat"), "near-lists")
+    discard(values, often)
+    return listed
 
 
 def _estimate(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, int]:
@@ -208,11 +209,8 @@ def _from_anchor(group: pa.Table, k: int, similarity: int) -> pa.Table:
 
 
 def star_links(stars: DataFrame, sets: DataFrame, k: int, similarity: int) -> DataFrame:
-    """Links (a, b) between anchors and members; ``stars`` is (anchor, id, fits, blocks). Every block gets a copy of the anchor.
-
-    Members of sizes that rule out a link (``fits``) do not travel, nor do anchors that no member is left for.
-    """
-    members = stars.where("anchor != id AND fits").select("anchor", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    """Links (a, b) between anchors and members; ``stars`` is (anchor, id, blocks). Every block gets a copy of the anchor."""
+    members = stars.where("anchor != id").select("anchor", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
     anchors = members.select("anchor", F.col("anchor").alias("id"), "block").distinct()
     met = members.unionByName(anchors).join(sets, "id")
     return met.groupBy("anchor", "block").applyInArrow(lambda t: _from_anchor(t, k, similarity), "a bigint, b bigint")
@@ -298,18 +296,19 @@ def _keys() -> tuple[Column, Column]:
 def _near_rows(docs: DataFrame, shingle: int, similarity: int, k: int) -> tuple[DataFrame, DataFrame]:
     """``place, id, n, component, kept`` of every row of ``docs`` (``component``: the least place), and the table of sketches."""
     rows = docs.select(*_keys(), "text")
-    base = stage(sketches(rows, shingle, k).withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    drawn = sketches(rows, shingle, k).withColumn("bound", _bound(F.col("n"), k, similarity))
+    drawn = stage(drawn.withColumn("row", F.monotonically_increasing_id()), "near-sketches")
+    base = stage(drawn.drop("sketch", "bound"), "near-rows")
     filled = base.where("n > 0")
     # A class of equal sets stands for its rows; its first row is the one it keeps.
     head = F.struct("place", "id", "row")
     firsts = stage(filled.groupBy("s1", "s2", "n").agg(F.min(head).alias("head")).select("s1", "s2", "n", "head.*"), "near-classes")
 
-    lists = stage(listed_values(filled, firsts, k, similarity), "near-lists")
+    lists = listed_values(drawn.where("n > 0"), firsts, k)
+    discard(drawn)
     place = F.shiftleft(F.least("heat", F.lit(2**38)), 24) + F.shiftrightunsigned(F.xxhash64("id"), 40)
-    anchors = lists.groupBy("value").agg(F.count("*").alias("size"), F.max_by(F.struct("id", "n"), place).alias("most")).where("size > 1")
-    anchors = anchors.select("value", F.col("most.id").alias("anchor"), F.col("most.n").alias("anchor_n"))
-    fits = 100 * F.least("n", "anchor_n") >= similarity * F.greatest("n", "anchor_n")
-    stars = stage(lists.select("value", "id", "n").join(stage(anchors, "near-anchors"), "value").select("anchor", "id", fits.alias("fits")).distinct(), "near-pairs")
+    anchors = lists.groupBy("value").agg(F.count("*").alias("size"), F.max_by("id", place).alias("anchor")).where("size > 1").select("value", "anchor")
+    stars = stage(lists.select("value", "id").join(stage(anchors, "near-anchors"), "value").select("anchor", "id").distinct(), "near-pairs")
     blocks = stars.groupBy("anchor").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     stars = stage(stars.join(stage(blocks, "near-blocks"), "anchor"), "near-stars")
     sets = stage(full_sets(rows.select("id", "text"), stars.select("id"), shingle), "near-sets")
@@ -318,6 +317,7 @@ def _near_rows(docs: DataFrame, shingle: int, similarity: int, k: int) -> tuple[
     links = stage(star_links(stars, sets, k, similarity), "near-links")
     labels = components(links)
     more = stage(across_components(stars, labels, sets, k, similarity), "near-links")
+    discard(sets)
     labels = components(links.unionByName(more)).select(F.col("node").alias("id"), F.col("component").alias("label"))
 
     # Every row by its set: the class, then the first row of the component of the class.

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.words import mix
-from tidemark.session import stage
+from tidemark.session import discard, stage
 
 ROWS = 2
 SEGMENT_BITS = 20  # cells of a segment, as a power of two
@@ -139,6 +139,7 @@ def sketch_repeats(rows: DataFrame, values_of: Callable[[pa.RecordBatch], Iterat
     flat = merged.reshape(-1)
     for row in parts.toLocalIterator():  # a bounded number of segments
         flat[row["segment"] * step : (row["segment"] + 1) * step] = np.frombuffer(row["again"], np.uint8)
+    discard(parts)
     return rows.sparkSession.sparkContext.broadcast(merged)
 
 

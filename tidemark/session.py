@@ -46,3 +46,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), "stage", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete the files of staged tables whose every reader has been written itself."""
+    for df in staged:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(conf).delete(path, True)
